@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +34,12 @@ def worked_hours_with_checks(
     The checks are not gathered into a list: a list of a hot key would have to
     fit in one row of one task.
     """
-    totals = daily_worked_hours(records, keys, seconds)
+    totals = daily_worked_hours(records, keys, seconds).withColumnsRenamed({k: f"_total_{k}" for k in keys})
     checks = records.na.drop("any", subset=list(keys)).select(*keys, *detail)
-    return checks.join(totals, list(keys), "left")
+    # Null-safe, so that the totals get an exchange of their own: AQE can then
+    # split the checks of a hot employee and day over several tasks.
+    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_total_{k}")) for k in keys])
+    return checks.join(totals, same_key, "left").select(*keys, *detail, *seconds)
 
 
 def missing_days(records: DataFrame, spine: DataFrame, day: str = "date") -> DataFrame:

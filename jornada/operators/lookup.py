@@ -40,15 +40,13 @@ def lookup_contains(
     dimension.
     """
     kind = dim.schema[id_column].dataType
-    needles = (
-        dim.where(F.col(needle).isNotNull())
-        .select(normalised(F.col(needle)).alias("_needle"), F.col(id_column).alias("_id"), F.col(rank).alias("_rank"))
-        .groupBy("_needle")
-        .agg(F.min(F.struct("_rank", "_id")).alias("_first"))
+    needles = dim.where(F.col(needle).isNotNull()).select(
+        normalised(F.col(needle)).alias("_needle"), F.struct(F.col(rank), F.col(id_column).alias("_id")).alias("_first")
     )
-    head = needles.orderBy("_first").limit(inline_rows + 1).collect()
+    # At most one row more than fits: enough to know which way to go.
+    head = needles.limit(inline_rows + 1).collect()
     if len(head) <= inline_rows:
-        tests = [(row["_needle"], row["_first"]["_id"]) for row in head]
+        tests = [(row["_needle"], row["_first"]["_id"]) for row in sorted(head, key=lambda row: row["_first"])]
         prepared = df.withColumn("_field", normalised(F.col(field)))
         found = _first_match("_field", tests, kind)
     else:
@@ -74,6 +72,7 @@ def _join_on_substrings(df: DataFrame, field: str, needles: DataFrame) -> DataFr
     an equi join. Only true matches come out of the join. The lengths are a few
     small integers, bounded by the longest text.
     """
+    needles = needles.groupBy("_needle").agg(F.min("_first").alias("_first"))
     lengths = sorted(r[0] for r in needles.select(F.length("_needle")).distinct().collect())
     all_lengths = F.array(*[F.lit(n) for n in lengths])
 
@@ -91,6 +90,9 @@ def _join_on_substrings(df: DataFrame, field: str, needles: DataFrame) -> DataFr
         .join(needles, "_needle")
         .groupBy("_field")
         .agg(F.min("_first").alias("_first"))
-        .select("_field", F.col("_first._id").alias("_match"))
+        .select(F.col("_field").alias("_value"), F.col("_first._id").alias("_match"))
     )
-    return prepared.join(matches, "_field", "left").select(*df.columns, "_field", "_match")
+    # Null-safe, so that the matches get an exchange of their own: AQE then sees
+    # their real size, and can split a field value that very many rows share.
+    same_value = F.col("_field").eqNullSafe(F.col("_value"))
+    return prepared.join(matches, same_value, "left").select(*df.columns, "_field", "_match")

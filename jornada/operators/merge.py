@@ -54,7 +54,7 @@ def append_new(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) ->
 
 
 def delete_by_key(target: DataFrame, keys_to_delete: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows_with_new_key(target, keys_to_delete, keys)
+    return rows_with_new_key(target, keys_to_delete, keys, repeated=True)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

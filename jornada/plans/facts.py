@@ -12,6 +12,7 @@ from jornada.operators.daily import daily_worked_hours
 from jornada.operators.latest import last_id_per_key, latest_values
 from jornada.operators.lookup import lookup_contains
 from jornada.operators.quality import drop_nulls, fill_nulls
+from jornada.operators.sizes import broadcast_if_small
 from jornada.schemas import DEFAULT_DEPARTMENT_ID, MISSING_DEPARTMENT, MISSING_TAG, table_schema
 
 COMMENT_LENGTH = 200
@@ -71,7 +72,7 @@ def charge_profiles(
     people = lookup_contains(
         people, "cliente", companies, "nombre", "empresa_id", "empresa_id", "empresa_id", aliases=company_aliases
     )
-    return lookup_contains(
+    profiles = lookup_contains(
         people,
         "department_name",
         departments,
@@ -81,6 +82,7 @@ def charge_profiles(
         "departamento_id",
         default=DEFAULT_DEPARTMENT_ID,
     )
+    return broadcast_if_small(profiles, employees, warehouse_ids, assignments)
 
 
 def time_charges(flat_entries: DataFrame, profiles: DataFrame) -> DataFrame:

@@ -1,8 +1,7 @@
 """Warehouse tables -> denormalised data-mart rows.
 
-No join is forced to broadcast: Spark broadcasts a dimension it knows to be
-small, and beyond that joins by shuffle, where AQE splits a hot employee or
-project over several tasks.
+A dimension is broadcast only within Spark's size limit. Beyond that it is
+joined by shuffle, where AQE splits a hot employee or project over several tasks.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 
 from jornada.functions import check_date_range, duration_hours, hour_minute, in_date_range, seconds_to_hours
 from jornada.operators.latest import latest_per_key
+from jornada.operators.sizes import broadcast_if_small
 
 
 def latest_departments(assignments: DataFrame, departments: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def employee_profiles(employees: DataFrame, assignments: DataFrame, departments:
     )
     assigned = latest_departments(assignments, departments)
     both = people.join(assigned, people["empleado_id"] == assigned["employee_sesame_id"], "full_outer")
-    return both.select(
+    profiles = both.select(
         F.coalesce("empleado_id", "employee_sesame_id").alias("employee_sesame_id"),
         "empleado_id",
         "nombres",
@@ -51,6 +51,7 @@ def employee_profiles(employees: DataFrame, assignments: DataFrame, departments:
         "costo_hora_empresa",
         F.col("department_name").alias("nombre_departamento"),
     )
+    return broadcast_if_small(profiles, people, assignments, departments)
 
 
 def mart_time_entries(
