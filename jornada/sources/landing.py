@@ -46,8 +46,8 @@ def read_landing(
 ) -> DataFrame:
     """Records of an entity from all tenants, or from the named ones.
 
-    An entity or date range without files gives an empty table. With mode
-    FAILFAST the first malformed page fails the job.
+    An entity or date range without files gives an empty table. Malformed pages
+    are left out (see ``read_bad_pages``); with mode FAILFAST they fail the job.
     """
     first_last = check_date_range(from_date, to_date) if from_date or to_date else None
     path = f"{root}/{entity}"
@@ -61,6 +61,13 @@ def read_landing(
     return records(pages, entity)
 
 
+def read_bad_pages(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """Text of the malformed pages, by tenant."""
+    schema = _file_schema(entity).add("bad_page", StringType())
+    pages = spark.read.schema(schema).json(f"{root}/{entity}", columnNameOfCorruptRecord="bad_page")
+    return pages.where("bad_page is not null and data is null").select("tenant", "bad_page")
+
+
 def stream_landing(spark: SparkSession, root: str, entity: str, max_files: int | None = None) -> DataFrame:
     """The same records as a stream of newly arriving files."""
     reader = spark.readStream.schema(_file_schema(entity))

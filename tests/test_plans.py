@@ -1,0 +1,132 @@
+"""What the plans must look like: pruned scans, no Python, no pair products, split hot keys."""
+
+import re
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from jornada.catalogue import QUERIES
+from jornada.catalogue.registry import Tables
+from jornada.operators.daily import worked_hours_with_checks
+from jornada.operators.latest import latest_per_key
+from jornada.operators.lookup import lookup_contains
+from jornada.operators.merge import rows_with_new_key
+from jornada.plans.marts import mart_time_entries
+from jornada.session import checkpoint_folder
+
+FOLDER = "/root/testdata/sf0.001"
+STREAMED = {"incremental_load", "stream_daily_hours"}
+SKEW = {
+    "spark__sql__shuffle__partitions": "32",
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20KB",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "20KB",
+    "spark__sql__adaptive__coalescePartitions__enabled": "false",
+}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMED))
+def test_no_python_and_no_products(spark, name):
+    plan = plan_of(QUERIES[name](spark, FOLDER))
+    for unwanted in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Scan ExistingRDD"):
+        if unwanted == "Scan ExistingRDD" and name in ("day_spine", "lookup_contains_default"):
+            continue
+        assert unwanted not in plan
+
+
+def test_date_range_and_columns_reach_the_scan(spark):
+    plan = plan_of(QUERIES["mart_time_entries"](spark, FOLDER))
+    events = next(line for line in plan.splitlines() if "events.parquet" in line)
+    assert "GreaterThanOrEqual(ts,2024-01-05T00:00)" in events and "LessThan(ts,2024-01-21T00:00)" in events
+    assert "props" not in events
+
+
+def test_latest_record_is_cut_before_the_shuffle(spark):
+    plan = plan_of(latest_per_key(Tables(spark, FOLDER).orders, ["o_custkey"], "o_orderdate", "o_orderkey"))
+    below_exchange = plan[plan.index("Exchange hashpartitioning") :]
+    assert re.search(r"WindowGroupLimit .*Partial", below_exchange)
+
+
+def test_small_profiles_are_broadcast_and_large_ones_not(spark, conf):
+    small = plan_of(QUERIES["mart_time_entries"](spark, FOLDER))
+    assert re.search(r"BroadcastHashJoin \[employee_sesame_id", small)
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    assert "BroadcastHashJoin" not in plan_of(QUERIES["mart_time_entries"](spark, FOLDER))
+
+
+def hot(spark, n=40000):
+    """A third of the rows belong to key 0."""
+    return spark.range(0, n, numPartitions=8).withColumn("key", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")))
+
+
+def final_plan(df):
+    df.collect()
+    return plan_of(df)
+
+
+def test_hot_employee_of_the_mart_is_split(spark, conf):
+    conf(**SKEW)
+    entries = hot(spark).select(
+        F.col("id").cast("string").alias("time_entry_sesame_id"),
+        (F.col("id") % 50).cast("string").alias("project_sesame_id"),
+        F.expr("timestamp'2024-01-10 08:00:00'").alias("time_entry_in"),
+        F.expr("timestamp'2024-01-10 09:30:00'").alias("time_entry_out"),
+        F.lit("a").alias("tags"),
+        F.lit("").alias("comment"),
+        F.col("key").cast("string").alias("employee_sesame_id"),
+    )
+    people = spark.range(2000).selectExpr(
+        "cast(id as string) as empleado_sesame_id", "'n' as nombre", "'a' as apellidos", "1.0D as costo_hora_empresa"
+    )
+    assigned = spark.range(3000).selectExpr(
+        "cast(id % 1500 as string) as employee_sesame_id",
+        "cast(id % 5 as string) as department_sesame_id",
+        "timestamp'2024-01-01' as update_date",
+        "id as department_assignation_sesame_id",
+    )
+    departments = spark.range(5).selectExpr("cast(id as string) as department_sesame_id", "concat('d', id) as department_name")
+    projects = spark.range(50).selectExpr(
+        "cast(id as string) as project_sesame_id", "'p' as project_name", "'c' as customer_sesame_id", "'n' as customer_name"
+    )
+    mart = mart_time_entries(entries, projects, people, assigned, departments, "2024-01-01", "2024-01-31")
+    assert "SortMergeJoin(skew=true)" in final_plan(mart)
+    assert mart.count() == 40000
+    # Key 0 was assigned by rows 0 and 1500; the second is the later one.
+    assert rows(mart.where("empleado_id = '0'").groupBy("nombre_departamento").count()) == [("d0", 13334)]
+
+
+def test_hot_day_of_checks_is_split(spark, conf):
+    conf(**SKEW)
+    records = hot(spark).selectExpr(
+        "cast(key as string) as employeeId", "date'2024-01-05' as date", "1L as secondsWorked", "id as check"
+    )
+    checks = worked_hours_with_checks(records, ["check"], seconds=["secondsWorked"])
+    assert "SortMergeJoin(skew=true)" in final_plan(checks)
+    assert rows(checks.groupBy("secondsWorked").count()) == [(1, 26666), (13334, 13334)]
+
+
+def test_hot_field_value_of_a_large_lookup_is_split(spark, conf):
+    conf(**SKEW)
+    df = hot(spark).selectExpr("concat('company ', key, ' of the north side') as field", "id")
+    dim = spark.range(200).selectExpr("id", "concat('company ', id, ' ') as name")
+    found = lookup_contains(df, "field", dim, "name", "id", "id", "found")
+    assert "SortMergeJoin(skew=true)" in final_plan(found)
+    assert found.where("field like 'company 0 %' and found = 0").count() == 13334
+
+
+def test_hot_key_of_new_rows_is_split(spark, conf):
+    conf(**SKEW)
+    incoming = hot(spark)
+    existing = hot(spark, 300).select("key")
+    new = rows_with_new_key(incoming, existing, ["key"], repeated=True)
+    assert "SortMergeJoin(skew=true)" in final_plan(new)
+    assert new.count() == sum(1 for i in range(300, 40000) if i % 3)
+
+
+def test_checkpoint_folder_is_the_one_the_session_names(spark):
+    assert checkpoint_folder(spark) == spark.conf.get("spark.checkpoint.dir")
