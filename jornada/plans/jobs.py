@@ -1,12 +1,13 @@
 """The loads, end to end: landing or warehouse folder in, warehouse or mart folder out.
 
 Tables live in ``<root>/<table>``. Every job can be repeated without changing
-the result.
+the result. Upserting jobs return their row counts per action.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,14 +18,28 @@ from jornada.operators.listing import with_statuses
 from jornada.plans import dimensions, facts, marts
 from jornada.session import use_utc
 from jornada.sources.landing import read_landing
-from jornada.sources.tables import PARTITIONS, SURROGATES, TABLE_KEYS, append_new_rows, merge_into, read_table
+from jornada.sources.tables import (
+    FIXED_PARTITIONS,
+    PARTITIONS,
+    SURROGATES,
+    TABLE_KEYS,
+    append_new_rows,
+    merge_into,
+    read_table,
+)
 
 EMPLOYEE_STATUSES = ("active", "inactive")
 
 
-def merge_table(spark: SparkSession, root: str, name: str, rows: DataFrame) -> None:
-    merge_into(
-        spark, f"{root}/{name}", rows, TABLE_KEYS[name], PARTITIONS.get(name, ()), SURROGATES.get(name)
+def merge_table(spark: SparkSession, root: str, name: str, rows: DataFrame) -> dict[str, int]:
+    return merge_into(
+        spark,
+        f"{root}/{name}",
+        rows,
+        TABLE_KEYS[name],
+        PARTITIONS.get(name, ()),
+        SURROGATES.get(name),
+        rows_move=name not in FIXED_PARTITIONS,
     )
 
 
@@ -33,41 +48,51 @@ def with_entry_month(entries: DataFrame) -> DataFrame:
     return entries.withColumn("entry_month", F.year(start) * 100 + F.month(start))
 
 
-def load_departments(spark: SparkSession, landing: str, warehouse: str) -> None:
+def load_departments(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
     raw = read_landing(use_utc(spark), landing, "departments")
-    merge_table(spark, warehouse, "dim_department", dimensions.departments(flatten.flatten_departments(raw)))
+    return merge_table(spark, warehouse, "dim_department", dimensions.departments(flatten.flatten_departments(raw)))
 
 
-def load_department_assignments(spark: SparkSession, landing: str, warehouse: str) -> None:
+def load_department_assignments(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
     raw = read_landing(use_utc(spark), landing, "department_assignments")
     rows = dimensions.department_assignments(flatten.flatten_department_assignments(raw))
-    merge_table(spark, warehouse, "fact_department_assignment", rows)
+    return merge_table(spark, warehouse, "fact_department_assignment", rows)
 
 
-def load_projects(spark: SparkSession, landing: str, warehouse: str) -> None:
+def load_projects(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
     raw = read_landing(use_utc(spark), landing, "projects")
-    merge_table(spark, warehouse, "dim_project", dimensions.projects(flatten.flatten_projects(raw)))
+    return merge_table(spark, warehouse, "dim_project", dimensions.projects(flatten.flatten_projects(raw)))
 
 
-def load_employees(spark: SparkSession, landing: str, warehouse: str) -> DataFrame:
-    """Returns the rejected rows (unknown company)."""
+def load_employees(spark: SparkSession, landing: str, warehouse: str) -> tuple[dict[str, int], DataFrame]:
+    """Also returns the rejected rows (unknown company)."""
     raw = with_statuses(read_landing(use_utc(spark), landing, "employees"), EMPLOYEE_STATUSES)
     companies = read_table(spark, f"{warehouse}/dim_company", "dim_company")
     rows, rejected = dimensions.employees(flatten.flatten_employees(raw), companies)
-    merge_table(spark, warehouse, "dim_employee", rows)
-    return rejected
+    return merge_table(spark, warehouse, "dim_employee", rows), rejected
 
 
-def load_time_entries(spark: SparkSession, landing: str, warehouse: str, from_date: str, to_date: str) -> None:
-    first_last = check_date_range(from_date, to_date)
-    raw = read_landing(use_utc(spark), landing, "time_entries")
-    rows = in_date_range(facts.time_entries(flatten.flatten_time_entries(raw)), "time_entry_in", *first_last)
-    merge_table(spark, warehouse, "fact_time_entry", with_entry_month(rows))
+def load_time_entries(
+    spark: SparkSession, landing: str, warehouse: str, from_date: str, to_date: str
+) -> dict[str, int]:
+    raw = _landed_entries(use_utc(spark), landing, from_date, to_date)
+    rows = facts.time_entries(flatten.flatten_time_entries(raw))
+    rows = in_date_range(rows, "time_entry_in", *check_date_range(from_date, to_date))
+    return merge_table(spark, warehouse, "fact_time_entry", with_entry_month(rows))
+
+
+def _landed_entries(spark: SparkSession, landing: str, from_date: str, to_date: str) -> DataFrame:
+    """Entries landed on the days of the range or next to it: a local day is not a UTC day."""
+    first, last = check_date_range(from_date, to_date)
+    days = (first - timedelta(days=1)).isoformat(), (last + timedelta(days=1)).isoformat()
+    return read_landing(spark, landing, "time_entries", from_date=days[0], to_date=days[1])
 
 
-def load_worked_hours(spark: SparkSession, landing: str, warehouse: str, from_date: str, to_date: str) -> None:
+def load_worked_hours(
+    spark: SparkSession, landing: str, warehouse: str, from_date: str, to_date: str
+) -> dict[str, int]:
     raw = read_landing(use_utc(spark), landing, "worked_hours", from_date=from_date, to_date=to_date)
-    merge_table(spark, warehouse, "fact_worked_hours", facts.worked_hours(raw))
+    return merge_table(spark, warehouse, "fact_worked_hours", facts.worked_hours(raw))
 
 
 def load_time_charges_and_signings(
@@ -89,7 +114,7 @@ def load_time_charges_and_signings(
         flatten.flatten_department_assignments(read_landing(spark, landing, "department_assignments")),
         read_table(spark, f"{warehouse}/dim_departamento", "dim_departamento"),
     )
-    entries = flatten.flatten_time_entries(read_landing(spark, landing, "time_entries"))
+    entries = flatten.flatten_time_entries(_landed_entries(spark, landing, from_date, to_date))
     charges = facts.time_charges(entries, facts.charge_profiles(*lookups, company_aliases=company_aliases))
     _append(spark, warehouse, "fact_time_charge", in_date_range(charges, "fecha", *first_last), first_last)
 
@@ -102,7 +127,9 @@ def _append(spark: SparkSession, root: str, name: str, rows: DataFrame, days) ->
     append_new_rows(spark, f"{root}/{name}", rows, TABLE_KEYS[name], "fecha", days, PARTITIONS[name])
 
 
-def build_mart_time_entries(spark: SparkSession, warehouse: str, mart: str, from_date: str, to_date: str) -> None:
+def build_mart_time_entries(
+    spark: SparkSession, warehouse: str, mart: str, from_date: str, to_date: str
+) -> dict[str, int]:
     first, last = check_date_range(from_date, to_date)
     use_utc(spark)
     months = (first.year * 100 + first.month, last.year * 100 + last.month)
@@ -111,11 +138,13 @@ def build_mart_time_entries(spark: SparkSession, warehouse: str, mart: str, from
         entries = entries.where(F.col("entry_month").between(*months)).drop("entry_month")
     names = ("dim_project", "dim_employee", "fact_department_assignment", "dim_department")
     others = [read_table(spark, f"{warehouse}/{name}", name) for name in names]
-    merge_table(spark, mart, "mart_time_entry", marts.mart_time_entries(entries, *others, from_date, to_date))
+    return merge_table(spark, mart, "mart_time_entry", marts.mart_time_entries(entries, *others, from_date, to_date))
 
 
-def build_mart_worked_hours(spark: SparkSession, warehouse: str, mart: str, from_date: str, to_date: str) -> None:
+def build_mart_worked_hours(
+    spark: SparkSession, warehouse: str, mart: str, from_date: str, to_date: str
+) -> dict[str, int]:
     use_utc(spark)
     worked = read_table(spark, f"{warehouse}/fact_worked_hours", "fact_worked_hours")
     people = read_table(spark, f"{warehouse}/dim_employee", "dim_employee")
-    merge_table(spark, mart, "mart_worked_hours", marts.mart_worked_hours(worked, people, from_date, to_date))
+    return merge_table(spark, mart, "mart_worked_hours", marts.mart_worked_hours(worked, people, from_date, to_date))

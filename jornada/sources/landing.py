@@ -2,8 +2,9 @@
 
 Layout: ``<root>/<entity>/tenant=<t>/[date=<d>/]*.json``, every file holding
 pages ``{"data": [record, ...]}``, one page per line. All tenants are read in
-one scan; ``tenant`` and ``date`` are partition columns, so filters on them skip
-files. Records of different tenants are not merged.
+one scan; ``tenant`` and ``date`` (of entities that are extracted by day) are
+partition columns, so filters on them skip files. Records of different tenants
+are not merged.
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from jornada.functions import check_date_range, in_date_range
+from jornada.functions import check_date_range
 from jornada.schemas import envelope_schema, landing_schema
 from jornada.sources.files import exists
 
-DATED_ENTITIES = ("worked_hours",)
+DATED_ENTITIES = ("worked_hours", "work_entries", "time_entries")
 
 
 def _file_schema(entity: str) -> StructType:
@@ -49,15 +50,16 @@ def read_landing(
     An entity or date range without files gives an empty table. Malformed pages
     are left out (see ``read_bad_pages``); with mode FAILFAST they fail the job.
     """
-    first_last = check_date_range(from_date, to_date) if from_date or to_date else None
+    days = check_date_range(from_date, to_date) if from_date or to_date else None
     path = f"{root}/{entity}"
     if not exists(spark, path):
         return spark.createDataFrame([], _record_schema(entity))
     pages = spark.read.schema(_file_schema(entity)).json(path, mode=mode, multiLine=multi_line)
     if tenants is not None:
         pages = pages.where(F.col("tenant").isin(list(tenants)))
-    if first_last and entity in DATED_ENTITIES:
-        pages = in_date_range(pages, "date", *first_last)
+    if days and entity in DATED_ENTITIES:
+        # Files that were landed without a date folder may hold any day.
+        pages = pages.where(F.col("date").isNull() | F.col("date").between(*days))
     return records(pages, entity)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from jornada.functions import in_date_range
@@ -20,11 +20,12 @@ from jornada.operators.merge import (
     key_hash,
     rows_with_known_key,
     rows_with_new_key,
-    upsert,
 )
 from jornada.schemas import table_schema
 from jornada.sources.files import delete, exists
 
+ACTIONS = ("insert", "update", "unchanged", "keep")
+
 # Key and storage layout of the tables.
 TABLE_KEYS = {
     "dim_employee": ("empleado_sesame_id",),
@@ -49,6 +50,8 @@ PARTITIONS = {
     "mart_time_entry": ("year", "mes"),
     "mart_worked_hours": ("fecha",),
 }
+# Tables whose key fixes the partition; an edited time entry may change its month.
+FIXED_PARTITIONS = ("fact_worked_hours", "mart_worked_hours")
 
 
 def has_table(spark: SparkSession, path: str) -> bool:
@@ -79,41 +82,52 @@ def merge_into(
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
     surrogate: str | None = None,
-) -> None:
+    rows_move: bool = True,
+) -> dict[str, int]:
     """Create the table from the source, or upsert the source into it.
 
     Of a partitioned table only the partitions are read and rewritten that the
-    source writes to, or that hold the old version of one of its rows.
-    """
-    if not has_table(spark, path):
-        assert_unique(source, keys)
-        if surrogate and surrogate not in source.columns:
-            source = source.withColumn(surrogate, key_hash(keys))
-        _write(source, path, partition_by)
-        return
+    source writes to, or that hold the old version of one of its rows. The latter
+    are found by a scan of the key columns; with ``rows_move=False`` a key never
+    changes its partition, and the scan is saved.
 
+    Returns the number of rows per action in the rewritten part of the table.
+    """
     # The source may be an expensive plan and is used several times: write it once.
     incoming_path = f"{path}.incoming"
+    known = has_table(spark, path)
     source.write.mode("overwrite").parquet(incoming_path)
-    incoming = spark.read.parquet(incoming_path)
+    incoming = spark.read.schema(source.schema).parquet(incoming_path)
+    assert_unique(incoming, keys)
+    if not known:
+        if surrogate and surrogate not in incoming.columns:
+            incoming = incoming.withColumn(surrogate, key_hash(keys))
+        rows, counts = _counted(incoming.withColumn("_action", F.lit("insert")))
+        _write(rows, path, partition_by)
+        delete(spark, incoming_path)
+        return counts.get
     if incoming.isEmpty():
         delete(spark, incoming_path)
-        return
-    assert_unique(incoming, keys)
+        return dict.fromkeys(ACTIONS, 0)
     target = spark.read.parquet(path)
     if not partition_by:
-        _replace(spark, path, upsert(target, incoming, keys, surrogate), (), None)
+        rows, counts = _counted(classify_changes(target, incoming, keys, surrogate, "_action"))
+        _replace(spark, path, rows, (), None)
     else:
         parts = list(partition_by)
-        old_homes = rows_with_known_key(target.select(*keys, *parts), incoming, keys).select(*parts)
-        new_homes = _aligned(incoming, target, parts)
+        homes = _aligned(incoming, target, parts)
+        if rows_move and not set(parts) <= set(keys):
+            located = target.select(*dict.fromkeys([*keys, *parts]))
+            homes = homes.union(rows_with_known_key(located, incoming, keys).select(*parts))
         touched_path = f"{path}.touched"
-        old_homes.union(new_homes).distinct().write.mode("overwrite").parquet(touched_path)
-        touched = spark.read.schema(new_homes.schema).parquet(touched_path)
+        homes.distinct().write.mode("overwrite").parquet(touched_path)
+        touched = spark.read.schema(homes.schema).parquet(touched_path)
         affected = rows_with_known_key(target, touched, parts)
-        _replace(spark, path, upsert(affected, incoming, keys, surrogate), parts, touched)
+        rows, counts = _counted(classify_changes(affected, incoming, keys, surrogate, "_action"))
+        _replace(spark, path, rows, parts, touched)
         delete(spark, touched_path)
     delete(spark, incoming_path)
+    return counts.get
 
 
 def append_new_rows(
@@ -135,6 +149,13 @@ def append_new_rows(
     _write(rows_with_new_key(incoming, existing, keys, repeated=True), path, partition_by, "append")
 
 
+def _counted(classified: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows without their action, counting the actions while they are written."""
+    counts = Observation()
+    metrics = [F.count(F.when(F.col("_action") == a, True)).alias(a) for a in ACTIONS]
+    return classified.observe(counts, *metrics).drop("_action"), counts
+
+
 def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "overwrite") -> None:
     """Write with few files per partition; a hot partition is split over several tasks."""
     if partition_by:

@@ -91,6 +91,13 @@ def write_all(root):
             {"id": "p2", "name": "Own", "customer": None, "projectStatus": {"value": "closed"}},
         ],
     )
+    write_pages(
+        root,
+        "time_entries",
+        "north",
+        [time_entry("t0", "e1", "2023-06-01T08:00:00Z", "2023-06-01T10:00:00Z")],
+        date="2023-06-01",
+    )
     write_pages(
         root,
         "time_entries",
@@ -100,9 +107,14 @@ def write_all(root):
             time_entry("t2", "e1", "2024-01-11T00:30:00+01:00", "2024-01-11T01:15:00+01:00", project=None, tags=()),
             time_entry("t3", "e9", "2024-01-12T08:00:00Z", "2024-01-12T09:00:00Z", project="p2", comment=None),
         ],
+        date="2024-01-11",
     )
     write_pages(
-        root, "time_entries", "south", [time_entry("t4", "e3", "2024-02-01T08:00:00Z", "2024-02-01T10:00:00Z", "p9")]
+        root,
+        "time_entries",
+        "south",
+        [time_entry("t4", "e3", "2024-02-01T08:00:00Z", "2024-02-01T10:00:00Z", "p9")],
+        date="2024-02-01",
     )
     write_pages(root, "worked_hours", "north", [hours("e1", 3600), hours("e1", None), hours(None, 60)], date="2024-01-10")
     write_pages(root, "worked_hours", "south", [hours("e3", 7200)], date="2024-01-11")

@@ -25,11 +25,14 @@ def test_missing_table_is_empty_with_its_schema(spark, tmp_path):
 
 def test_create_then_merge(spark, tmp_path):
     path = f"{tmp_path}/t"
-    merge_into(spark, path, fact(spark, (1, 1, "a"), (2, 1, "b")), ["k"])
-    merge_into(spark, path, fact(spark, (2, 1, "B"), (3, 2, "c")), ["k"])
+    counts = merge_into(spark, path, fact(spark, (1, 1, "a"), (2, 1, "b")), ["k"])
+    assert counts == {"insert": 2, "update": 0, "unchanged": 0, "keep": 0}
+    counts = merge_into(spark, path, fact(spark, (2, 1, "B"), (3, 2, "c")), ["k"])
+    assert counts == {"insert": 1, "update": 1, "unchanged": 0, "keep": 1}
     expected = [(1, 1, "a"), (2, 1, "B"), (3, 2, "c")]
     assert content(spark, path) == expected
-    merge_into(spark, path, fact(spark, (2, 1, "B"), (3, 2, "c")), ["k"])
+    counts = merge_into(spark, path, fact(spark, (2, 1, "B"), (3, 2, "c")), ["k"])
+    assert counts == {"insert": 0, "update": 0, "unchanged": 2, "keep": 1}
     assert content(spark, path) == expected
     assert not exists(spark, f"{path}.staged") and not exists(spark, f"{path}.incoming")
     assert rows(load_report(spark, path, fact(spark, (2, 1, "x"), (9, 1, "y")), ["k"])) == [
@@ -58,6 +61,14 @@ def test_partitioned_merge_with_null_partition(spark, tmp_path):
     assert content(spark, path) == [(1, 2, "a2"), (2, 2, "b"), (3, 2, "c2")]
 
 
+def test_key_that_fixes_the_partition(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    merge_into(spark, path, fact(spark, (1, 1, "a"), (1, 2, "b")), ["k", "month"], ["month"])
+    merge_into(spark, path, fact(spark, (1, 2, "B"), (2, 2, "c")), ["k", "month"], ["month"])
+    merge_into(spark, path, fact(spark, (2, 2, "C")), ["k"], ["month"], rows_move=False)
+    assert content(spark, path) == [(1, 1, "a"), (1, 2, "B"), (2, 2, "C")]
+
+
 def test_empty_merge_changes_nothing(spark, tmp_path):
     path = f"{tmp_path}/t"
     merge_into(spark, path, fact(spark, (1, 1, "a")), ["k"], ["month"])
