@@ -23,6 +23,14 @@ def department_number() -> Column:
     return F.substring("o_orderpriority", 1, 1).cast("int") - 1
 
 
+def project_number() -> Column:
+    """Entries of high value have numbers that no part has."""
+    return F.round(F.col("value") * 100).cast("bigint").cast("string")
+
+
+PROJECT_NUMBER = "cast(cast(round(value * 100) as bigint) as varchar)"
+
+
 def entry_end() -> Column:
     seconds = F.round(F.col("value") * 60).cast("bigint")
     return F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
@@ -34,7 +42,7 @@ def entry_end() -> Column:
 def entries(t: Tables) -> DataFrame:
     return t.events.select(
         text("event_id").alias("time_entry_sesame_id"),
-        (F.col("event_id") % 2500).cast("string").alias("project_sesame_id"),
+        project_number().alias("project_sesame_id"),
         F.col("ts").alias("time_entry_in"),
         entry_end().alias("time_entry_out"),
         F.col("event_type").alias("tags"),
@@ -43,9 +51,9 @@ def entries(t: Tables) -> DataFrame:
     )
 
 
-ENTRIES = """
+ENTRIES = f"""
     select cast(event_id as varchar) as time_entry_sesame_id,
-           cast(event_id % 2500 as varchar) as project_sesame_id, ts as time_entry_in,
+           {PROJECT_NUMBER} as project_sesame_id, ts as time_entry_in,
            ts + to_seconds(cast(round(value * 60) as bigint)) as time_entry_out,
            event_type as tags, props as comment, cast(user_id as varchar) as employee_sesame_id
     from events"""
@@ -205,7 +213,7 @@ def raw_time_entries(t: Tables) -> DataFrame:
     return t.events.select(
         text("event_id").alias("id"),
         F.struct(text("user_id").alias("id")).alias("employee"),
-        F.when(~is_error, F.struct((F.col("event_id") % 2500).cast("string").alias("id"))).alias("project"),
+        F.when(~is_error, F.struct(project_number().alias("id"))).alias("project"),
         F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+01:00'").alias("date")).alias("timeEntryIn"),
         F.struct(F.date_format(entry_end(), "yyyy-MM-dd'T'HH:mm:ss'+01:00'").alias("date")).alias("timeEntryOut"),
         F.struct(F.when(is_error, none).otherwise(named).alias("data")).alias("tags"),
@@ -219,7 +227,7 @@ def _utc_second(moment: str) -> str:
 
 RAW_TIME_ENTRIES = f"""
     select cast(event_id as varchar) as id, cast(user_id as varchar) as employee_id,
-           case when event_type = 'error' then '' else cast(event_id % 2500 as varchar) end as project_id,
+           case when event_type = 'error' then '' else {PROJECT_NUMBER} end as project_id,
            {_utc_second("ts")} as time_in,
            {_utc_second("(ts + to_seconds(cast(round(value * 60) as bigint)))")} as time_out,
            case when event_type = 'error' then '' else event_type || ',' || props end as tags,

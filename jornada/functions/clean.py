@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Tried in this order: day first, then ISO.
-DAY_FIRST_FORMATS = ("d/M/yyyy", "d-M-yyyy", "yyyy-M-d", "d/M/yyyy HH:mm:ss", "yyyy-M-d HH:mm:ss")
+# Shape of a date text -> its format; day first, or ISO. Testing the shape costs
+# far less than a failed parse.
+DAY_FIRST_FORMATS = {
+    r"^\d{1,2}/\d{1,2}/\d{4}$": "d/M/yyyy",
+    r"^\d{1,2}-\d{1,2}-\d{4}$": "d-M-yyyy",
+    r"^\d{4}-\d{1,2}-\d{1,2}$": "yyyy-M-d",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{2}:\d{2}:\d{2}$": "d/M/yyyy HH:mm:ss",
+    r"^\d{4}-\d{1,2}-\d{1,2} \d{2}:\d{2}:\d{2}$": "yyyy-M-d HH:mm:ss",
+}
 
 
 def right_trim(text: Column) -> Column:
@@ -43,4 +50,8 @@ def iso_date(text: Column) -> Column:
 
 def day_first_date(text: Column) -> Column:
     """Mixed formats, day before month; text in no known format becomes null."""
-    return F.to_date(F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in DAY_FIRST_FORMATS]))
+    parsed = [
+        F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(written)))
+        for shape, written in DAY_FIRST_FORMATS.items()
+    ]
+    return F.to_date(F.coalesce(*parsed))

@@ -26,11 +26,21 @@ def board_items(pages: DataFrame, arrival: str = "arrival") -> DataFrame:
     return items.groupBy("item_id").agg(F.max_by("name", F.struct(arrival, "name")).alias("name"))
 
 
-def cells(item_cells: DataFrame) -> DataFrame:
-    """Nested column values -> one row per cell; ``seq`` is the place in the list."""
-    listed = item_cells.select("id", F.posexplode("column_values").alias("seq", "cell"))
+def cells(item_cells: DataFrame, arrival: str | None = None) -> DataFrame:
+    """Nested column values -> one row per cell; ``seq`` is the place in the list.
+
+    With an arrival column there is also ``arrival_seq``, which orders the cells
+    of several extracts of an item.
+    """
+    order = [F.col(arrival).alias("arrival")] if arrival else []
+    listed = item_cells.select("id", *order, F.posexplode("column_values").alias("seq", "cell"))
+    both = [F.struct("arrival", "seq").alias("arrival_seq")] if arrival else []
     return listed.select(
-        F.col("id").alias("item_id"), F.col("cell.column.id").alias("column_id"), F.col("cell.value").alias("value"), "seq"
+        F.col("id").alias("item_id"),
+        F.col("cell.column.id").alias("column_id"),
+        F.col("cell.value").alias("value"),
+        "seq",
+        *both,
     )
 
 

@@ -1,12 +1,12 @@
 """Nested landing records -> flat rows, one function per entity.
 
-All expressions are row-local: no shuffle, and the JSON reader parses only the
-fields that are used downstream.
+All expressions are row-local: no shuffle. ``extra`` columns over the raw record
+are carried along.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jornada.functions import blank_if_null, custom_field, tag_names
@@ -57,15 +57,15 @@ _EMPLOYEE_FIELDS_AFTER = {
 }
 
 
-def flatten_employees(raw: DataFrame) -> DataFrame:
+def flatten_employees(raw: DataFrame, *extra: Column) -> DataFrame:
     def plain(fields):
         return [F.col(path).alias(name) for name, path in fields.items()]
 
     slugs = [custom_field(F.col("customFields"), slug).alias(name) for slug, name in EMPLOYEE_SLUGS.items()]
-    return raw.select(*plain(_EMPLOYEE_FIELDS_BEFORE), *slugs, *plain(_EMPLOYEE_FIELDS_AFTER))
+    return raw.select(*plain(_EMPLOYEE_FIELDS_BEFORE), *slugs, *plain(_EMPLOYEE_FIELDS_AFTER), *extra)
 
 
-def flatten_work_entries(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def flatten_work_entries(raw: DataFrame, *extra: Column) -> tuple[DataFrame, DataFrame]:
     """Flat clock records, and the raw records without employee, in or out."""
     valid, rejected = reject_missing(raw, ["employee", "workEntryIn", "workEntryOut"])
     flat = valid.select(
@@ -76,11 +76,12 @@ def flatten_work_entries(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("workEntryIn.date").alias("work_entry_in_datetime"),
         F.col("workEntryOut.date").alias("work_entry_out_datetime"),
         F.col("workBreakId").alias("work_break_id"),
+        *extra,
     )
     return flat, rejected
 
 
-def flatten_time_entries(raw: DataFrame) -> DataFrame:
+def flatten_time_entries(raw: DataFrame, *extra: Column) -> DataFrame:
     return raw.select(
         "id",
         F.col("employee.id").alias("employee_id"),
@@ -89,10 +90,11 @@ def flatten_time_entries(raw: DataFrame) -> DataFrame:
         F.col("timeEntryOut.date").alias("time_entry_out_datetime"),
         tag_names(F.col("tags.data")).alias("tags"),
         "comment",
+        *extra,
     )
 
 
-def flatten_department_assignments(raw: DataFrame) -> DataFrame:
+def flatten_department_assignments(raw: DataFrame, *extra: Column) -> DataFrame:
     return raw.select(
         "id",
         F.col("employee.id").alias("employee_id"),
@@ -102,10 +104,11 @@ def flatten_department_assignments(raw: DataFrame) -> DataFrame:
         F.col("employee.company.name").alias("company_name"),
         F.col("createdAt").alias("created_at"),
         F.col("updatedAt").alias("updated_at"),
+        *extra,
     )
 
 
-def flatten_projects(raw: DataFrame) -> DataFrame:
+def flatten_projects(raw: DataFrame, *extra: Column) -> DataFrame:
     return raw.select(
         "id",
         "name",
@@ -114,8 +117,9 @@ def flatten_projects(raw: DataFrame) -> DataFrame:
         "price",
         F.col("projectStatus.value").alias("project_status"),
         F.col("externalProjectId").alias("external_project_id"),
+        *extra,
     )
 
 
-def flatten_departments(raw: DataFrame) -> DataFrame:
-    return raw.select("id", "name")
+def flatten_departments(raw: DataFrame, *extra: Column) -> DataFrame:
+    return raw.select("id", "name", *extra)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jornada.functions import check_date_range, in_date_range
-from jornada.operators import flatten
+from jornada.operators import boards, flatten
 from jornada.operators.listing import with_statuses
 from jornada.plans import dimensions, facts, marts
 from jornada.session import use_utc
@@ -127,6 +127,14 @@ def _append(spark: SparkSession, root: str, name: str, rows: DataFrame, days) ->
     append_new_rows(spark, f"{root}/{name}", rows, TABLE_KEYS[name], "fecha", days, PARTITIONS[name])
 
 
+def board_items(spark: SparkSession, landing: str) -> DataFrame:
+    """Items of all landed boards: ``item_id, name, hours, assignment``."""
+    pages = read_landing(spark, landing, "board_items", with_arrival=True)
+    landed = read_landing(spark, landing, "item_cells", with_arrival=True)
+    items = boards.board_items(pages)
+    return boards.items_with_cells(items, boards.cells(landed, "arrival"), order="arrival_seq")
+
+
 def build_mart_time_entries(
     spark: SparkSession, warehouse: str, mart: str, from_date: str, to_date: str
 ) -> dict[str, int]:

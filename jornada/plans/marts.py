@@ -10,19 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jornada.functions import check_date_range, duration_hours, hour_minute, in_date_range, seconds_to_hours
-from jornada.operators.latest import latest_per_key
+from jornada.operators.latest import latest_values
 from jornada.operators.sizes import broadcast_if_small
 
 
 def latest_departments(assignments: DataFrame, departments: DataFrame) -> DataFrame:
     """Department name of each employee's latest assignment."""
-    latest = latest_per_key(
-        assignments.select(
-            "employee_sesame_id", "department_sesame_id", "update_date", "department_assignation_sesame_id"
-        ),
-        ["employee_sesame_id"],
-        "update_date",
-        "department_assignation_sesame_id",
+    latest = latest_values(
+        assignments,
+        keys=["employee_sesame_id"],
+        values=["department_sesame_id"],
+        updated_at="update_date",
+        tie_break="department_assignation_sesame_id",
     )
     return latest.join(
         departments.select("department_sesame_id", "department_name"), "department_sesame_id", "left"

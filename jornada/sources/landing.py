@@ -29,9 +29,9 @@ def _file_schema(entity: str) -> StructType:
     return schema
 
 
-def records(pages: DataFrame, entity: str) -> DataFrame:
+def records(pages: DataFrame, entity: str, *also: str) -> DataFrame:
     """Pages -> one row per record, with the partition columns."""
-    extra = ["tenant", "date"] if entity in DATED_ENTITIES else ["tenant"]
+    extra = ["tenant", *(["date"] if entity in DATED_ENTITIES else []), *also]
     return pages.select(F.explode("data").alias("record"), *extra).select("record.*", *extra)
 
 
@@ -44,23 +44,28 @@ def read_landing(
     to_date: str | None = None,
     mode: str = "PERMISSIVE",
     multi_line: bool = False,
+    with_arrival: bool = False,
 ) -> DataFrame:
     """Records of an entity from all tenants, or from the named ones.
 
     An entity or date range without files gives an empty table. Malformed pages
     are left out (see ``read_bad_pages``); with mode FAILFAST they fail the job.
+    ``with_arrival`` adds ``arrival``, the time and name of the record's file.
     """
     days = check_date_range(from_date, to_date) if from_date or to_date else None
     path = f"{root}/{entity}"
     if not exists(spark, path):
-        return spark.createDataFrame([], _record_schema(entity))
+        return spark.createDataFrame([], _record_schema(entity, with_arrival))
     pages = spark.read.schema(_file_schema(entity)).json(path, mode=mode, multiLine=multi_line)
     if tenants is not None:
         pages = pages.where(F.col("tenant").isin(list(tenants)))
     if days and entity in DATED_ENTITIES:
         # Files that were landed without a date folder may hold any day.
         pages = pages.where(F.col("date").isNull() | F.col("date").between(*days))
-    return records(pages, entity)
+    if not with_arrival:
+        return records(pages, entity)
+    file = F.struct(F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("file"))
+    return records(pages.withColumn("arrival", file), entity, "arrival")
 
 
 def read_bad_pages(spark: SparkSession, root: str, entity: str) -> DataFrame:
@@ -78,9 +83,10 @@ def stream_landing(spark: SparkSession, root: str, entity: str, max_files: int |
     return records(reader.json(f"{root}/{entity}"), entity)
 
 
-def _record_schema(entity: str) -> StructType:
+def _record_schema(entity: str, with_arrival: bool) -> StructType:
     extra = [f for f in _file_schema(entity).fields if f.name != "data"]
-    return StructType([*landing_schema(entity).fields, *extra])
+    schema = StructType([*landing_schema(entity).fields, *extra])
+    return schema.add("arrival", "struct<time: timestamp, file: string>") if with_arrival else schema
 
 
 def union_tenants(*frames: DataFrame) -> DataFrame:
