@@ -58,7 +58,7 @@ def listing_in_large(t: Tables) -> DataFrame:
 
 @query(
     "listing_order",
-    f"""select id, name, code, cost, row_number() over (order by code asc, cost desc, id asc) as place
+    f"""select id, name, code, cost, cast(row_number() over (order by code asc, cost desc, id asc) as int) as place
         from ({_PEOPLE}) as p order by place limit 500""",
 )
 def listing_order(t: Tables) -> DataFrame:

@@ -28,7 +28,7 @@ def truncate_text(t: Tables) -> DataFrame:
 
 @query(
     "rtrim_ws",
-    r"""select doc_id, length(regexp_replace(text, '\s+$', '')) as n_chars,
+    r"""select doc_id, cast(length(regexp_replace(text, '\s+$', '')) as int) as n_chars,
                md5(regexp_replace(text, '\s+$', '')) as digest
         from (select doc_id, text || chr(9) || ' ' || chr(10) || '  ' as text from documents) as d""",
 )
