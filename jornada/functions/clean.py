@@ -16,9 +16,16 @@ DAY_FIRST_FORMATS = {
 }
 
 
+# The characters that count as whitespace.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def right_trim(text: Column) -> Column:
-    """Drop trailing whitespace of every kind; ``rtrim`` drops blanks only."""
-    return F.regexp_replace(text, r"(?U)\s+$", "")
+    """Drop trailing whitespace of every kind; plain ``rtrim`` drops blanks only."""
+    return F.rtrim(text, F.lit(WHITESPACE))
 
 
 def blank_if_null(value: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jornada.functions import blank_if_null, day_first_date, decimal_comma, iso_date, to_utc, zero_if_null
+from jornada.functions import day_first_date, decimal_comma, iso_date, to_utc, zero_if_null
 from jornada.operators.lookup import lookup_contains
 from jornada.operators.quality import reject_missing
 from jornada.schemas import table_schema
@@ -77,9 +77,9 @@ _BLANK_IF_NULL = {
 
 
 def employee_rules() -> dict[str, Column]:
-    """Target column -> expression over the flat employee row."""
+    """Target column -> expression over the flat employee row, before nulls become blank."""
     rules = {name: F.col(source) for name, source in _COPIED.items()}
-    rules |= {name: blank_if_null(F.col(source)) for name, source in _BLANK_IF_NULL.items()}
+    rules |= {name: F.col(source) for name, source in _BLANK_IF_NULL.items()}
     return rules | {
         "costo_hora": zero_if_null(F.col("price_per_hour"), "double"),
         "num_hijos": zero_if_null(F.col("children"), "int"),
@@ -94,6 +94,7 @@ def employee_rules() -> dict[str, Column]:
 def employees(flat: DataFrame, companies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Employee dimension rows, and the rows whose company is unknown."""
     cleaned = flat.select(*[rule.alias(name) for name, rule in employee_rules().items()])
+    cleaned = cleaned.na.fill("", subset=list(_BLANK_IF_NULL))
     resolved = lookup_contains(
         cleaned,
         field="empresa_sesame_id",

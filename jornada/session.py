@@ -14,6 +14,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Recording the call site of every column expression doubles the time to build a wide plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

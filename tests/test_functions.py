@@ -21,6 +21,7 @@ from jornada.functions import (
     to_utc,
     zero_if_null,
 )
+from jornada.functions.clean import WHITESPACE
 
 
 def values(spark, data, kind, expression):
@@ -52,7 +53,9 @@ def test_to_utc(spark):
 
 
 def test_right_trim_drops_all_whitespace_on_the_right_only(spark):
-    assert values(spark, ["  a b \t\n ", "", None], "string", right_trim) == ["  a b", "", None]
+    texts = ["  a b \t\n ", "", " \u3000", "a\u00a0\x1f\u2028", "a\u200b"]
+    assert values(spark, [*texts, None], "string", right_trim) == [*[t.rstrip() for t in texts], None]
+    assert "".join(c for c in map(chr, range(0x110000)) if c.isspace()) == WHITESPACE
 
 
 def test_zero_if_null(spark):
