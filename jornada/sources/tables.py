@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from jornada.functions import in_date_range
@@ -24,6 +24,8 @@ from jornada.operators.merge import (
 from jornada.schemas import table_schema
 from jornada.sources.files import delete, exists
 
+# Fixed value: how a null partition value is written.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 ACTIONS = ("insert", "update", "unchanged", "keep")
 
 # Key and storage layout of the tables.
@@ -119,13 +121,11 @@ def merge_into(
         if rows_move and not set(parts) <= set(keys):
             located = target.select(*dict.fromkeys([*keys, *parts]))
             homes = homes.union(rows_with_known_key(located, incoming, keys).select(*parts))
-        touched_path = f"{path}.touched"
-        homes.distinct().write.mode("overwrite").parquet(touched_path)
-        touched = spark.read.schema(homes.schema).parquet(touched_path)
-        affected = rows_with_known_key(target, touched, parts)
+        # One row per partition: no more than the file listing on the driver holds.
+        touched = homes.distinct().withColumn("_folder", _folder(parts)).collect()
+        affected = target.where(_folder(parts).isin([row["_folder"] for row in touched]))
         rows, counts = _counted(classify_changes(affected, incoming, keys, surrogate, "_action"))
-        _replace(spark, path, rows, parts, touched)
-        delete(spark, touched_path)
+        _replace(spark, path, rows, parts, {row["_folder"] for row in touched})
     delete(spark, incoming_path)
     return counts.get
 
@@ -149,6 +149,13 @@ def append_new_rows(
     _write(rows_with_new_key(incoming, existing, keys, repeated=True), path, partition_by, "append")
 
 
+def _folder(parts: Sequence[str]) -> Column:
+    """Name of the partition's folder. A filter on it is a filter on partition
+    columns only, so other partitions are not even opened."""
+    values = [F.coalesce(F.col(p).cast("string"), F.lit(NULL_PARTITION)) for p in parts]
+    return F.concat_ws("/", *[F.concat(F.lit(f"{p}="), v) for p, v in zip(parts, values, strict=True)])
+
+
 def _counted(classified: DataFrame) -> tuple[DataFrame, Observation]:
     """The rows without their action, counting the actions while they are written."""
     counts = Observation()
@@ -170,7 +177,7 @@ def load_report(spark: SparkSession, path: str, source: DataFrame, keys: Sequenc
 
 
 def _replace(
-    spark: SparkSession, path: str, rows: DataFrame, parts: Sequence[str], touched: DataFrame | None
+    spark: SparkSession, path: str, rows: DataFrame, parts: Sequence[str], touched: set[str] | None
 ) -> None:
     """Replace the touched partitions, or the whole table, by ``rows``.
 
@@ -179,11 +186,11 @@ def _replace(
     """
     staged = f"{path}.staged"
     rows.write.mode("overwrite").parquet(f"{staged}/rows")
+    emptied = set()
     if touched is not None:
-        kept = spark.read.parquet(f"{staged}/rows").select(*parts).distinct()
-        emptied = rows_with_new_key(touched, kept, parts)
-        emptied.coalesce(1).write.mode("overwrite").parquet(f"{staged}/emptied")
-    plan = spark.createDataFrame([(",".join(parts),)], "partition_by string")
+        kept = spark.read.parquet(f"{staged}/rows").select(_folder(parts)).distinct().collect()
+        emptied = touched - {row[0] for row in kept}
+    plan = spark.createDataFrame([(list(parts), sorted(emptied))], "parts array<string>, emptied array<string>")
     plan.coalesce(1).write.mode("overwrite").parquet(f"{staged}/ready")
     _finish_replace(spark, path)
 
@@ -192,15 +199,13 @@ def _finish_replace(spark: SparkSession, path: str) -> None:
     staged = f"{path}.staged"
     if not exists(spark, f"{staged}/ready/_SUCCESS"):
         return
-    parts = [p for p in spark.read.parquet(f"{staged}/ready").first()["partition_by"].split(",") if p]
+    parts, emptied = spark.read.parquet(f"{staged}/ready").first()
     rows = spark.read.parquet(f"{staged}/rows")
     if not parts:
         rows.write.mode("overwrite").parquet(path)
     else:
-        # One row per partition that lost all its rows.
-        for gone in spark.read.parquet(f"{staged}/emptied").collect():
-            folders = [f"{p}={'__HIVE_DEFAULT_PARTITION__' if gone[p] is None else gone[p]}" for p in parts]
-            delete(spark, "/".join([path, *folders]))
+        for folder in emptied:
+            delete(spark, f"{path}/{folder}")
         writer = rows.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts)
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     delete(spark, f"{staged}/ready")

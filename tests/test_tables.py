@@ -52,6 +52,15 @@ def test_partitioned_merge_moves_rows_and_drops_emptied_partitions(spark, tmp_pa
     assert [p.name for p in (tmp_path / "t" / "month=3").glob("*.parquet")] == untouched
 
 
+def test_only_touched_partitions_are_read(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    fact(spark, *[(i, i, "v") for i in range(1, 6)]).write.partitionBy("month").parquet(path)
+    chosen = spark.read.parquet(path).where(tables._folder(["month"]).isin(["month=2", "month=4"]))
+    assert [r[1] for r in rows(chosen.select("k", "month"))] == [2, 4]
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [concat_ws(/" in plan and "DataFilters: []" in plan
+
+
 def test_partitioned_merge_with_null_partition(spark, tmp_path):
     path = f"{tmp_path}/t"
     merge_into(spark, path, fact(spark, (1, None, "a"), (2, 2, "b")), ["k"], ["month"])
