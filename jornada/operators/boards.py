@@ -71,9 +71,11 @@ def pivot_cells(
 
 
 def items_with_cells(items: DataFrame, cell_rows: DataFrame, **pivot) -> DataFrame:
-    """Items with name, hours and assignment; items without cells get the defaults."""
-    values = pivot_cells(cell_rows.join(items.select("item_id"), "item_id", "left_semi"), **pivot)
-    return items.join(values, "item_id", "left").na.fill({"hours": "0", "assignment": ""})
+    """Items with name, hours and assignment; items without cells get the defaults.
+
+    The cells are reduced to one row per item before they meet the items.
+    """
+    return items.join(pivot_cells(cell_rows, **pivot), "item_id", "left").na.fill({"hours": "0", "assignment": ""})
 
 
 def apply_cell_edits(

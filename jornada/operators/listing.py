@@ -14,7 +14,8 @@ from jornada.session import checkpoint_folder
 # Longer value lists are joined instead of written into the plan.
 MAX_IN_LIST = 1000
 # Pages that end within this many rows are taken by a top-k; later ones by position.
-TOP_ROWS = 100_000
+# The top-k brings this many rows of every task together, so the bound is low.
+TOP_ROWS = 1_000
 
 
 def equal_to(df: DataFrame, filters: Mapping[str, object]) -> DataFrame:

@@ -72,8 +72,8 @@ def _join_on_substrings(df: DataFrame, field: str, needles: DataFrame) -> DataFr
     an equi join. Only true matches come out of the join. The lengths are a few
     small integers, bounded by the longest text.
     """
-    needles = needles.groupBy("_needle").agg(F.min("_first").alias("_first"))
     lengths = sorted(r[0] for r in needles.select(F.length("_needle")).distinct().collect())
+    needles = needles.groupBy("_needle").agg(F.min("_first").alias("_first"))
     all_lengths = F.array(*[F.lit(n) for n in lengths])
 
     prepared = df.withColumn("_field", normalised(F.col(field)))
@@ -85,14 +85,16 @@ def _join_on_substrings(df: DataFrame, field: str, needles: DataFrame) -> DataFr
             lambda n: F.transform(F.sequence(F.lit(1), size - n + 1), lambda at: F.substr(F.col("_field"), at, n)),
         )
     )
+    # Joined null-safe, so that both sides get an exchange of their own: AQE then
+    # sees their real sizes, and can split a piece that occurs in very many fields,
+    # or a field value that very many rows share.
+    is_needle = F.col("_piece").eqNullSafe(F.col("_needle"))
     matches = (
-        values.select("_field", F.explode(F.array_distinct(pieces)).alias("_needle"))
-        .join(needles, "_needle")
+        values.select("_field", F.explode(F.array_distinct(pieces)).alias("_piece"))
+        .join(needles, is_needle)
         .groupBy("_field")
         .agg(F.min("_first").alias("_first"))
         .select(F.col("_field").alias("_value"), F.col("_first._id").alias("_match"))
     )
-    # Null-safe, so that the matches get an exchange of their own: AQE then sees
-    # their real size, and can split a field value that very many rows share.
     same_value = F.col("_field").eqNullSafe(F.col("_value"))
     return prepared.join(matches, same_value, "left").select(*df.columns, "_field", "_match")

@@ -54,7 +54,7 @@ def charge_profiles(
     All lookups run on the employee table, so that a fact row is joined once,
     by employee, whatever the number of lookups.
     """
-    by_nid = last_id_per_key(warehouse_ids, "nid", "empleado_id")
+    by_nid = last_id_per_key(warehouse_ids, "nid", "empleado_id").withColumnRenamed("nid", "known_nid")
     current = latest_values(
         assignments.withColumn("_updated", to_utc(F.col("updated_at"))),
         keys=["employee_id"],
@@ -62,9 +62,12 @@ def charge_profiles(
         updated_at="_updated",
         tie_break="id",
     ).withColumnRenamed("employee_id", "id")
+    # Null-safe joins here and below, although neither right side has null keys:
+    # both sides then get an exchange of their own, and AQE can split a hot key.
     people = (
-        employees.select("id", "nid", F.col("company_name").alias("cliente"), "price_per_hour")
-        .join(by_nid, "nid", "left")
+        employees.where("id is not null")
+        .select("id", "nid", F.col("company_name").alias("cliente"), "price_per_hour")
+        .join(by_nid, F.col("nid").eqNullSafe(F.col("known_nid")), "left")
         .join(current, "id", "left")
     )
     if missing_department is not None:
@@ -94,11 +97,11 @@ def time_charges(flat_entries: DataFrame, profiles: DataFrame) -> DataFrame:
         F.col("project_id").alias("proyecto"),
         F.col("tags").alias("etiqueta"),
         duration_hours(start, end).alias("horas_imputadas"),
-        F.col("employee_id").alias("id"),
+        "employee_id",
     )
     known = profiles.where(F.col("empleado_id").isNotNull()).withColumnRenamed("price_per_hour", "precio_hora")
     columns = table_schema("fact_time_charge").names
-    charges = entries.join(known, "id").select(*columns)
+    charges = entries.join(known, F.col("employee_id").eqNullSafe(F.col("id"))).select(*columns)
     return drop_nulls(fill_nulls(charges, {"tarea": "", "etiqueta": MISSING_TAG}))
 
 

@@ -12,6 +12,7 @@ from jornada.operators.daily import worked_hours_with_checks
 from jornada.operators.latest import latest_per_key
 from jornada.operators.lookup import lookup_contains
 from jornada.operators.merge import rows_with_new_key
+from jornada.plans.facts import charge_profiles, time_charges
 from jornada.plans.marts import mart_time_entries
 from jornada.session import checkpoint_folder
 
@@ -100,6 +101,35 @@ def test_hot_employee_of_the_mart_is_split(spark, conf):
     assert rows(mart.where("empleado_id = '0'").groupBy("nombre_departamento").count()) == [("d0", 13334)]
 
 
+def test_hot_employee_of_the_charges_is_split(spark, conf):
+    conf(**SKEW)
+    entries = hot(spark).selectExpr(
+        "cast(key as string) as employee_id",
+        "cast(id as string) as project_id",
+        "'2024-01-10T08:00:00Z' as time_entry_in_datetime",
+        "'2024-01-10T09:30:00Z' as time_entry_out_datetime",
+        "'a' as tags",
+        "cast(null as string) as comment",
+    )
+    people = spark.range(2000).selectExpr(
+        "cast(id as string) as id", "concat('n', id) as nid", "'Acme SL' as company_name", "1.0D as price_per_hour"
+    )
+    ids = spark.range(2000).selectExpr("concat('n', id) as nid", "id as empleado_id")
+    companies = spark.range(1).selectExpr("cast(7 as int) as empresa_id", "'acme' as nombre")
+    assigned = spark.range(100).selectExpr(
+        "cast(id as string) as id", "cast(id as string) as employee_id", "'Sales' as department_name", "'2024-01-01' as updated_at"
+    )
+    departments = spark.range(1).selectExpr("cast(3 as int) as departamento_id", "'sales ' as nombre")
+    charges = time_charges(entries, charge_profiles(people, ids, companies, assigned, departments))
+    assert "SortMergeJoin(skew=true)" in final_plan(charges)
+    known = [0] * 13334 + [i for i in range(2000) if i % 3]
+    assert rows(charges.groupBy("empleado_id", "departamento_id").count().where("empleado_id < 2")) == [
+        (0, 3, 13334),
+        (1, 3, 1),
+    ]
+    assert charges.count() == len(known)
+
+
 def test_hot_day_of_checks_is_split(spark, conf):
     conf(**SKEW)
     records = hot(spark).selectExpr(
