@@ -6,7 +6,7 @@ the result. Upserting jobs return their row counts per action.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from jornada.functions import check_date_range, in_date_range
 from jornada.operators import boards, flatten
+from jornada.operators.latest import latest_per_key
 from jornada.operators.listing import with_statuses
 from jornada.plans import dimensions, facts, marts
 from jornada.session import use_utc
@@ -48,46 +49,64 @@ def with_entry_month(entries: DataFrame) -> DataFrame:
     return entries.withColumn("entry_month", F.year(start) * 100 + F.month(start))
 
 
+def landed(
+    spark: SparkSession, landing: str, entity: str, flatten_records: Callable[..., DataFrame], **days: str
+) -> DataFrame:
+    """Flat records of an entity; of several extracts of a record the last to arrive."""
+    raw = read_landing(use_utc(spark), landing, entity, with_arrival=True, **days)
+    flat = flatten_records(raw, F.col("arrival"))
+    marked = flat.withColumn("_content", F.xxhash64(*[c for c in flat.columns if c != "arrival"]))
+    return latest_per_key(marked, ["id"], "arrival", "_content").drop("arrival", "_content")
+
+
+def landed_employees(spark: SparkSession, landing: str) -> DataFrame:
+    return with_statuses(landed(spark, landing, "employees", flatten.flatten_employees), EMPLOYEE_STATUSES)
+
+
+def landed_assignments(spark: SparkSession, landing: str) -> DataFrame:
+    return landed(spark, landing, "department_assignments", flatten.flatten_department_assignments)
+
+
+def landed_entries(spark: SparkSession, landing: str, from_date: str, to_date: str) -> DataFrame:
+    """Entries landed on the days of the range or next to it: a local day is not a UTC day."""
+    first, last = check_date_range(from_date, to_date)
+    days = {
+        "from_date": (first - timedelta(days=1)).isoformat(),
+        "to_date": (last + timedelta(days=1)).isoformat(),
+    }
+    return landed(spark, landing, "time_entries", flatten.flatten_time_entries, **days)
+
+
 def load_departments(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
-    raw = read_landing(use_utc(spark), landing, "departments")
-    return merge_table(spark, warehouse, "dim_department", dimensions.departments(flatten.flatten_departments(raw)))
+    flat = landed(spark, landing, "departments", flatten.flatten_departments)
+    return merge_table(spark, warehouse, "dim_department", dimensions.departments(flat))
 
 
 def load_department_assignments(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
-    raw = read_landing(use_utc(spark), landing, "department_assignments")
-    rows = dimensions.department_assignments(flatten.flatten_department_assignments(raw))
+    rows = dimensions.department_assignments(landed_assignments(spark, landing))
     return merge_table(spark, warehouse, "fact_department_assignment", rows)
 
 
 def load_projects(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
-    raw = read_landing(use_utc(spark), landing, "projects")
-    return merge_table(spark, warehouse, "dim_project", dimensions.projects(flatten.flatten_projects(raw)))
+    flat = landed(spark, landing, "projects", flatten.flatten_projects)
+    return merge_table(spark, warehouse, "dim_project", dimensions.projects(flat))
 
 
 def load_employees(spark: SparkSession, landing: str, warehouse: str) -> tuple[dict[str, int], DataFrame]:
     """Also returns the rejected rows (unknown company)."""
-    raw = with_statuses(read_landing(use_utc(spark), landing, "employees"), EMPLOYEE_STATUSES)
     companies = read_table(spark, f"{warehouse}/dim_company", "dim_company")
-    rows, rejected = dimensions.employees(flatten.flatten_employees(raw), companies)
+    rows, rejected = dimensions.employees(landed_employees(spark, landing), companies)
     return merge_table(spark, warehouse, "dim_employee", rows), rejected
 
 
 def load_time_entries(
     spark: SparkSession, landing: str, warehouse: str, from_date: str, to_date: str
 ) -> dict[str, int]:
-    raw = _landed_entries(use_utc(spark), landing, from_date, to_date)
-    rows = facts.time_entries(flatten.flatten_time_entries(raw))
+    rows = facts.time_entries(landed_entries(spark, landing, from_date, to_date))
     rows = in_date_range(rows, "time_entry_in", *check_date_range(from_date, to_date))
     return merge_table(spark, warehouse, "fact_time_entry", with_entry_month(rows))
 
 
-def _landed_entries(spark: SparkSession, landing: str, from_date: str, to_date: str) -> DataFrame:
-    """Entries landed on the days of the range or next to it: a local day is not a UTC day."""
-    first, last = check_date_range(from_date, to_date)
-    days = (first - timedelta(days=1)).isoformat(), (last + timedelta(days=1)).isoformat()
-    return read_landing(spark, landing, "time_entries", from_date=days[0], to_date=days[1])
-
-
 def load_worked_hours(
     spark: SparkSession, landing: str, warehouse: str, from_date: str, to_date: str
 ) -> dict[str, int]:
@@ -105,16 +124,14 @@ def load_time_charges_and_signings(
 ) -> None:
     """The two append-only facts, from the landing zone and the loaded dimensions."""
     first_last = check_date_range(from_date, to_date)
-    use_utc(spark)
-    people = flatten.flatten_employees(with_statuses(read_landing(spark, landing, "employees"), EMPLOYEE_STATUSES))
     lookups = (
-        people,
+        landed_employees(use_utc(spark), landing),
         read_table(spark, f"{warehouse}/dim_employee", "dim_employee"),
         read_table(spark, f"{warehouse}/dim_company", "dim_company"),
-        flatten.flatten_department_assignments(read_landing(spark, landing, "department_assignments")),
+        landed_assignments(spark, landing),
         read_table(spark, f"{warehouse}/dim_departamento", "dim_departamento"),
     )
-    entries = flatten.flatten_time_entries(_landed_entries(spark, landing, from_date, to_date))
+    entries = landed_entries(spark, landing, from_date, to_date)
     charges = facts.time_charges(entries, facts.charge_profiles(*lookups, company_aliases=company_aliases))
     _append(spark, warehouse, "fact_time_charge", in_date_range(charges, "fecha", *first_last), first_last)
 
@@ -130,9 +147,10 @@ def _append(spark: SparkSession, root: str, name: str, rows: DataFrame, days) ->
 def board_items(spark: SparkSession, landing: str) -> DataFrame:
     """Items of all landed boards: ``item_id, name, hours, assignment``."""
     pages = read_landing(spark, landing, "board_items", with_arrival=True)
-    landed = read_landing(spark, landing, "item_cells", with_arrival=True)
-    items = boards.board_items(pages)
-    return boards.items_with_cells(items, boards.cells(landed, "arrival"), order="arrival_seq")
+    cell_lists = read_landing(spark, landing, "item_cells", with_arrival=True)
+    return boards.items_with_cells(
+        boards.board_items(pages), boards.cells(cell_lists, "arrival"), order="arrival_seq"
+    )
 
 
 def build_mart_time_entries(

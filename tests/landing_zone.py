@@ -1,15 +1,20 @@
 """A small landing zone with invented people, written as the extracts write it."""
 
 import json
+import os
 
 
-def write_pages(root, entity, tenant, *pages, date=None, name="part"):
+def write_pages(root, entity, tenant, *pages, date=None, name="part", at=None):
+    """``at`` sets the time the file arrived."""
     folder = root / entity / f"tenant={tenant}"
     if date:
         folder = folder / f"date={date}"
     folder.mkdir(parents=True, exist_ok=True)
     lines = [json.dumps({"data": page}) for page in pages]
-    (folder / f"{name}.json").write_text("\n".join(lines) + "\n")
+    file = folder / f"{name}.json"
+    file.write_text("\n".join(lines) + "\n")
+    if at is not None:
+        os.utime(file, (at, at))
 
 
 def employee(key, company, **fields):

@@ -201,6 +201,25 @@ def test_changed_extracts_update_the_mart(spark, landing, warehouse, tmp_path):
     assert [r.tiempo_trabajado for r in daily.collect()] == [1.0]
 
 
+def test_last_extract_of_a_record_wins(spark, tmp_path, warehouse):
+    root = tmp_path / "landing"
+    one, two = employee("e1", "Acme"), employee("e2", "Acme")
+    write_pages(root, "employees", "north", [one, two], name="a", at=2_000_000_000)
+    write_pages(root, "employees", "north", [{**one, "firstName": "Old"}], name="b", at=1_000_000_000)
+    write_pages(root, "employees", "north", [{**two, "status": "candidate"}], name="c", at=2_100_000_000)
+    counts, _ = jobs.load_employees(spark, str(root), warehouse)
+    assert counts["insert"] == 1
+    assert [r.nombre for r in spark.read.parquet(f"{warehouse}/dim_employee").collect()] == ["First e1"]
+
+    start, end = "2024-01-10T08:00:00Z", "2024-01-10T09:00:00Z"
+    later = [time_entry("t1", "e1", "2024-01-12T08:00:00Z", "2024-01-12T10:00:00Z")]
+    write_pages(root, "time_entries", "north", [time_entry("t1", "e1", start, end)], date="2024-01-10", at=1_000_000_000)
+    write_pages(root, "time_entries", "north", later, date="2024-01-12", at=1_000_000_500)
+    jobs.load_time_entries(spark, str(root), warehouse, "2024-01-10", "2024-01-12")
+    stored = spark.read.parquet(f"{warehouse}/fact_time_entry").collect()
+    assert [r.time_entry_in for r in stored] == [datetime(2024, 1, 12, 8)]
+
+
 def test_csv_files_and_lines(spark, tmp_path):
     schema = table_schema("dim_department")
     df = spark.createDataFrame([("01", 'Sales, "north"'), ("02", None)], schema)
