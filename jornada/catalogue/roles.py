@@ -216,7 +216,7 @@ def raw_time_entries(t: Tables) -> DataFrame:
         F.when(~is_error, F.struct(project_number().alias("id"))).alias("project"),
         F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+01:00'").alias("date")).alias("timeEntryIn"),
         F.struct(F.date_format(entry_end(), "yyyy-MM-dd'T'HH:mm:ss'+01:00'").alias("date")).alias("timeEntryOut"),
-        F.struct(F.when(is_error, none).otherwise(named).alias("data")).alias("tags"),
+        F.struct(F.when(is_error | (F.col("value") < 5), none).otherwise(named).alias("data")).alias("tags"),
         F.when(F.col("event_type") != "view", F.repeat("props", 25)).alias("comment"),
     )
 
@@ -230,7 +230,7 @@ RAW_TIME_ENTRIES = f"""
            case when event_type = 'error' then '' else {PROJECT_NUMBER} end as project_id,
            {_utc_second("ts")} as time_in,
            {_utc_second("(ts + to_seconds(cast(round(value * 60) as bigint)))")} as time_out,
-           case when event_type = 'error' then '' else event_type || ',' || props end as tags,
+           case when event_type = 'error' or value < 5 then '' else event_type || ',' || props end as tags,
            case when event_type <> 'view' then repeat(props, 25) end as comment
     from events"""
 

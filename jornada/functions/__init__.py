@@ -5,6 +5,7 @@ from jornada.functions.clean import (
     decimal_comma,
     first_characters,
     iso_date,
+    null_if_blank,
     right_trim,
     to_utc,
     zero_if_null,
@@ -24,6 +25,7 @@ __all__ = [
     "hour_minute",
     "in_date_range",
     "iso_date",
+    "null_if_blank",
     "parse_order",
     "quoted_token",
     "right_trim",

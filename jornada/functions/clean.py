@@ -32,6 +32,10 @@ def blank_if_null(value: Column) -> Column:
     return F.coalesce(value, F.lit(""))
 
 
+def null_if_blank(text: Column) -> Column:
+    return F.when(text != "", text)
+
+
 def zero_if_null(value: Column, type_name: str) -> Column:
     """Null, and text that is no number, become 0 of the given type."""
     return F.coalesce(value.try_cast(type_name), F.lit(0).cast(type_name))

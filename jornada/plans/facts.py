@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jornada.functions import duration_hours, first_characters, to_utc
+from jornada.functions import duration_hours, first_characters, null_if_blank, to_utc
 from jornada.operators.daily import daily_worked_hours
 from jornada.operators.latest import last_id_per_key, latest_values
 from jornada.operators.lookup import lookup_contains
@@ -89,13 +89,17 @@ def charge_profiles(
 
 
 def time_charges(flat_entries: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Charged hours of employees known to the warehouse; incomplete rows are dropped."""
+    """Charged hours of employees known to the warehouse.
+
+    Entries without tags get a label; rows that are otherwise incomplete, such as
+    those without project, are dropped.
+    """
     start, end = to_utc(F.col("time_entry_in_datetime")), to_utc(F.col("time_entry_out_datetime"))
     entries = flat_entries.select(
         F.to_date(start).alias("fecha"),
         F.col("comment").alias("tarea"),
-        F.col("project_id").alias("proyecto"),
-        F.col("tags").alias("etiqueta"),
+        null_if_blank(F.col("project_id")).alias("proyecto"),
+        null_if_blank(F.col("tags")).alias("etiqueta"),
         duration_hours(start, end).alias("horas_imputadas"),
         "employee_id",
     )

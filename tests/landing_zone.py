@@ -118,7 +118,7 @@ def write_all(root):
         root,
         "time_entries",
         "south",
-        [time_entry("t4", "e3", "2024-02-01T08:00:00Z", "2024-02-01T10:00:00Z", "p9")],
+        [time_entry("t4", "e3", "2024-02-01T08:00:00Z", "2024-02-01T10:00:00Z", "p9", tags=(), comment=None)],
         date="2024-02-01",
     )
     write_pages(root, "worked_hours", "north", [hours("e1", 3600), hours("e1", None), hours(None, 60)], date="2024-01-10")

@@ -160,12 +160,11 @@ def test_all_jobs_and_that_they_can_be_repeated(spark, landing, warehouse, tmp_p
         ("e3", date(2024, 3, 1), 100 / 3600, 8.0),
     ]
 
-    # e2 has no national id; t3's employee is unknown: neither is charged.
+    # e2 has no national id, t3's employee is unknown, t2 has no project: none is charged.
     charges = spark.read.parquet(f"{warehouse}/fact_time_charge")
-    assert rows(charges.select("proyecto", "empresa_id", "departamento_id", F.length("tarea"))) == [
-        ("", 1, 7, 10),
-        ("p1", 1, 7, 300),
-        ("p9", 2, 35, 10),
+    assert rows(charges.select("proyecto", "etiqueta", "empresa_id", "departamento_id", F.length("tarea"))) == [
+        ("p1", "a,b", 1, 7, 300),
+        ("p9", "No especificada", 2, 35, 0),
     ]
     signed = spark.read.parquet(f"{warehouse}/fact_signing")
     assert rows(signed.select("fecha", "tiempo_trabajado", "departamento_id")) == [
