@@ -62,7 +62,7 @@ def listing_in_large(t: Tables) -> DataFrame:
         from ({_PEOPLE}) as p order by place limit 500""",
 )
 def listing_order(t: Tables) -> DataFrame:
-    page = listing.page_of(_people(t), "code asc, cost desc", limit=500, tie_break="id")
+    page = listing.page_of(_people(t), "code asc, cost desc", limit=500, tie_break=["id"])
     # The page is the feature; its 500 rows are numbered to show their order.
     return _numbered(page.select("id", "name", "code", "cost"), ["code", F.desc("cost"), "id"])
 

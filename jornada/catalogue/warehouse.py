@@ -1,4 +1,4 @@
-"""The composite pipelines from raw records or warehouse tables to table rows."""
+"""From raw records to warehouse rows, and from warehouse tables to mart rows."""
 
 from __future__ import annotations
 

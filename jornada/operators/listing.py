@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from jornada.functions import check_date_range, in_date_range, parse_order
 from jornada.session import checkpoint_folder
 
+# Fixed value: rows of a page when a page but no limit is asked for.
+PAGE_SIZE = 100
+
 # Longer value lists are joined instead of written into the plan.
 MAX_IN_LIST = 1000
 # Pages that end within this many rows are taken by a top-k; later ones by position.
@@ -83,10 +86,10 @@ def page_of(
     order_by: str,
     limit: int,
     page: int = 1,
-    tie_break: str | None = None,
+    tie_break: Sequence[str] = (),
     top_rows: int = TOP_ROWS,
 ) -> DataFrame:
-    """Page ``page`` (from 1) of ``limit`` rows; the tie-break makes the order total.
+    """Page ``page`` (from 1) of ``limit`` rows; the tie-break columns make the order total.
 
     Early pages are a top-k: each task keeps its first rows only. A page far
     down would push everything before it through one task, so there the sorted
@@ -95,8 +98,7 @@ def page_of(
     if limit < 1 or page < 1:
         raise ValueError("limit and page start at 1")
     order = parse_order(order_by, df.columns)
-    if tie_break:
-        order.append(F.col(tie_break).asc_nulls_last())
+    order += [F.col(c).asc_nulls_last() for c in tie_break]
     first = (page - 1) * limit
     if first + limit <= top_rows:
         return df.orderBy(*order).offset(first).limit(limit)
@@ -138,7 +140,7 @@ class Listing:
     employee_status: bool = False
     with_checks: bool = False
     orders: bool = False
-    key: str = "id"
+    key: Sequence[str] = ("id",)
 
     def parameters(self) -> set[str]:
         names = {*self.equal, *self.any_of, *self.one_of, "limit", "page"}
@@ -165,7 +167,11 @@ LISTINGS = {
         orders=True,
     ),
     "worked_hours": Listing(
-        one_of={"employee_ids": "employeeId"}, day="date", day_required=True, with_checks=True, key="employeeId"
+        one_of={"employee_ids": "employeeId"},
+        day="date",
+        day_required=True,
+        with_checks=True,
+        key=("employeeId", "date"),
     ),
     "work_entries": Listing(
         equal={"employee_id": "employee_id"},
@@ -184,7 +190,7 @@ LISTINGS = {
 def list_entity(df: DataFrame, entity: str, employees: DataFrame | None = None, **asked) -> DataFrame:
     """Listing of one entity; parameters left out, or None, do not filter.
 
-    Without ``limit`` the whole filtered table is returned, unordered.
+    Without ``limit`` and ``page`` the whole filtered table is returned.
     """
     spec = LISTINGS[entity]
     unknown = set(asked) - spec.parameters()
@@ -206,9 +212,10 @@ def list_entity(df: DataFrame, entity: str, employees: DataFrame | None = None,
         df = of_employees_with_status(df, employees, get("employee_status"))
     if spec.with_checks and not get("with_checks"):
         df = df.drop("checks")
-    if get("limit") is None:
+    if get("limit") is None and get("page") is None:
         return df.orderBy(*parse_order(get("order_by"), df.columns)) if get("order_by") else df
-    return page_of(df, get("order_by") or spec.key, get("limit"), get("page") or 1, tie_break=spec.key)
+    order_by = get("order_by") or ", ".join(spec.key)
+    return page_of(df, order_by, get("limit") or PAGE_SIZE, get("page") or 1, tie_break=spec.key)
 
 
 def _by_day(df: DataFrame, spec: Listing, from_date: str | None, to_date: str | None) -> DataFrame:

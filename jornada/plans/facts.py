@@ -64,12 +64,10 @@ def charge_profiles(
     ).withColumnRenamed("employee_id", "id")
     # Null-safe joins here and below, although neither right side has null keys:
     # both sides then get an exchange of their own, and AQE can split a hot key.
-    people = (
-        employees.where("id is not null")
-        .select("id", "nid", F.col("company_name").alias("cliente"), "price_per_hour")
-        .join(by_nid, F.col("nid").eqNullSafe(F.col("known_nid")), "left")
-        .join(current, "id", "left")
+    known = employees.where("id is not null").select(
+        "id", "nid", F.col("company_name").alias("cliente"), "price_per_hour"
     )
+    people = known.join(by_nid, F.col("nid").eqNullSafe(F.col("known_nid")), "left").join(current, "id", "left")
     if missing_department is not None:
         people = fill_nulls(people, {"department_name": missing_department})
     people = lookup_contains(
@@ -85,7 +83,12 @@ def charge_profiles(
         "departamento_id",
         default=DEFAULT_DEPARTMENT_ID,
     )
-    return broadcast_if_small(profiles, employees, warehouse_ids, assignments)
+    inputs = (
+        known,
+        warehouse_ids.select("nid", "empleado_id"),
+        assignments.select("employee_id", "department_name"),
+    )
+    return broadcast_if_small(profiles, *inputs)
 
 
 def time_charges(flat_entries: DataFrame, profiles: DataFrame) -> DataFrame:

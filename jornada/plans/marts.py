@@ -50,7 +50,8 @@ def employee_profiles(employees: DataFrame, assignments: DataFrame, departments:
         "costo_hora_empresa",
         F.col("department_name").alias("nombre_departamento"),
     )
-    return broadcast_if_small(profiles, people, assignments, departments)
+    assigned_columns = assignments.select("employee_sesame_id", "department_sesame_id")
+    return broadcast_if_small(profiles, people, assigned_columns, departments)
 
 
 def mart_time_entries(

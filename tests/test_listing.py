@@ -32,7 +32,7 @@ def test_pages_cover_the_table_in_order(people):
     for top_rows in (1000, 0):
         got = []
         for page in range(1, 8):
-            part = listing.page_of(people, "name desc", 8, page, tie_break="id", top_rows=top_rows)
+            part = listing.page_of(people, "name desc", 8, page, tie_break=["id"], top_rows=top_rows)
             got += [r.id for r in part.collect()]
         assert got == expected
 
@@ -42,6 +42,12 @@ def test_page_past_the_end_is_empty(people):
         assert listing.page_of(people, "id", 10, 9, top_rows=top_rows).isEmpty()
 
 
+def test_page_without_limit_has_the_usual_size(spark):
+    df = spark.range(250).withColumn("name", F.lit("n"))
+    assert [r.id for r in listing.list_entity(df, "departments", page=3).collect()] == list(range(200, 250))
+    assert listing.list_entity(df, "departments").count() == 250
+
+
 def test_nulls_come_last_both_ways(spark):
     df = spark.createDataFrame([(None,), (1,), (2,)], "id int")
     assert [r.id for r in listing.page_of(df, "id asc", 3).collect()] == [1, 2, None]

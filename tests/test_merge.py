@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import rows
 
@@ -79,3 +81,25 @@ def test_delete_by_key(spark):
 def test_repeated_keys_are_refused(spark):
     with pytest.raises(ValueError, match="not unique"):
         merge.assert_unique(spark.createDataFrame([(1, 1), (1, 2)], "k int, v int"), ["k"])
+
+
+def test_upsert_against_a_dictionary(spark):
+    random.seed(11)
+    schema = "a int, b string, v int, w string"
+
+    def table(n):
+        keys = {(random.choice([None, *range(12)]), random.choice([None, "x", "y", "z"])) for _ in range(n)}
+        return {k: (random.choice([None, 1, 2]), random.choice([None, "p", "q"])) for k in keys}
+
+    target, source = table(30), table(30)
+    frames = [spark.createDataFrame([(*k, *v) for k, v in t.items()], schema) for t in (target, source)]
+    merged = merge.upsert(*frames, ["a", "b"])
+    assert rows(merged) == rows(spark.createDataFrame([(*k, *v) for k, v in (target | source).items()], schema))
+    actions = {(r.a, r.b): r.action for r in merge.classify_changes(*frames, ["a", "b"]).collect()}
+    for key in target | source:
+        if key not in target:
+            assert actions[key] == "insert"
+        elif key not in source:
+            assert actions[key] == "keep"
+        else:
+            assert actions[key] == ("unchanged" if target[key] == source[key] else "update")
