@@ -144,6 +144,11 @@ def _append(spark: SparkSession, root: str, name: str, rows: DataFrame, days) ->
     append_new_rows(spark, f"{root}/{name}", rows, TABLE_KEYS[name], "fecha", days, PARTITIONS[name])
 
 
+def board_ids(spark: SparkSession, landing: str) -> DataFrame:
+    """Board name -> id; of several boards with one name the last to arrive."""
+    return boards.board_ids(read_landing(spark, landing, "boards", with_arrival=True))
+
+
 def board_items(spark: SparkSession, landing: str) -> DataFrame:
     """Items of all landed boards: ``item_id, name, hours, assignment``."""
     pages = read_landing(spark, landing, "board_items", with_arrival=True)

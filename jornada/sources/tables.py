@@ -17,6 +17,7 @@ from jornada.operators.merge import (
     _aligned,
     assert_unique,
     classify_changes,
+    delete_by_key,
     key_hash,
     rows_with_known_key,
     rows_with_new_key,
@@ -101,6 +102,9 @@ def merge_into(
     source.write.mode("overwrite").parquet(incoming_path)
     incoming = spark.read.schema(source.schema).parquet(incoming_path)
     assert_unique(incoming, keys)
+    if incoming.isEmpty():
+        delete(spark, incoming_path)
+        return dict.fromkeys(ACTIONS, 0)
     if not known:
         if surrogate and surrogate not in incoming.columns:
             incoming = incoming.withColumn(surrogate, key_hash(keys))
@@ -108,28 +112,41 @@ def merge_into(
         _write(rows, path, partition_by)
         delete(spark, incoming_path)
         return counts.get
-    if incoming.isEmpty():
-        delete(spark, incoming_path)
-        return dict.fromkeys(ACTIONS, 0)
-    target = spark.read.parquet(path)
-    if not partition_by:
-        rows, counts = _counted(classify_changes(target, incoming, keys, surrogate, "_action"))
-        _replace(spark, path, rows, (), None)
-    else:
-        parts = list(partition_by)
-        homes = _aligned(incoming, target, parts)
-        if rows_move and not set(parts) <= set(keys):
-            located = target.select(*dict.fromkeys([*keys, *parts]))
-            homes = homes.union(rows_with_known_key(located, incoming, keys).select(*parts))
-        # One row per partition: no more than the file listing on the driver holds.
-        touched = homes.distinct().withColumn("_folder", _folder(parts)).collect()
-        affected = target.where(_folder(parts).isin([row["_folder"] for row in touched]))
-        rows, counts = _counted(classify_changes(affected, incoming, keys, surrogate, "_action"))
-        _replace(spark, path, rows, parts, {row["_folder"] for row in touched})
+
+    target, touched = spark.read.parquet(path), None
+    if partition_by:
+        homes = _aligned(incoming, target, partition_by)
+        if rows_move and not set(partition_by) <= set(keys):
+            homes = homes.union(_homes(target, incoming, keys, partition_by))
+        touched = _folders_of(homes, partition_by)
+        target = target.where(_folder(partition_by).isin(sorted(touched)))
+    rows, counts = _counted(classify_changes(target, incoming, keys, surrogate, "_action"))
+    _stage(spark, path, rows, partition_by, touched)
+    matched = sum(counts.get[a] for a in ACTIONS if a != "keep")
+    if matched != incoming.count():
+        delete(spark, f"{path}.staged")
+        raise ValueError(f"{path}: key {list(keys)} is not unique in the table")
+    _commit(spark, path, partition_by)
     delete(spark, incoming_path)
     return counts.get
 
 
+def delete_from(
+    spark: SparkSession, path: str, gone: DataFrame, keys: Sequence[str], partition_by: Sequence[str] = ()
+) -> None:
+    """Delete the rows with these keys; only partitions that hold one are rewritten."""
+    if not has_table(spark, path):
+        return
+    target, touched = spark.read.parquet(path), None
+    if partition_by:
+        touched = _folders_of(_homes(target, gone, keys, partition_by), partition_by)
+        if not touched:
+            return
+        target = target.where(_folder(partition_by).isin(sorted(touched)))
+    _stage(spark, path, delete_by_key(target, gone, keys), partition_by, touched)
+    _commit(spark, path, partition_by)
+
+
 def append_new_rows(
     spark: SparkSession,
     path: str,
@@ -141,7 +158,8 @@ def append_new_rows(
 ) -> None:
     """Append the rows of new keys; ``days`` bounds the part of the table searched for known keys."""
     if not has_table(spark, path):
-        _write(incoming, path, partition_by)
+        if not incoming.isEmpty():
+            _write(incoming, path, partition_by)
         return
     existing = spark.read.parquet(path)
     if day and days:
@@ -156,6 +174,17 @@ def _folder(parts: Sequence[str]) -> Column:
     return F.concat_ws("/", *[F.concat(F.lit(f"{p}="), v) for p, v in zip(parts, values, strict=True)])
 
 
+def _homes(target: DataFrame, incoming: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> DataFrame:
+    """Partitions of the rows whose key is among the incoming ones, by a scan of the key columns."""
+    located = target.select(*dict.fromkeys([*keys, *parts]))
+    return rows_with_known_key(located, incoming.select(*keys), keys).select(*parts)
+
+
+def _folders_of(homes: DataFrame, parts: Sequence[str]) -> set[str]:
+    """One name per partition: no more than the file listing on the driver holds."""
+    return {row[0] for row in homes.select(_folder(parts)).distinct().collect()}
+
+
 def _counted(classified: DataFrame) -> tuple[DataFrame, Observation]:
     """The rows without their action, counting the actions while they are written."""
     counts = Observation()
@@ -176,22 +205,23 @@ def load_report(spark: SparkSession, path: str, source: DataFrame, keys: Sequenc
     return merged.groupBy("action").agg(F.count("*").alias("rows"))
 
 
-def _replace(
+def _stage(
     spark: SparkSession, path: str, rows: DataFrame, parts: Sequence[str], touched: set[str] | None
 ) -> None:
-    """Replace the touched partitions, or the whole table, by ``rows``.
-
-    The new rows are first written next to the table. From the moment they are
-    complete, a crash loses nothing: the next access repeats the second step.
-    """
+    """Write the rows that replace the touched partitions, or the whole table, next to it."""
     staged = f"{path}.staged"
     rows.write.mode("overwrite").parquet(f"{staged}/rows")
-    emptied = set()
-    if touched is not None:
-        kept = spark.read.parquet(f"{staged}/rows").select(_folder(parts)).distinct().collect()
-        emptied = touched - {row[0] for row in kept}
-    plan = spark.createDataFrame([(list(parts), sorted(emptied))], "parts array<string>, emptied array<string>")
-    plan.coalesce(1).write.mode("overwrite").parquet(f"{staged}/ready")
+    kept = _folders_of(spark.read.parquet(f"{staged}/rows"), parts) if parts else set()
+    emptied = sorted((touched or set()) - kept)
+    spark.createDataFrame([(f,) for f in emptied], "folder string").coalesce(1).write.mode("overwrite").parquet(
+        f"{staged}/emptied"
+    )
+
+
+def _commit(spark: SparkSession, path: str, parts: Sequence[str]) -> None:
+    """Replace. From here on a crash loses nothing: the next access repeats the step."""
+    plan = spark.createDataFrame([(list(parts),)], "parts array<string>")
+    plan.coalesce(1).write.mode("overwrite").parquet(f"{path}.staged/ready")
     _finish_replace(spark, path)
 
 
@@ -199,13 +229,13 @@ def _finish_replace(spark: SparkSession, path: str) -> None:
     staged = f"{path}.staged"
     if not exists(spark, f"{staged}/ready/_SUCCESS"):
         return
-    parts, emptied = spark.read.parquet(f"{staged}/ready").first()
+    parts = spark.read.parquet(f"{staged}/ready").first()["parts"]
     rows = spark.read.parquet(f"{staged}/rows")
     if not parts:
         rows.write.mode("overwrite").parquet(path)
     else:
-        for folder in emptied:
-            delete(spark, f"{path}/{folder}")
+        for row in spark.read.parquet(f"{staged}/emptied").collect():
+            delete(spark, f"{path}/{row['folder']}")
         writer = rows.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts)
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     delete(spark, f"{staged}/ready")

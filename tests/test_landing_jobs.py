@@ -221,7 +221,10 @@ def test_last_extract_of_a_record_wins(spark, tmp_path, warehouse):
 
 def test_csv_files_and_lines(spark, tmp_path):
     schema = table_schema("dim_department")
-    df = spark.createDataFrame([("01", 'Sales, "north"'), ("02", None)], schema)
+    df = spark.createDataFrame([("01", 'Sales, "north"'), ("02", None), (" 03 ", ""), ("04", "a\nb")], schema)
     write_csv(df, f"{tmp_path}/out")
-    assert rows(read_csv(spark, f"{tmp_path}/out", schema)) == rows(df)
-    assert rows(from_csv_lines(to_csv_lines(df), schema)) == rows(df)
+    expected = rows(df.replace("", None))
+    assert rows(read_csv(spark, f"{tmp_path}/out", schema, multi_line=True)) == expected
+    assert rows(from_csv_lines(to_csv_lines(df), schema)) == expected
+    write_csv(df.where("department_sesame_id <> '04'"), f"{tmp_path}/plain")
+    assert read_csv(spark, f"{tmp_path}/plain", schema).count() == 3

@@ -77,6 +77,9 @@ def test_board_items(spark, tmp_path):
             values.append({"column": {"id": BOARD_ASSIGNMENT_COLUMN, "title": "Who"}, "value": text})
         return {"id": item, "column_values": values}
 
+    write_pages(tmp_path, "boards", "north", [{"id": "b1", "name": "Plan"}, {"id": "b2", "name": "Other"}], at=1e9)
+    write_pages(tmp_path, "boards", "south", [{"id": "b3", "name": "Plan"}], at=2e9)
+    assert rows(jobs.board_ids(spark, str(tmp_path))) == [("Other", "b2"), ("Plan", "b3")]
     page = {"cursor": "x", "items": [{"id": "i1", "name": "one"}, {"id": "i2", "name": "two"}]}
     write_pages(tmp_path, "board_items", "north", [page], [{"items": [{"id": "i3", "name": "three"}]}])
     write_pages(tmp_path, "item_cells", "north", [cells("i1", "5", "Ann"), cells("i2", None), cells("i9", "7")])

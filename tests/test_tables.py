@@ -5,7 +5,7 @@ from conftest import rows
 
 from jornada.sources import tables
 from jornada.sources.files import exists
-from jornada.sources.tables import append_new_rows, load_report, merge_into, read_days, read_table
+from jornada.sources.tables import append_new_rows, delete_from, load_report, merge_into, read_days, read_table
 
 FACT = "k int, month int, v string"
 
@@ -113,6 +113,34 @@ def test_repeated_source_key_is_refused_and_table_kept(spark, tmp_path):
     assert content(spark, path) == [(1, 1, "a")]
 
 
+def test_repeated_table_key_is_refused_and_table_kept(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    fact(spark, (1, 1, "a"), (1, 2, "b")).write.parquet(path)
+    with pytest.raises(ValueError, match="not unique in the table"):
+        merge_into(spark, path, fact(spark, (1, 1, "c")), ["k"])
+    assert content(spark, path) == [(1, 1, "a"), (1, 2, "b")]
+
+
+def test_empty_first_load_leaves_no_table(spark, tmp_path):
+    for parts in ([], ["month"]):
+        path = f"{tmp_path}/t{len(parts)}"
+        assert merge_into(spark, path, fact(spark), ["k"], parts)["insert"] == 0
+        append_new_rows(spark, path, fact(spark), ["k"], partition_by=parts)
+        assert not tables.has_table(spark, path)
+        merge_into(spark, path, fact(spark, (1, 1, "a")), ["k"], parts)
+        assert content(spark, path) == [(1, 1, "a")]
+
+
+@pytest.mark.parametrize("parts", [[], ["month"]])
+def test_delete_from(spark, tmp_path, parts):
+    path = f"{tmp_path}/t"
+    merge_into(spark, path, fact(spark, (1, 1, "a"), (2, 2, "b"), (3, 2, "c"), (4, 3, "d")), ["k"], parts)
+    gone = spark.createDataFrame([(1,), (3,), (3,), (9,)], "k int")
+    for _ in range(2):
+        delete_from(spark, path, gone, ["k"], parts)
+        assert content(spark, path) == [(2, 2, "b"), (4, 3, "d")]
+
+
 def test_append_new_rows(spark, tmp_path):
     path = f"{tmp_path}/t"
     d = [date(2024, 1, i) for i in range(1, 10)]
