@@ -70,11 +70,11 @@ def final_plan(df):
     return plan_of(df)
 
 
-def test_hot_employee_of_the_mart_is_split(spark, conf):
+def test_hot_employee_and_missing_project_of_the_mart_are_split(spark, conf):
     conf(**SKEW)
     entries = hot(spark).select(
         F.col("id").cast("string").alias("time_entry_sesame_id"),
-        (F.col("id") % 50).cast("string").alias("project_sesame_id"),
+        F.when(F.col("id") % 3 == 1, "").otherwise(F.col("id").cast("string")).alias("project_sesame_id"),
         F.expr("timestamp'2024-01-10 08:00:00'").alias("time_entry_in"),
         F.expr("timestamp'2024-01-10 09:30:00'").alias("time_entry_out"),
         F.lit("a").alias("tags"),
@@ -91,12 +91,14 @@ def test_hot_employee_of_the_mart_is_split(spark, conf):
         "id as department_assignation_sesame_id",
     )
     departments = spark.range(5).selectExpr("cast(id as string) as department_sesame_id", "concat('d', id) as department_name")
-    projects = spark.range(50).selectExpr(
+    projects = spark.range(3000).selectExpr(
         "cast(id as string) as project_sesame_id", "'p' as project_name", "'c' as customer_sesame_id", "'n' as customer_name"
     )
     mart = mart_time_entries(entries, projects, people, assigned, departments, "2024-01-01", "2024-01-31")
-    assert "SortMergeJoin(skew=true)" in final_plan(mart)
+    final = final_plan(mart).split("== Initial Plan ==")[0]
+    assert final.count("SortMergeJoin(skew=true)") == 2
     assert mart.count() == 40000
+    assert mart.where("nombre_proyecto is not null").count() == 2000
     # Key 0 was assigned by rows 0 and 1500; the second is the later one.
     assert rows(mart.where("empleado_id = '0'").groupBy("nombre_departamento").count()) == [("d0", 13334)]
 
