@@ -72,29 +72,31 @@ def _join_on_substrings(df: DataFrame, field: str, needles: DataFrame) -> DataFr
     an equi join. Only true matches come out of the join. The lengths are a few
     small integers, bounded by the longest text.
     """
-    lengths = sorted(r[0] for r in needles.select(F.length("_needle")).distinct().collect())
+    lengths = [r[0] for r in needles.select(F.length("_needle")).distinct().collect()]
     needles = needles.groupBy("_needle").agg(F.min("_first").alias("_first"))
-    all_lengths = F.array(*[F.lit(n) for n in lengths])
 
     prepared = df.withColumn("_field", normalised(F.col(field)))
     values = prepared.where(F.col("_field").isNotNull()).select("_field").distinct()
-    size = F.length("_field")
-    pieces = F.flatten(
-        F.transform(
-            F.filter(all_lengths, lambda n: n <= size),
-            lambda n: F.transform(F.sequence(F.lit(1), size - n + 1), lambda at: F.substr(F.col("_field"), at, n)),
-        )
+    size, length = F.length("_field"), F.col("_length")
+    starts = F.sequence(F.lit(1), size - length + 1)
+    pieces = F.transform(starts, lambda at: F.substr(F.col("_field"), at, length))
+    split = (
+        values.withColumn("_length", F.explode(F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= size)))
+        .select(_value_key(F.col("_field")).alias("_value"), F.explode(F.array_distinct(pieces)).alias("_piece"))
     )
     # Joined null-safe, so that both sides get an exchange of their own: AQE then
     # sees their real sizes, and can split a piece that occurs in very many fields,
     # or a field value that very many rows share.
-    is_needle = F.col("_piece").eqNullSafe(F.col("_needle"))
     matches = (
-        values.select("_field", F.explode(F.array_distinct(pieces)).alias("_piece"))
-        .join(needles, is_needle)
-        .groupBy("_field")
+        split.join(needles, F.col("_piece").eqNullSafe(F.col("_needle")))
+        .groupBy("_value")
         .agg(F.min("_first").alias("_first"))
-        .select(F.col("_field").alias("_value"), F.col("_first._id").alias("_match"))
+        .select("_value", F.col("_first._id").alias("_match"))
     )
-    same_value = F.col("_field").eqNullSafe(F.col("_value"))
+    same_value = _value_key(F.col("_field")).eqNullSafe(F.col("_value"))
     return prepared.join(matches, same_value, "left").select(*df.columns, "_field", "_match")
+
+
+def _value_key(text: Column) -> Column:
+    """The text itself, or the digest of a long one, so that its pieces stay small rows."""
+    return F.when(F.length(text) <= 64, text).otherwise(F.concat(F.lit("#"), F.sha2(text, 256)))

@@ -61,6 +61,13 @@ def test_against_brute_force(spark, inline_rows):
     assert look(spark, dim, fields, default=-1, inline_rows=inline_rows) == expected
 
 
+@PATHS
+def test_whole_long_fields_are_searched(spark, inline_rows):
+    long = "x" * 20000
+    fields = [long + "acme", long, "y" * 64 + "bolt " + long, "acme" + long + "Bolt  "]
+    assert look(spark, [(1, "bolt"), (2, "acme")], fields, inline_rows=inline_rows) == [2, None, 1, 1]
+
+
 def test_every_row_stays(spark):
     df = spark.createDataFrame([("x",), ("x",), (None,)], "field string")
     dim = spark.createDataFrame([(1, "x"), (2, "x")], "id int, name string")
