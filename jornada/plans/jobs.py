@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 
 from jornada.functions import check_date_range, in_date_range
 from jornada.operators import boards, flatten
-from jornada.operators.latest import latest_per_key
 from jornada.operators.listing import with_statuses
 from jornada.plans import dimensions, facts, marts
 from jornada.session import use_utc
-from jornada.sources.landing import read_landing
+from jornada.sources.landing import last_extract, read_landing
 from jornada.sources.tables import (
     FIXED_PARTITIONS,
     PARTITIONS,
@@ -52,11 +51,9 @@ def with_entry_month(entries: DataFrame) -> DataFrame:
 def landed(
     spark: SparkSession, landing: str, entity: str, flatten_records: Callable[..., DataFrame], **days: str
 ) -> DataFrame:
-    """Flat records of an entity; of several extracts of a record the last to arrive."""
+    """Flat records of an entity, each in its last extract."""
     raw = read_landing(use_utc(spark), landing, entity, with_arrival=True, **days)
-    flat = flatten_records(raw, F.col("arrival"))
-    marked = flat.withColumn("_content", F.xxhash64(*[c for c in flat.columns if c != "arrival"]))
-    return latest_per_key(marked, ["id"], "arrival", "_content").drop("arrival", "_content")
+    return last_extract(flatten_records(raw, F.col("arrival")))
 
 
 def landed_employees(spark: SparkSession, landing: str) -> DataFrame:

@@ -4,51 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jornada.functions import to_utc
 from jornada.operators import flatten
 from jornada.operators.listing import list_entity
 from jornada.session import use_utc
-from jornada.sources.landing import read_landing, with_company_id
+from jornada.sources.landing import last_extract, read_landing, with_company_id
 
 
-def listable(raw: DataFrame, entity: str, accounts: DataFrame | None = None) -> DataFrame:
-    """Flat records with the columns that the entity's listing filters on."""
+def listable(raw: DataFrame, entity: str, *extra: Column, accounts: DataFrame | None = None) -> DataFrame:
+    """Flat records with the columns that the entity's listing filters on, and ``extra`` ones."""
 
     def moment(path: str, name: str):
         return to_utc(F.col(path)).alias(name)
 
     if entity == "employees":
         memberships = F.col("departmentIds").alias("department_ids"), F.col("officeIds").alias("office_ids")
-        return flatten.flatten_employees(raw, *memberships)
+        return flatten.flatten_employees(raw, *memberships, *extra)
     if entity == "work_entries":
         moments = (
             moment("workEntryIn.date", "work_entry_in"),
             moment("updatedAt", "updated_at"),
             moment("deletedAt", "deleted_at"),
         )
-        return flatten.flatten_work_entries(raw, *moments)[0]
+        return flatten.flatten_work_entries(raw, *moments, *extra)[0]
     if entity == "time_entries":
-        return flatten.flatten_time_entries(raw, moment("timeEntryIn.date", "time_entry_in"))
+        return flatten.flatten_time_entries(raw, moment("timeEntryIn.date", "time_entry_in"), *extra)
     if entity == "projects":
-        return flatten.flatten_projects(with_company_id(raw, accounts), F.col("company_id"))
+        return flatten.flatten_projects(with_company_id(raw, accounts), F.col("company_id"), *extra)
     if entity == "department_assignments":
-        return flatten.flatten_department_assignments(raw)
+        return flatten.flatten_department_assignments(raw, *extra)
     if entity == "departments":
-        return flatten.flatten_departments(raw)
+        return flatten.flatten_departments(raw, *extra)
     return raw
 
 
 def list_landing(
     spark: SparkSession, root: str, entity: str, tenants: Iterable[str] | None = None, **asked
 ) -> DataFrame:
-    """Filter, order and page an entity's landed records; see ``LISTINGS`` for the parameters."""
+    """Filter, order and page an entity's landed records, each in its last extract.
+
+    See ``LISTINGS`` for the parameters.
+    """
     use_utc(spark)
-    # Only here does the folder date equal the filtered day.
-    days = {k: asked.get(k) for k in ("from_date", "to_date")} if entity == "worked_hours" else {}
-    raw = read_landing(spark, root, entity, tenants, **days)
+    if entity == "worked_hours":
+        # These records have no id; and only here the folder's date is the day that is asked for.
+        days = {k: asked.get(k) for k in ("from_date", "to_date")}
+        return list_entity(read_landing(spark, root, entity, tenants, **days), entity, **asked)
+
+    def last(name: str, accounts: DataFrame | None = None) -> DataFrame:
+        raw = read_landing(spark, root, name, tenants, with_arrival=True)
+        return last_extract(listable(raw, name, F.col("arrival"), accounts=accounts))
+
     accounts = read_landing(spark, root, "account") if entity == "projects" else None
-    people = read_landing(spark, root, "employees") if entity == "time_entries" else None
-    return list_entity(listable(raw, entity, accounts), entity, employees=people, **asked)
+    people = last("employees") if entity == "time_entries" else None
+    return list_entity(last(entity, accounts), entity, employees=people, **asked)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from jornada.functions import check_date_range
+from jornada.operators.latest import latest_per_key
 from jornada.schemas import envelope_schema, landing_schema
 from jornada.sources.files import exists
 
@@ -68,6 +69,12 @@ def read_landing(
     return records(pages.withColumn("arrival", file), entity, "arrival")
 
 
+def last_extract(flat: DataFrame) -> DataFrame:
+    """Of several extracts of a record the last to arrive; ``arrival`` is dropped."""
+    marked = flat.withColumn("_content", F.xxhash64(*[c for c in flat.columns if c != "arrival"]))
+    return latest_per_key(marked, ["id"], "arrival", "_content").drop("arrival", "_content")
+
+
 def read_bad_pages(spark: SparkSession, root: str, entity: str) -> DataFrame:
     """Text of the malformed pages, by tenant."""
     schema = _file_schema(entity).add("bad_page", StringType())
@@ -99,5 +106,5 @@ def union_tenants(*frames: DataFrame) -> DataFrame:
 
 def with_company_id(df: DataFrame, accounts: DataFrame) -> DataFrame:
     """Each tenant's own company id, from its account record."""
-    companies = accounts.select("tenant", F.col("company.id").alias("company_id"))
+    companies = accounts.groupBy("tenant").agg(F.max("company.id").alias("company_id"))
     return df.join(companies, "tenant", "left")

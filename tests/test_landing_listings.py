@@ -38,6 +38,13 @@ def test_employees(spark, root):
     assert sorted(ids(list_landing(spark, root, "employees", tenants=["south"]))) == ["e4", "e5"]
 
 
+def test_only_the_last_extract_is_listed(spark, tmp_path):
+    write_pages(tmp_path, "departments", "north", [{"id": "d1", "name": "Old"}, {"id": "d2", "name": "Two"}], at=1e9)
+    write_pages(tmp_path, "departments", "north", [{"id": "d1", "name": "New"}], name="later", at=2e9)
+    assert rows(list_landing(spark, str(tmp_path), "departments")) == [("d1", "New"), ("d2", "Two")]
+    assert ids(list_landing(spark, str(tmp_path), "departments", name="Old")) == []
+
+
 def test_work_entries(spark, root):
     asked = {"from_date": "2024-01-05", "to_date": "2024-01-05", "order_by": "id desc"}
     assert ids(list_landing(spark, root, "work_entries", employee_id="e1", **asked)) == ["w3", "w1"]
