@@ -126,7 +126,10 @@ def merge_into(
     if matched != incoming.count():
         delete(spark, f"{path}.staged")
         raise ValueError(f"{path}: key {list(keys)} is not unique in the table")
-    _commit(spark, path, partition_by)
+    if counts.get["insert"] or counts.get["update"]:
+        _commit(spark, path, partition_by)
+    else:
+        delete(spark, f"{path}.staged")
     delete(spark, incoming_path)
     return counts.get
 

@@ -31,8 +31,10 @@ def test_create_then_merge(spark, tmp_path):
     assert counts == {"insert": 1, "update": 1, "unchanged": 0, "keep": 1}
     expected = [(1, 1, "a"), (2, 1, "B"), (3, 2, "c")]
     assert content(spark, path) == expected
+    files = sorted(p.name for p in (tmp_path / "t").glob("*.parquet"))
     counts = merge_into(spark, path, fact(spark, (2, 1, "B"), (3, 2, "c")), ["k"])
     assert counts == {"insert": 0, "update": 0, "unchanged": 2, "keep": 1}
+    assert sorted(p.name for p in (tmp_path / "t").glob("*.parquet")) == files
     assert content(spark, path) == expected
     assert not exists(spark, f"{path}.staged") and not exists(spark, f"{path}.incoming")
     assert rows(load_report(spark, path, fact(spark, (2, 1, "x"), (9, 1, "y")), ["k"])) == [
