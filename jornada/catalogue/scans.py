@@ -231,8 +231,9 @@ def board_map(t: Tables) -> DataFrame:
            from events group by 1) as c on c.item_id = i.item_id""",
 )
 def board_cells_pivot(t: Tables) -> DataFrame:
+    label = F.concat(F.lit('{"label":"'), F.get_json_object("props", "$.k"), F.lit('"}'))
     value = (
-        F.when(F.col("event_type") == "purchase", F.concat(F.lit('{"label":"'), F.get_json_object("props", "$.k"), F.lit('"}')))
+        F.when(F.col("event_type") == "purchase", label)
         .when(F.col("event_type") == "click", F.col("event_id").cast("string"))
         .otherwise(F.lit(""))
     )

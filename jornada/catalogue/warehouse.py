@@ -195,7 +195,8 @@ _PROFILES = f"""
 @query(
     "pipe_time_charges",
     f"""select {day_text("time_in")} as fecha, coalesce(comment, '') as tarea, cliente, project_id as proyecto,
-               case when tags = '' then 'No especificada' else tags end as etiqueta, precio_hora, (epoch_us(time_out) - epoch_us(time_in)) / 3.6e9 as horas_imputadas,
+               case when tags = '' then 'No especificada' else tags end as etiqueta, precio_hora,
+               (epoch_us(time_out) - epoch_us(time_in)) / 3.6e9 as horas_imputadas,
                empresa_id, departamento_id, empleado_id
         from ({roles.RAW_TIME_ENTRIES}) as e join ({_PROFILES}) as p on p.id = e.employee_id
         where precio_hora is not null and empleado_id is not null and project_id <> ''""",

@@ -90,7 +90,9 @@ def test_hot_employee_and_missing_project_of_the_mart_are_split(spark, conf):
         "timestamp'2024-01-01' as update_date",
         "id as department_assignation_sesame_id",
     )
-    departments = spark.range(5).selectExpr("cast(id as string) as department_sesame_id", "concat('d', id) as department_name")
+    departments = spark.range(5).selectExpr(
+        "cast(id as string) as department_sesame_id", "concat('d', id) as department_name"
+    )
     projects = spark.range(3000).selectExpr(
         "cast(id as string) as project_sesame_id", "'p' as project_name", "'c' as customer_sesame_id", "'n' as customer_name"
     )
@@ -119,7 +121,10 @@ def test_hot_employee_of_the_charges_is_split(spark, conf):
     ids = spark.range(2000).selectExpr("concat('n', id) as nid", "id as empleado_id")
     companies = spark.range(1).selectExpr("cast(7 as int) as empresa_id", "'acme' as nombre")
     assigned = spark.range(100).selectExpr(
-        "cast(id as string) as id", "cast(id as string) as employee_id", "'Sales' as department_name", "'2024-01-01' as updated_at"
+        "cast(id as string) as id",
+        "cast(id as string) as employee_id",
+        "'Sales' as department_name",
+        "'2024-01-01' as updated_at",
     )
     departments = spark.range(1).selectExpr("cast(3 as int) as departamento_id", "'sales ' as nombre")
     charges = time_charges(entries, charge_profiles(people, ids, companies, assigned, departments))
