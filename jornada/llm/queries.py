@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jornada.llm import line_dedup, mixing, packing, pii
+from jornada.llm import exact_dedup, fingerprints, line_dedup, mixing, packing, pii, quality, url_filter
 from jornada.llm.words import or_empty
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -17,6 +17,49 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(DOCUMENTS).parquet(f"{folder}/documents.parquet")
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    labels = spark.read.schema(LABELS).parquet(f"{folder}/labels.parquet")
+    values, model = quality.ranked(docs, labels)
+    scored = values.withColumn("score", quality.score_of(F.col("value"), model))
+    accepted = (F.col("score") >= quality.ACCEPT_FROM).cast("int")
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", accepted.alias("predicted"))
+
+
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = fingerprints.fingerprint_documents(documents(spark, folder))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("print")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_print")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.schema(PAGES).parquet(f"{folder}/pages.parquet")
+    return url_filter.judge(pages)
+
+
+def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = exact_dedup.dedup(documents(spark, folder), exact_dedup.scratch_index(spark))
+    return found.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
+
+
+OP5_SQL = r"""
+with digests as (
+    select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) text_sha256
+    from documents
+)
+select doc_id, min(doc_id) over same keep_id, count(*) over same group_size,
+    doc_id = min(doc_id) over same kept, text_sha256
+from digests window same as (partition by text_sha256)
+"""
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, folder), carry=["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -67,9 +110,13 @@ from marked group by doc_id
 """
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op2_fingerprints": op2_fingerprints,
+    "op4_url_filter": op4_url_filter,
+    "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op8_packing": op8_packing,
     "op9_pii": op9_pii,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLES = {"op10_line_dedup": OP10_SQL}
+ORACLES = {"op5_exact_dedup": OP5_SQL, "op10_line_dedup": OP10_SQL}

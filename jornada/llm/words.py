@@ -31,18 +31,19 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir; where none is set, a folder below the warehouse, which executors share too."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        named = spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(named)
+    return named
+
+
 def stored(frame: DataFrame) -> DataFrame:
-    """The frame read back from the shared checkpoint folder, so that lost executors cost no recomputation.
-
-    The folder is the session's spark.checkpoint.dir; where none is set it is
-    made below the warehouse folder, which executors share as well.
-    """
-    spark = frame.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
-        )
+    """The frame read back from the shared checkpoint folder, so that lost executors cost no recomputation."""
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()
 
 
