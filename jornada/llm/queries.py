@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jornada.llm import exact_dedup, fingerprints, line_dedup, mixing, packing, pii, quality, url_filter
-from jornada.llm.words import or_empty
+from jornada.llm import exact_dedup, fingerprints, jaccard_join, line_dedup, mixing, packing, pii, quality, url_filter
+from jornada.llm.words import importable, or_empty
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 PAGES = "page_id long, url string, html string"
@@ -14,6 +14,7 @@ LABELS = "doc_id long, quality int, toxic int"
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    importable(spark)
     return spark.read.schema(DOCUMENTS).parquet(f"{folder}/documents.parquet")
 
 
@@ -39,6 +40,10 @@ def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, folder))
+
+
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = spark.read.schema(PAGES).parquet(f"{folder}/pages.parquet")
     return url_filter.judge(pages)
@@ -112,6 +117,7 @@ from marked group by doc_id
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_fingerprints": op2_fingerprints,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_url_filter": op4_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
