@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jornada.llm import exact_dedup, fingerprints, jaccard_join, line_dedup, mixing, packing, pii, quality, url_filter
+from jornada.llm import exact_dedup, fingerprints, jaccard_join, line_dedup, lm_scoring, mixing, packing, pii, quality, url_filter
 from jornada.llm.words import importable, or_empty
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -70,6 +70,10 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_texts(documents(spark, folder))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(documents(spark, folder))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -121,6 +125,7 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_packing": op8_packing,
     "op9_pii": op9_pii,
     "op10_line_dedup": op10_line_dedup,
