@@ -423,3 +423,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "n_shingles",
         F.when(component < _NULL, component).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents, with all columns, that have the smallest doc_id of their component.
+
+    Of rows with the same doc_id the first by a hash of the text stays. Rows
+    without doc_id stay, because nothing tells which of them they are.
+    """
+    kept = near_duplicates(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    rows = docs.withColumn("_id", F.col("doc_id").cast("long"))
+    rows = rows.join(kept.withColumnRenamed("doc_id", "_id").hint("merge"), "_id", "left_semi")
+    first = Window.partitionBy("_id").orderBy(F.xxhash64("text"))
+    rows = rows.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") == 1)
+    return rows.select(*docs.columns).unionAll(docs.filter(F.col("doc_id").isNull()))
