@@ -23,6 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jornada.llm.words import stored
+
 LEAST_CHARS = 10
 LEAST_DOCS = 2
 _LAST = (1 << 63) - 1
@@ -83,16 +85,18 @@ def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int
     never per line.
     """
     hashes = line_hashes(docs, least_chars)
-    shared = shared_lines(hashes, least_docs)
+    # Written first: both sides of the join are then dealt out by it, and a hot hash can be split.
+    shared = stored(shared_lines(hashes, least_docs))
     losing = (
         hashes.join(shared.hint("merge"), "hash")
         .filter(F.col("holder") > F.col("first"))
         .groupBy("holder")
-        .agg(F.collect_set("hash").alias("_drop"))
+        .agg(F.collect_set("hash").alias("__drop"))
+        .withColumnRenamed("holder", "__loser")
     )
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(*names, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_holder"))
-    rows = rows.join(losing.hint("merge"), F.col("_holder") == F.col("holder"), "left")
+    rows = docs.select(*names, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("__holder"))
+    rows = rows.join(losing.hint("merge"), F.col("__holder") == F.col("__loser"), "left")
 
     @F.pandas_udf("text string, n_lines long, n_dropped long")
     def reassemble(text: pd.Series, drop: pd.Series) -> pd.DataFrame:
@@ -108,9 +112,9 @@ def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int
             out.append((b"\n".join(kept).decode(), len(lines), len(lines) - len(kept)))
         return pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
 
-    done = rows.withColumn("_done", reassemble("text", "_drop"))
+    done = rows.withColumn("__done", reassemble("text", "__drop"))
     return done.select(
-        *[F.col("_done.text").alias("text") if c == "text" else F.col(c) for c in names],
-        F.col("_done.n_lines").alias("n_lines"),
-        F.col("_done.n_dropped").alias("n_dropped"),
+        *[F.col("__done.text").alias("text") if c == "text" else F.col(c) for c in names],
+        F.col("__done.n_lines").alias("n_lines"),
+        F.col("__done.n_dropped").alias("n_dropped"),
     )
