@@ -172,7 +172,8 @@ class Rewritten:
         last = bisect.bisect_left(self.starts, end) - 1
         begin = self.sources[first][0] + (0 if self.changed[first] else start - self.starts[first])
         stop = self.sources[last][1] if self.changed[last] else self.sources[last][0] + end - self.starts[last]
-        return begin, stop, any(self.changed[first : last + 1])
+        # What was left out altogether shows in the lengths.
+        return begin, stop, any(self.changed[first : last + 1]) or stop - begin != end - start
 
     def replace(self, edits: list[tuple[int, int, str]]) -> Rewritten:
         """With these spans (sorted, disjoint) replaced; a replacement stands for all of its span."""
@@ -269,7 +270,7 @@ def find(text: str | None) -> list[tuple[str, int, int, bool]]:
     found = plain_spans(text)
     rewritten = _at_and_dot(_digits(_plain_characters(Rewritten(text))))
     more: set[Span] = set()
-    if any(rewritten.changed):
+    if rewritten.text != text:
         for kind, a, b in plain_spans(rewritten.text):
             start, end, changed = rewritten.source(a, b)
             if changed and not any(k == kind and s <= start and end <= e for k, s, e in found):

@@ -1,0 +1,106 @@
+import corpus
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from jornada.llm import jaccard_join as J
+from jornada.llm import shingles
+from jornada.llm.components import components
+
+
+def brute(rows):
+    """(doc_id, shingles, component) by comparing all pairs."""
+    sets = [corpus.shingles(t) for _, t, _ in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                root[find(i)] = find(j)
+            elif rows[i][0] is not None and rows[i][0] == rows[j][0]:
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), 1 << 62), 1 << 62 if doc_id is None else doc_id)
+    return sorted(
+        ((r[0], len(sets[i]), None if least[find(i)] == 1 << 62 else least[find(i)]) for i, r in enumerate(rows)), key=str
+    )
+
+
+def found(frame):
+    return sorted((tuple(r) for r in J.near_duplicates(frame).collect()), key=str)
+
+
+def test_equals_brute_force(docs):
+    assert found(docs) == brute(corpus.texts())
+
+
+@pytest.mark.parametrize("small,in_task", [(2, 5), (4, 1000)])
+def test_split_regions_equal_brute_force(spark, monkeypatch, small, in_task):
+    """Cells and regions of a few documents count as large, so pivots do the work."""
+    monkeypatch.setattr(J.split, "__defaults__", (small,))
+    monkeypatch.setattr(J, "IN_TASK", in_task)
+    rows = [r for r in corpus.texts() if r[0] is None or r[0] < 14 or r[0] >= 100]
+    base = corpus.sentence(60, 50).split()
+    for i in range(60):
+        own = list(base)
+        for k in range(i % 7 * 2):
+            own[(i * 5 + k * 9) % 60] = f"y{i % 11}"
+        rows.append((900 + i, " ".join(own), "s"))
+    passage = corpus.sentence(30, 51)
+    rows += [(1000 + i, passage + " " + corpus.sentence(5 + i % 6, 200 + i), "s") for i in range(40)]
+    assert found(corpus.frame(spark, rows)) == brute(rows)
+
+
+def test_threshold_is_exact(spark):
+    # 9 shingles each, 8 common: 8/10 links; 7 of 9 common: 7/11 does not.
+    words = [f"w{i}" for i in range(13)]
+    rows = [(1, " ".join(words), "s"), (2, " ".join(words[1:] + ["z"]), "s"), (3, " ".join(words[2:] + ["q", "r"]), "s")]
+    assert found(corpus.frame(spark, rows)) == [(1, 9, 1), (2, 9, 1), (3, 9, 3)]
+
+
+def test_empty(none):
+    assert J.near_duplicates(none).count() == 0 and J.one_of_each(none).count() == 0
+
+
+def test_one_of_each_keeps_the_smallest(docs):
+    kept = J.one_of_each(docs)
+    assert kept.columns == docs.columns
+    ids = sorted(r["doc_id"] for r in kept.filter(F.col("doc_id").isNotNull()).collect())
+    assert ids == sorted({c for i, n, c in brute(corpus.texts()) if i is not None and i == c})
+    assert kept.filter(F.col("doc_id").isNull()).count() == 2
+
+
+def test_shingle_sets_are_those_of_the_words():
+    rows = [t for _, t, _ in corpus.texts()]
+    sets = list(shingles.sets_of(pa.array(rows, pa.string())))
+    plain = [corpus.shingles(t) for t in rows]
+    assert [len(s) for s in sets] == [len(p) for p in plain]
+    for i in range(0, len(rows), 7):
+        for j in range(0, len(rows), 11):
+            assert len(np.intersect1d(sets[i], sets[j])) == len(plain[i] & plain[j])
+    assert list(map(len, shingles.sets_of(pa.array([], pa.string())))) == []
+
+
+def test_bitmaps_never_exceed_the_difference():
+    random = np.random.default_rng(2)
+    for n in (0, 1, 5, 300, 3000, 9000):
+        a = np.unique(random.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: n // 2], random.integers(0, 1 << 63, n // 3, dtype=np.uint64)]))
+        assert J.differing(J.bitmap(a), J.bitmap(b)) <= len(np.setxor1d(a, b))
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(0, 12)]
+    star = [(100, 100 + i) for i in range(1, 30)]
+    links = spark.createDataFrame(chain + star + [(7, 7), (3, 2)], "a long, b long")
+    got = {r["node"]: r["label"] for r in components(links).collect()}
+    assert got == {i: 0 for i in range(13)} | {100 + i: 100 for i in range(30)}
+    assert components(links.limit(0)).count() == 0
