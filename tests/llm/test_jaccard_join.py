@@ -97,10 +97,11 @@ def test_bitmaps_never_exceed_the_difference():
         assert J.differing(J.bitmap(a), J.bitmap(b)) <= len(np.setxor1d(a, b))
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("in_one_task", [0, 1000])
+def test_components_of_chains_and_stars(spark, in_one_task):
     chain = [(i, i + 1) for i in range(0, 12)]
     star = [(100, 100 + i) for i in range(1, 30)]
     links = spark.createDataFrame(chain + star + [(7, 7), (3, 2)], "a long, b long")
-    got = {r["node"]: r["label"] for r in components(links).collect()}
+    got = {r["node"]: r["label"] for r in components(links, in_one_task).collect()}
     assert got == {i: 0 for i in range(13)} | {100 + i: 100 for i in range(30)}
-    assert components(links.limit(0)).count() == 0
+    assert components(links.limit(0), in_one_task).count() == 0
