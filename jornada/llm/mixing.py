@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jornada.llm.words import WORD, or_empty, partitions, stored
+from jornada.llm.words import BLANKS, WORD, or_empty, partitions, stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -157,7 +157,7 @@ def draw(mixed: DataFrame, carry: Sequence[str]) -> DataFrame:
     copies = F.array_repeat(F.lit(-1).cast("long"), whole.cast("int"))
     copies = F.when(rest > 0, F.concat(copies, F.array(rest.cast("long")))).otherwise(copies)
     drawn = mixed.withColumn("__words", F.explode(copies))
-    first = F.array_join(F.slice(F.split(or_empty(), r"[\x20\x09-\x0D]+"), 1, F.col("__words").cast("int")), " ")
+    first = F.array_join(F.slice(F.split(F.btrim(or_empty(), F.lit(BLANKS)), r"[\x20\x09-\x0D]+"), 1, F.col("__words").cast("int")), " ")
     return drawn.select(
         *[F.when(F.col("__words") < 0, F.col(c)).otherwise(first).alias(c) if c == "text" else F.col(c) for c in carry]
     )
