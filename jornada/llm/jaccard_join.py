@@ -15,16 +15,19 @@ Regions come in two kinds, and both are joined exactly.
   documents meet in the cell of their first common shingle. Documents as first
   pivots cannot part a corpus: nearly all documents are at distance 1 from each
   other, so all of them would fall into every window.
-* A cell of many documents is split by pivots chosen among them. Every member
-  gets its exact distance to each pivot, goes to the nearest one, and is
-  replicated to each pivot within twice the threshold of that distance. Members
-  linked to a pivot are one component, so a group of near copies is joined by
-  its distances to a few pivots. What is left of several components is split
-  again, and pairs are listed only in small regions, only across components,
-  and only within the triangle inequality's window around the pivot.
-
-Listed pairs are first held against bitmaps of their sets, which bound the
-overlap from above and lose no link, and the rest against the sets.
+* A cell of many documents is split by pivots chosen among them, in the metric
+  that counts differing bits of the sets' bitmaps (parities of hashed shingles,
+  folded to one size). It never exceeds the number of shingles that differ, so a
+  link bounds it, and the triangle inequality gives the windows. Every member
+  goes to the region of its nearest pivot and is replicated to each pivot within
+  its window. Pairs with a pivot that may link are checked first: members linked
+  to one are a component, so a group of near copies is joined by its pivots.
+  Regions that still hold several components are split again while they are
+  large, and small ones are joined pair by pair, across components only and
+  within the window around the pivot.
+
+Pairs are first held against the bitmaps, which lose no link, and the rest
+against the sets.
 
 Defined results: a null text is an empty one; documents without words have no
 shingles and are alone. Documents with the same set are one class, which is
@@ -38,6 +41,7 @@ Shingles are told apart by 64-bit hashes and sets by 128-bit digests.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,26 +52,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jornada.llm.components import components
-from jornada.llm.shingles import mixed, sets_of
+from jornada.llm.shingles import sets_of
 from jornada.llm.words import partitions, stored
 
 #: Similarity from which documents link, as a fraction: 4/5.
 ABOVE, BELOW = 4, 5
-#: Regions of more documents are split by pivots.
-SMALL = 48
+#: Cells of more documents are split by pivots; regions of more documents are split again.
+SMALL, IN_TASK = 64, 4000
 PIVOTS = 4
+#: Bits that all bitmaps have at least, and that the metric is taken on.
+FOLDED = 2048
 #: Shingles known to be frequent; they only come last in the order, so the bound costs no result.
 FREQUENT, MOST_FREQUENT, LOCAL = 50, 100_000, 8
 COUNTED_AT_ONCE = 1 << 21
 _NULL = 1 << 62
 
 DESCRIBED = "id long, n int, node long, digest binary, bits binary, shingle long, times long"
-MEMBERS = "region long, node long, n int, rank int, label long, d double, home boolean"
 
 
 def bitmap(found: np.ndarray) -> bytes:
     """Parity of the shingles that fall on each of about as many bits as the set has elements."""
-    size = max(512, 1 << (len(found) - 1).bit_length()) if len(found) else 512
+    size = max(FOLDED, 1 << (len(found) - 1).bit_length()) if len(found) else FOLDED
     odd = np.bincount((found % np.uint64(size)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
@@ -185,106 +190,79 @@ def cells(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(work, "region long, node long, n int, rank int")
 
 
-def _pairs(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one region that may link: by size, by what can still be common, across components, within the window."""
-    n, rank, node = rows["n"].astype(np.int64), rows["rank"].astype(np.int64), rows["node"]
-    order = np.lexsort((node, n))
-    n, rank, node = n[order], rank[order], node[order]
-    label, d, home = rows["label"][order], rows["d"][order], rows["home"][order]
-    inner = rank < n * (BELOW - ABOVE) // (BELOW + ABOVE) + 1
-    left, right = [], []
-    for i in np.flatnonzero(inner):
-        end = np.searchsorted(n, n[i] * BELOW // ABOVE, "right")
-        j = np.arange(i + 1, end)
-        rest = 1 + np.minimum(n[i] - rank[i] - 1, n[j] - rank[j] - 1)
-        fits = (BELOW + ABOVE) * rest >= ABOVE * (n[i] + n[j])
-        fits &= (label[j] != label[i]) & (home[j] | home[i])
-        fits &= np.abs(d[j] - d[i]) <= 1 - ABOVE / BELOW + 1e-9
-        j = j[fits]
-        left.append(np.full(len(j), node[i]))
-        right.append(node[j])
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    a, b = np.concatenate(left), np.concatenate(right)
-    return np.minimum(a, b), np.maximum(a, b)
-
-
-def split(members: DataFrame, small: int | None = SMALL) -> DataFrame:
-    """Per region either the pairs to look at (region null), or each member with each pivot of the region.
-
-    Rows come sorted by region, so that a task holds one region at a time.
-    Pivots are the first by a scramble of their nodes: cells of the same group
-    choose the same ones. Without `small`, all regions list their pairs.
+def _may_meet(n_a, n_b, rank_a, rank_b):
+    """Whether two members of a cell may link: by their sizes, and by what can still be common after this shingle."""
+    low, high = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
+    rest = np.minimum(n_a - rank_a, n_b - rank_b)
+    fits = (BELOW * low >= ABOVE * high) & ((BELOW + ABOVE) * rest >= ABOVE * (n_a + n_b))
+    # Linked sets meet within the first ninth of the smaller one.
+    reach = low * (BELOW - ABOVE) // (BELOW + ABOVE) + 1
+    return fits & (np.where(n_a == n_b, np.minimum(rank_a, rank_b), np.where(n_a < n_b, rank_a, rank_b)) < reach)
+
+
+def split(members: DataFrame, small: int = SMALL) -> DataFrame:
+    """Of small cells the pairs (a, b) that may link, of larger ones the members (node a, with region, n, rank).
+
+    Rows come sorted by cell, and a task holds a batch of them and one small
+    cell at a time.
     """
-    names = [f.name for f in members.schema.fields]
+    names = ["region", "node", "n", "rank"]
+    out = ["a", "b", "region", "n", "rank"]
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def region(parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch | None:
-            rows = {c: np.concatenate([p[c] for p in parts]) for c in names}
-            _, once = np.unique(rows["node"], return_index=True)
-            rows = {c: v[once] for c, v in rows.items()}
-            m = len(once)
-            if m < 2 or (rows["label"] == rows["label"][0]).all():
-                return None
-            if small is None or m <= small:
-                a, b = _pairs(rows)
-                none = pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int32())
-                return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *none], names=out)
-            order = np.argsort(mixed(rows["node"].view(np.uint64)), kind="stable")
-            pivots = rows["node"][order[:PIVOTS]]
-            columns = np.repeat(pivots, m), *(np.tile(rows[c], PIVOTS) for c in ("node", "region", "n", "rank"))
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=out)
-
-        out = ["a", "b", "region", "n", "rank"]
-        waiting: list[dict[str, np.ndarray]] = []
-        ready: list[pa.RecordBatch] = []
-        held = 0
-
-        def done() -> Iterator[pa.RecordBatch]:
-            nonlocal ready, held
-            if ready:
-                # A pair that meets in many regions leaves a task once for each of its batches.
-                table = pa.Table.from_batches(ready)
-                yield from table.group_by(out).aggregate([]).select(out).combine_chunks().to_batches()
-            ready, held = [], 0
+    def batch(a, b=None, region=None, n=None, rank=None) -> pa.RecordBatch:
+        columns = [
+            pa.nulls(len(a), kind) if c is None else pa.array(c, kind)
+            for c, kind in zip((a, b, region, n, rank), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()))
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=out)
+
+    def joined(rows: list[np.ndarray], large_one: int | None) -> Iterator[pa.RecordBatch]:
+        region, node, n, rank = rows
+        first = np.flatnonzero(np.append(True, region[1:] != region[:-1]))
+        lengths = np.diff(np.append(first, len(region)))
+        many = lengths > small
+        if large_one is not None:
+            many |= region[first] == large_one
+        large = np.repeat(many, lengths)
+        if large.any():
+            yield batch(node[large], None, region[large], n[large], rank[large])
+        left, right = [], []
+        rest = lengths[~many]
+        n, rank = n.astype(np.int64), rank.astype(np.int64)
+        for k in range(1, int(rest.max()) if len(rest) else 0):
+            i = np.flatnonzero((region[k:] == region[:-k]) & ~large[k:])
+            i = i[(node[i] != node[i + k]) & _may_meet(n[i], n[i + k], rank[i], rank[i + k])]
+            left.append(np.minimum(node[i], node[i + k]))
+            right.append(np.maximum(node[i], node[i + k]))
+        if left:
+            pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], 1), axis=0)
+            if len(pairs):
+                yield batch(np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[np.ndarray] | None = None
+        large_one: int | None = None
         for given in batches:
-            rows = {c: given.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(names)}
-            at = rows["region"]
-            if not len(at):
+            rows = [given.column(i).to_numpy() for i in range(len(names))]
+            if waiting is not None:
+                rows = [np.concatenate(x) for x in zip(waiting, rows)]
+            region = rows[0]
+            if not len(region):
                 continue
-            ends = np.append(np.flatnonzero(at[1:] != at[:-1]) + 1, len(at))
-            start = 0
-            if waiting and waiting[0]["region"][0] != at[0]:
-                found, waiting = region(waiting), []
-                if found is not None:
-                    ready.append(found)
-                    held += found.num_rows
-            for end in ends:
-                if waiting or end == len(at):
-                    waiting.append({c: v[start:end] for c, v in rows.items()})
-                    if end < len(at):
-                        found, waiting = region(waiting), []
-                        if found is not None:
-                            ready.append(found)
-                            held += found.num_rows
-                elif end - start > 1:
-                    found = region([{c: v[start:end] for c, v in rows.items()}])
-                    if found is not None:
-                        ready.append(found)
-                        held += found.num_rows
-                start = end
-            if held > 100_000:
-                yield from done()
-        if waiting:
-            found = region(waiting)
-            if found is not None:
-                ready.append(found)
-        yield from done()
-
-    spark = members.sparkSession
-    dealt = members.repartition(partitions(spark), "region").sortWithinPartitions("region")
-    return dealt.mapInArrow(work, "a long, b long, region long, n int, rank int")
+            last = int(np.searchsorted(region, region[-1]))
+            if len(region) - last > small or region[-1] == large_one:
+                # The last cell is large already: what is there can go, and so will the rest of it.
+                yield from joined(rows, large_one)
+                waiting, large_one = None, int(region[-1])
+            else:
+                if last:
+                    yield from joined([x[:last] for x in rows], large_one)
+                waiting = [x[last:] for x in rows]
+        if waiting is not None:
+            yield from joined(waiting, large_one)
+
+    dealt = members.repartition(partitions(members.sparkSession), "region").sortWithinPartitions("region")
+    return dealt.select(*names).mapInArrow(work, "a long, b long, region long, n int, rank int")
 
 
 def may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -349,61 +327,160 @@ def sets_for(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame
     return found.dropDuplicates(["id", "node"])
 
 
-def links(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links (a, b) between the documents that stand for classes: enough of them to connect all that are linked."""
-    first = cells(docs, frequent_shingles(rows))
-    blank = {"label": F.col("node"), "d": F.lit(0.0), "home": F.lit(True)}
-    found = stored(split(first.withColumns(blank)))
-    pairs = found.filter(F.col("region").isNull()).select("a", "b").distinct()
-    pairs = stored(may_link(pairs, classes))
-    large = found.filter(F.col("region").isNotNull())
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(large.select(F.col("b").alias("node"))).distinct()
-    sets = stored(sets_for(docs, classes, nodes))
-    linked = measured(pairs, sets).filter("links").select("a", "b", "id_a", "id_b")
-    linked = stored(linked)
-    before = None
-    while not large.isEmpty():
-        edges = large.filter(F.col("a") != F.col("b")).select("a", "b").distinct()
-        told = stored(measured(edges, sets))
-        linked = stored(linked.union(told.filter("links").select("a", "b", "id_a", "id_b")))
-        members = stored(voronoi(large, told, components(linked)))
-        size = members.groupBy("region").count().agg(F.max("count")).first()[0] or 0
-        # Where pivots do not part a region any more, its pairs are listed within the windows.
-        found = stored(split(members, SMALL if before is None or size < before * 3 / 4 else None))
-        before = size
-        pairs = stored(may_link(found.filter(F.col("region").isNull()).select("a", "b").distinct(), classes))
-        linked = stored(linked.union(measured(pairs, sets).filter("links").select("a", "b", "id_a", "id_b")))
-        large = found.filter(F.col("region").isNotNull())
-    return linked.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-
-
-def voronoi(large: DataFrame, told: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the regions around each pivot: those nearest to it and those within the window.
-
-    The pivots themselves have been compared with all members and leave.
+def _folded(bits: bytes) -> np.ndarray:
+    x = np.frombuffer(bits, np.uint8)
+    while len(x) > FOLDED // 8:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
+def around_pivots(members: DataFrame, bits: DataFrame) -> DataFrame:
+    """Each member (region, node, n, rank) with each pivot of its region and their distance d in differing bits.
+
+    Pivots are the first by hash, so that cells of the same group choose the
+    same ones. Members meet the few pivots of their region in a join whose hot
+    partitions Spark can split.
+    """
+    first = Window.partitionBy("region").orderBy(F.xxhash64("node"), "node")
+    pivots = members.select("region", "node").distinct().withColumn("__n", F.row_number().over(first))
+    pivots = stored(pivots.filter(F.col("__n") <= PIVOTS).select("region", F.col("node").alias("pivot")))
+    met = stored(members.join(pivots.hint("merge"), "region").select("region", "pivot", "node", "n", "rank"))
+
+    @F.pandas_udf("int")
+    def apart(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([int(np.bitwise_count(_folded(x) ^ _folded(y)).sum()) for x, y in zip(a, b)], dtype="int32")
+
+    # Cells of one group have the same members and pivots: each distance is taken once.
+    edges = met.select("pivot", "node").distinct()
+    edges = edges.join(bits.hint("merge"), "node").withColumnRenamed("bits", "__own")
+    edges = edges.join(bits.withColumnRenamed("node", "pivot").hint("merge"), "pivot")
+    edges = stored(edges.select("pivot", "node", apart("__own", "bits").alias("d")))
+    return met.join(edges.hint("merge"), ["pivot", "node"])
+
+
+def voronoi(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the regions around each pivot: those nearest to it, and those within the window.
+
+    A linked pair differs in at most a ninth of both sizes, which is at most a
+    quarter of either one's size. Only regions of several components stay.
     """
-    known = told.select("a", "b", "d").dropDuplicates(["a", "b"])
-    rows = large.filter(F.col("a") != F.col("b")).join(known.hint("merge"), ["a", "b"])
-    of_member = Window.partitionBy("region", "b")
-    rows = rows.withColumn("_least", F.min("d").over(of_member))
-    rows = rows.withColumn("_nearest", F.min(F.when(F.col("d") == F.col("_least"), F.col("a"))).over(of_member))
-    rows = rows.filter(F.col("d") <= F.col("_least") + 2 * (1 - ABOVE / BELOW) + 1e-9)
-    named = labels.select(F.col("node").alias("b"), "label")
-    rows = rows.join(named.hint("merge"), "b", "left")
-    pivots = large.select("region", F.col("a").alias("b")).distinct()
-    rows = rows.join(pivots.hint("merge"), ["region", "b"], "left_anti")
-    members = rows.select(
-        F.xxhash64("region", "a").alias("region"),
-        F.col("b").alias("node"),
+    of_member = Window.partitionBy("region", "node")
+    rows = met.withColumn("_least", F.min("d").over(of_member))
+    rows = rows.withColumn("_nearest", F.min(F.when(F.col("d") == F.col("_least"), F.col("pivot"))).over(of_member))
+    rows = rows.filter(F.col("d") * 2 <= F.col("_least") * 2 + F.col("n"))
+    rows = rows.join(labels.select("node", "label").hint("merge"), "node", "left")
+    regions = rows.select(
+        F.xxhash64("region", "pivot").alias("region"),
+        "node",
         "n",
         "rank",
-        F.coalesce("label", "b").alias("label"),
+        F.coalesce("label", "node").alias("label"),
         "d",
-        (F.col("_nearest") == F.col("a")).alias("home"),
+        (F.col("_nearest") == F.col("pivot")).alias("home"),
     )
-    mixed_regions = members.groupBy("region").agg(F.min("label").alias("_low"), F.max("label").alias("_high"))
-    mixed_regions = mixed_regions.filter(F.col("_low") < F.col("_high")).select("region")
-    return members.join(mixed_regions.hint("merge"), "region", "left_semi")
+    return several(regions)
+
+
+def whole(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of each region with their distance to one of its pivots. Only regions of several components stay."""
+    rows = met.groupBy("region", "node", "n", "rank").agg(F.min(F.struct("pivot", "d"))["d"].alias("d"))
+    rows = rows.join(labels.select("node", "label").hint("merge"), "node", "left")
+    return several(rows.withColumns({"label": F.coalesce("label", "node"), "home": F.lit(True)}))
+
+
+def several(regions: DataFrame) -> DataFrame:
+    """The members of regions that hold several components, with the region's size."""
+    sizes = regions.groupBy("region").agg(F.min("label").alias("__low"), F.max("label").alias("__high"), F.count("*").alias("size"))
+    sizes = stored(sizes.filter(F.col("__low") < F.col("__high")).select("region", "size"))
+    return regions.join(sizes.hint("merge"), "region")
+
+
+def pairs_within(regions: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs of each region that may link, across components and within the window, by their bitmaps."""
+    names = ["region", "node", "n", "rank", "label", "d", "home", "bits"]
+
+    def joined(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        _, node, n, rank, label, d, home, bits = rows
+        n, rank, d = n.astype(np.int64), rank.astype(np.int64), d.astype(np.int64)
+        folded = np.stack([_folded(x) for x in bits])
+        for i in range(len(node) - 1):
+            j = np.arange(i + 1, len(node))
+            fits = (label[j] != label[i]) & (node[j] != node[i]) & (home[j] | home[i])
+            fits &= ((BELOW + ABOVE) * np.abs(d[j] - d[i]) <= n[j] + n[i]) & _may_meet(n[i], n[j], rank[i], rank[j])
+            j = j[fits]
+            if not len(j):
+                continue
+            differ = np.bitwise_count(folded[j] ^ folded[i]).sum(1, dtype=np.int64)
+            j = j[(BELOW + ABOVE) * differ <= n[j] + n[i]]
+            if len(j):
+                a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[np.ndarray] | None = None
+        for given in batches:
+            rows = [given.column(i).to_numpy(zero_copy_only=False) for i in range(len(names))]
+            if waiting is not None:
+                rows = [np.concatenate(x) for x in zip(waiting, rows)]
+            ends = np.flatnonzero(rows[0][1:] != rows[0][:-1]) + 1
+            start = 0
+            for end in ends:
+                yield from joined([x[start:end] for x in rows])
+                start = end
+            waiting = [x[start:] for x in rows]
+        if waiting is not None and len(waiting[0]):
+            yield from joined(waiting)
+
+    known = regions.join(bits.hint("merge"), "node").select(*names)
+    dealt = known.repartition(partitions(regions.sparkSession), "region").sortWithinPartitions("region")
+    return dealt.mapInArrow(work, "a long, b long").distinct()
+
+
+def links(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the documents that stand for classes: enough of them to connect all that are linked."""
+    found = stored(split(cells(docs, frequent_shingles(rows))))
+    close = may_link(found.filter(F.col("region").isNull()).select("a", "b").distinct(), classes)
+    members = found.filter(F.col("region").isNotNull())
+    members = members.select(F.col("a").alias("node"), "region", "n", "rank").distinct()
+    bits = classes.select("node", "bits")
+    met, linked, before = None, None, None
+    left = not members.isEmpty()
+    while True:
+        if left:
+            # Sets of members are kept only where their bitmaps leave room for a link with a pivot.
+            met = stored(around_pivots(members, bits))
+            close = close.union(may_link(with_pivot(met), classes)).distinct()
+        close = stored(close)
+        told = measured(close, stored(sets_for(docs, classes, nodes_of(close))))
+        told = told.filter("links").select("a", "b", "id_a", "id_b")
+        linked = stored(told if linked is None else linked.union(told))
+        if not left:
+            return linked.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+        labels = components(linked)
+        regions = stored(whole(met, labels))
+        size = regions.agg(F.max("size")).first()[0] or 0
+        # Where pivots do not part regions any more, their pairs are looked at within the windows.
+        bound = IN_TASK if before is None or size < before * 3 / 4 else size
+        left, before = size > bound, size
+        close = pairs_within(regions.filter(F.col("size") <= bound), bits)
+        if left:
+            large = regions.filter(F.col("size") > bound).select("region").distinct()
+            parts = stored(voronoi(met.join(large.hint("merge"), "region"), labels))
+            close = close.union(pairs_within(parts.filter(F.col("size") <= bound), bits)).distinct()
+            members = parts.filter(F.col("size") > bound).select("node", "region", "n", "rank")
+            left = not members.isEmpty()
+        close = may_link(close, classes)
+
+
+def nodes_of(*pairs: DataFrame) -> DataFrame:
+    both = [p.select(F.explode(F.array("a", "b")).alias("node")) for p in pairs]
+    return functools.reduce(DataFrame.union, both).distinct()
+
+
+def with_pivot(met: DataFrame) -> DataFrame:
+    """The pairs of members and pivots whose distance leaves room for a link."""
+    close = met.filter((F.col("node") != F.col("pivot")) & (F.col("d") * 4 <= F.col("n")))
+    return close.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -432,8 +509,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     without doc_id stay, because nothing tells which of them they are.
     """
     kept = near_duplicates(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    rows = docs.withColumn("_id", F.col("doc_id").cast("long"))
-    rows = rows.join(kept.withColumnRenamed("doc_id", "_id").hint("merge"), "_id", "left_semi")
-    first = Window.partitionBy("_id").orderBy(F.xxhash64("text"))
-    rows = rows.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") == 1)
+    rows = docs.withColumn("__id", F.col("doc_id").cast("long"))
+    rows = rows.join(kept.withColumnRenamed("doc_id", "__id").hint("merge"), "__id", "left_semi")
+    first = Window.partitionBy("__id").orderBy(F.xxhash64("text"))
+    rows = rows.withColumn("__n", F.row_number().over(first)).filter(F.col("__n") == 1)
     return rows.select(*docs.columns).unionAll(docs.filter(F.col("doc_id").isNull()))
