@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -42,15 +43,21 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
         named = spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
-    return named
+    return named.rstrip("/")
 
 
 def stored(frame: DataFrame) -> DataFrame:
-    """The frame read back from the shared checkpoint folder, so that lost executors cost no recomputation."""
-    shared_folder(frame.sparkSession)
-    return frame.checkpoint()
+    """The frame written as a table below the shared folder and read back, so that lost executors cost no recomputation.
+
+    Unlike after a checkpoint, the plan that follows knows nothing of the plan
+    before, so loops plan equally fast in every round. The files stay, as
+    checkpoints do, until the folder is cleaned.
+    """
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    # No more tasks than keep all cores busy some times over: small tables are written by few.
+    frame.coalesce(max(24, 8 * spark.sparkContext.defaultParallelism)).write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def texts_of(column) -> Iterator[str]:
