@@ -61,7 +61,7 @@ def subwords(ranks: str) -> tuple[tiktoken.Encoding, np.ndarray]:
 def ids_of(encoding: tiktoken.Encoding, own: list[bytes]) -> np.ndarray:
     """The ids of a text's words and the end id, tokenized a bounded number of words at a time."""
     parts = [
-        np.asarray(encoding.encode_ordinary((b" " + b" ".join(own[i : i + 50_000])).decode()), np.int32)
+        encoding.encode_to_numpy((b" " + b" ".join(own[i : i + 50_000])).decode()).astype(np.int32)
         for i in range(0, len(own), 50_000)
     ]
     return np.concatenate([*parts, np.array([END_ID], np.int32)])
@@ -112,11 +112,14 @@ def id_counts(counts: DataFrame, ranks: str) -> np.ndarray:
         encoding, _ = subwords(ranks)
         total = np.zeros(IDS, np.int64)
         for given in batches:
-            for word, times in zip(given.column(0).to_pylist(), given.column(1).to_pylist()):
-                if word == _END:
-                    total[END_ID] += times
-                else:
-                    np.add.at(total, encoding.encode_ordinary(" " + word.decode()), times)
+            ids: list[int] = []
+            lengths = []
+            for word in given.column(0).to_pylist():
+                own = [END_ID] if word == _END else encoding.encode_ordinary(" " + word.decode())
+                ids += own
+                lengths.append(len(own))
+            times = np.repeat(given.column(1).to_numpy(), lengths)
+            np.add.at(total, np.array(ids, np.int64), times)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], names=["id", "times"])
 
@@ -167,6 +170,23 @@ def fitted(windows: DataFrame, vocabulary: attention.Vocabulary, steps: int) ->
     return pickle.loads(found[0]["model"]) if found else attention.Attention.new()
 
 
+def most_common(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """The words of the highest counts, all of them down to a count, so that there are at most `most`.
+
+    The count is found from the numbers of words by eighths of powers of two,
+    so that only the chosen words leave their tasks.
+    """
+    band = F.floor(F.log2("times") * 8).cast("int")
+    room, lowest = most, None
+    for row in counts.groupBy(band.alias("band")).agg(F.count("*").alias("n")).orderBy(F.col("band").desc()).collect():
+        if row["n"] > room:
+            break
+        room, lowest = room - row["n"], row["band"]
+    if lowest is None:
+        return {}
+    return {bytes(r["word"]): r["times"] for r in counts.filter(band >= lowest).select("word", "times").collect()}
+
+
 def score_texts(
     docs: DataFrame,
     ranks: str = RANKS,
@@ -189,10 +209,8 @@ def score_texts(
     opens = subwords(ranks)[1]
     vocabulary = attention.vocabulary(id_counts(counts, ranks), opens)
     model = fitted(sample_windows(training, ranks, sample_docs, most_windows), vocabulary, steps)
-    common = counts.orderBy(F.col("times").desc(), "word").limit(common_words).collect()
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (model, vocabulary, {bytes(r["word"]): r["times"] for r in common}, len(common) == v)
-    )
+    common = most_common(counts, common_words)
+    shared = docs.sparkSession.sparkContext.broadcast((model, vocabulary, common, len(common) == v))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, vocabulary, known, complete = shared.value
@@ -217,12 +235,13 @@ def score_texts(
                 held += len(ids)
                 if held > _IDS_AT_ONCE:
                     scored()
-                found = [logs[w] for w in own if w in logs]
-                end = logs.get(_END)
-                n_tokens.append(len(own) + 1)
-                n_known.append(len(found) + (end is not None))
-                base.append(sum(found) + (end or 0.0))
-                others.append([] if complete else [word_number(w) for w in own if w not in logs])
+                own.append(_END)
+                found = list(map(logs.get, own))
+                rest = [w for w, x in zip(own, found) if x is None] if None in found else []
+                n_tokens.append(len(own))
+                n_known.append(len(own) - len(rest))
+                base.append(sum(filter(None, found)))
+                others.append([] if complete else list(map(word_number, rest)))
             scored()
             columns = [
                 given.column(0),
