@@ -128,6 +128,32 @@ def lookup_company_by_substrings(t: Tables) -> DataFrame:
     return _company_of_client(t, inline_rows=0)
 
 
+_LOOKUP_NULLS = """select p_partkey as id, p_name,
+              case when contains(lower(p_name), 'ring') then 10 when contains(lower(p_name), 'bolt') then 20
+                   when contains(lower(p_name), 'o') then 40 else 35 end as department_id
+       from part"""
+
+
+def _department_with_nulls(t: Tables, **how) -> DataFrame:
+    """A dimension with rows that lack text, id or rank."""
+    dim = t.spark.createDataFrame(
+        [(None, "o", 1), (40, "O ", None), (50, "o", None), (20, "bolt", 2), (10, "ring", 1), (60, None, 0)],
+        "id int, name string, place int",
+    )
+    parts = t.part.select(F.col("p_partkey").alias("id"), "p_name")
+    return lookup_contains(parts, "p_name", dim, "name", "id", "place", "department_id", default=35, **how)
+
+
+@query("lookup_contains_nulls", _LOOKUP_NULLS)
+def lookup_nulls(t: Tables) -> DataFrame:
+    return _department_with_nulls(t)
+
+
+@query("lookup_contains_nulls_substrings", _LOOKUP_NULLS)
+def lookup_nulls_by_substrings(t: Tables) -> DataFrame:
+    return _department_with_nulls(t, inline_rows=0)
+
+
 @query(
     "lookup_contains_default",
     """select p_partkey as id, p_name,

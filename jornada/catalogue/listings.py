@@ -81,6 +81,20 @@ def listing_page(t: Tables) -> DataFrame:
     )
 
 
+@query("listing_in_list", "select o_orderkey as id, o_custkey as customer from orders where o_custkey in (3, 5, 8, 13)")
+def listing_in_list(t: Tables) -> DataFrame:
+    """Values given as text, as a request gives them."""
+    orders = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"))
+    return listing.one_of(orders, "customer", ["3", "5", "8", "13", "none", None])
+
+
+@query("listing_in_long_list", "select o_orderkey as id, o_custkey as customer from orders where o_custkey between 1 and 1500")
+def listing_in_long_list(t: Tables) -> DataFrame:
+    """More values than are written into a plan."""
+    orders = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"))
+    return listing.one_of(orders, "customer", [*map(str, range(1, 1501)), "none", None])
+
+
 @query(
     "listing_worked_hours",
     f"""select "employeeId", {day_text('"date"')} as "date", "secondsWorked", "secondsToWork", "secondsBalance"

@@ -70,6 +70,21 @@ def parse_dayfirst(t: Tables) -> DataFrame:
     return t.orders.select(F.col("o_orderkey").alias("id"), day_first_date(written).alias("day"))
 
 
+@query("parse_dayfirst_shapes", f"select o_orderkey as id, {day_text('o_orderdate')} as day from orders")
+def parse_dayfirst_shapes(t: Tables) -> DataFrame:
+    """Every accepted way to write a date, by turns."""
+    shapes = ["yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss+02:00", "d.M.yyyy", "dd/MM/yy", "  dd/MM/yyyy ", "d-M-yyyy",
+              "yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm:ss"]
+    turn = F.col("o_orderkey") % (len(shapes) + 1)
+    written = F.date_format("o_orderdate", "dd/MM/yyyy")
+    for i, shape in enumerate(shapes):
+        quoted = shape.replace("+02:00", "'+02:00'")
+        # Two-digit years are those of this century.
+        usable = (turn == i) & ((F.year("o_orderdate") >= 2000) if shape == "dd/MM/yy" else F.lit(True))
+        written = F.when(usable, F.date_format("o_orderdate", quoted)).otherwise(written)
+    return t.orders.select(F.col("o_orderkey").alias("id"), day_first_date(written).alias("day"))
+
+
 _SHIFT = "case event_type when 'click' then interval 1 hour when 'view' then interval (-5) hour else interval 0 hour end"
 
 

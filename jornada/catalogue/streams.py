@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from jornada.catalogue import roles
 from jornada.catalogue.registry import Tables, day_text, moment_text, query
 from jornada.session import checkpoint_folder
+from jornada.sources.files import is_folder
 from jornada.streaming.incremental import daily_seconds_stream, start_daily_totals, start_incremental_load
 
 
 def _event_stream(t: Tables) -> DataFrame:
-    reader = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(t.folder)
+    """The table as a stream of its files: a folder of part files, or one file."""
+    reader = t.spark.readStream.schema(t.events.schema)
+    path = f"{t.folder}/events.parquet"
+    if is_folder(t.spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", "events.parquet").parquet(t.folder)
 
 
 def _work_folder(t: Tables) -> str:

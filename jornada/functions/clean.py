@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 DAY_FIRST_FORMATS = {
     r"^\d{1,2}/\d{1,2}/\d{4}$": "d/M/yyyy",
     r"^\d{1,2}-\d{1,2}-\d{4}$": "d-M-yyyy",
+    r"^\d{1,2}\.\d{1,2}\.\d{4}$": "d.M.yyyy",
+    r"^\d{1,2}/\d{1,2}/\d{2}$": "d/M/yy",
     r"^\d{4}-\d{1,2}-\d{1,2}$": "yyyy-M-d",
     r"^\d{1,2}/\d{1,2}/\d{4} \d{2}:\d{2}:\d{2}$": "d/M/yyyy HH:mm:ss",
-    r"^\d{4}-\d{1,2}-\d{1,2} \d{2}:\d{2}:\d{2}$": "yyyy-M-d HH:mm:ss",
 }
+# A date and a time with or without an offset: the date as written counts.
+DATE_AND_TIME = r"^(\d{4}-\d{1,2}-\d{1,2})[T ]\d{1,2}:\d{2}.*$"
+MONTH_FIRST = r"^\d{1,2}/\d{1,2}/\d{4}$"
 
 
 # The characters that count as whitespace.
@@ -56,13 +60,19 @@ def to_utc(text: Column) -> Column:
 
 
 def iso_date(text: Column) -> Column:
-    return F.to_date(to_utc(text))
+    """An ISO text's UTC date; ``5/17/1990`` is read month first, and day first where that gives no date."""
+    month_first = [
+        F.when(F.trim(text).rlike(MONTH_FIRST), F.try_to_timestamp(F.trim(text), F.lit(f))) for f in ("M/d/yyyy", "d/M/yyyy")
+    ]
+    return F.to_date(F.coalesce(to_utc(text), *month_first))
 
 
 def day_first_date(text: Column) -> Column:
-    """Mixed formats, day before month; text in no known format becomes null."""
+    """Mixed formats, day before month, with blanks around; text in no known format becomes null."""
+    text = F.trim(text)
+    shaped = F.regexp_replace(text, DATE_AND_TIME, "$1")
     parsed = [
-        F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(written)))
+        F.when(shaped.rlike(shape), F.try_to_timestamp(shaped, F.lit(written)))
         for shape, written in DAY_FIRST_FORMATS.items()
     ]
     return F.to_date(F.coalesce(*parsed))

@@ -30,14 +30,20 @@ def equal_to(df: DataFrame, filters: Mapping[str, object]) -> DataFrame:
 
 
 def one_of(df: DataFrame, column: str, values: Sequence | DataFrame | None) -> DataFrame:
-    """Column in a list, or in the one column of a DataFrame."""
+    """Column in a list, or in the one column of a DataFrame.
+
+    Listed values are taken as text and read as the column's type, however many
+    they are; one that cannot be read so matches nothing, and neither does None.
+    """
     if values is None:
         return df
     if not isinstance(values, DataFrame):
-        if len(values) <= MAX_IN_LIST:
-            return df.where(F.col(column).isin(list(values)))
-        kind = df.schema[column].dataType.simpleString()
-        values = df.sparkSession.createDataFrame([(v,) for v in values], f"`{column}` {kind}")
+        kind = df.schema[column].dataType
+        texts = [str(v) for v in values if v is not None]
+        if len(texts) <= MAX_IN_LIST:
+            return df.where(F.col(column).isin([F.lit(v).try_cast(kind) for v in texts]) if texts else F.lit(False))
+        values = df.sparkSession.createDataFrame([(v,) for v in texts], "value string")
+        values = values.select(F.col("value").try_cast(kind).alias(column))
     return df.join(values.toDF(column), column, "left_semi")
 
 
@@ -208,6 +214,8 @@ def list_entity(df: DataFrame, entity: str, employees: DataFrame | None = None,
         df = changed_between(df, spec.updated, get("updated_at_gte"), get("updated_at_lte"))
     if spec.deleted:
         df = soft_deleted(df, get("only_return"), spec.deleted)
+    if spec.employee_status and employees is None and get("employee_status"):
+        raise ValueError("employee_status needs the employees")
     if spec.employee_status and employees is not None:
         df = of_employees_with_status(df, employees, get("employee_status"))
     if spec.with_checks and not get("with_checks"):

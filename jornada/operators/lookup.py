@@ -34,14 +34,16 @@ def lookup_contains(
 ) -> DataFrame:
     """Add ``out``, the id found for ``field``.
 
-    Both sides are compared in lower case without trailing whitespace. Null
-    texts of the dimension are skipped, an empty text matches every field, a
-    null field gets the default. ``aliases`` (text, id) are tried after the
-    dimension.
+    Both sides are compared in lower case without trailing whitespace. Rows of
+    the dimension without text or id are skipped, those without rank come last,
+    by id. An empty text matches every field, a null field gets the default.
+    ``aliases`` (text, id) are tried after the dimension. The result does not
+    depend on the size of the dimension.
     """
     kind = dim.schema[id_column].dataType
-    needles = dim.where(F.col(needle).isNotNull()).select(
-        normalised(F.col(needle)).alias("_needle"), F.struct(F.col(rank), F.col(id_column).alias("_id")).alias("_first")
+    order = F.struct(F.col(rank).isNull().alias("_unranked"), F.col(rank).alias("_rank"), F.col(id_column).alias("_id"))
+    needles = dim.where(F.col(needle).isNotNull() & F.col(id_column).isNotNull()).select(
+        normalised(F.col(needle)).alias("_needle"), order.alias("_first")
     )
     # At most one row more than fits: enough to know which way to go.
     head = needles.limit(inline_rows + 1).collect()

@@ -12,7 +12,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jornada.functions import check_date_range, in_date_range
+from jornada.functions import check_date_range, in_date_range, to_utc
 from jornada.operators import boards, flatten
 from jornada.operators.listing import with_statuses
 from jornada.plans import dimensions, facts, marts
@@ -65,13 +65,18 @@ def landed_assignments(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def landed_entries(spark: SparkSession, landing: str, from_date: str, to_date: str) -> DataFrame:
-    """Entries landed on the days of the range or next to it: a local day is not a UTC day."""
+    """Entries of which some version starts in the range or a day next to it, each in its last extract.
+
+    An edited entry may be landed again on any day, so all days are read: first
+    only ids and starts, to find the entries, then all of those. A range that is
+    loaded again therefore never undoes a newer version.
+    """
     first, last = check_date_range(from_date, to_date)
-    days = {
-        "from_date": (first - timedelta(days=1)).isoformat(),
-        "to_date": (last + timedelta(days=1)).isoformat(),
-    }
-    return landed(spark, landing, "time_entries", flatten.flatten_time_entries, **days)
+    raw = read_landing(use_utc(spark), landing, "time_entries", with_arrival=True)
+    starts = raw.select("id", to_utc(F.col("timeEntryIn.date")).alias("start"))
+    met = in_date_range(starts, "start", first - timedelta(days=1), last + timedelta(days=1)).select("id").distinct()
+    flat = flatten.flatten_time_entries(raw, F.col("arrival")).join(met, "id", "left_semi")
+    return last_extract(flat)
 
 
 def load_departments(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:

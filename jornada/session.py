@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings a cluster job should start with. AQE picks broadcast joins from
@@ -34,19 +32,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Where it is unset, a temporary folder is used in local mode only: on a
-    cluster a machine-local folder is lost with its machine.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``, or else one below the warehouse folder."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(named)
-        return named
+    if not named:
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="jornada-"))
-    return context.getCheckpointDir()
+        context.setCheckpointDir(named)
+    return named

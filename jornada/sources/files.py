@@ -15,6 +15,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    file_system, hadoop_path = _on_file_system(spark, path)
+    return file_system.exists(hadoop_path) and file_system.getFileStatus(hadoop_path).isDirectory()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     file_system, hadoop_path = _on_file_system(spark, path)
     file_system.delete(hadoop_path, True)

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from jornada.catalogue import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -27,13 +28,13 @@ def plain(value):
 
 
 def test_every_query_has_sql():
-    assert set(__spark_entry__.queries()) == set(__spark_entry__.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = __spark_entry__.queries()[name](spark, FOLDER)
-    cursor = duck.execute(__spark_entry__.oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    cursor = duck.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == sorted(df.columns)
     expected = Counter(tuple(plain(v) for v in row) for row in cursor.fetchall())

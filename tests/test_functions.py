@@ -43,6 +43,15 @@ def test_day_first_date_mixes_formats(spark):
     assert values(spark, written, "string", day_first_date) == [*expected, None, None, None]
 
 
+def test_day_first_date_takes_more_shapes(spark):
+    written = ["2024-01-05T00:00:00", "2024-01-05T23:30:00+02:00", "5.1.2024", "05/01/24", " 05/01/2024 ", "01/17/2024"]
+    assert values(spark, written, "string", day_first_date) == [date(2024, 1, 5)] * 5 + [None]
+
+
+def test_iso_date_reads_month_first(spark):
+    assert values(spark, ["05/17/1990", "17/05/1990", "x"], "string", iso_date) == [date(1990, 5, 17)] * 2 + [None]
+
+
 def test_offset_moves_the_utc_date(spark):
     assert values(spark, ["2024-02-01T00:30:00+01:00", "never"], "string", iso_date) == [date(2024, 1, 31), None]
 

@@ -219,6 +219,25 @@ def test_last_extract_of_a_record_wins(spark, tmp_path, warehouse):
     assert [r.time_entry_in for r in stored] == [datetime(2024, 1, 12, 8)]
 
 
+def test_loading_an_old_range_again_keeps_newer_versions(spark, tmp_path, warehouse):
+    root = tmp_path / "landing"
+    start, end = "2024-01-05T08:00:00Z", "2024-01-05T09:00:00Z"
+    old, new = (time_entry("x1", "e1", start, end, comment=c) for c in ("old", "new"))
+    moved = time_entry("x2", "e1", "2024-02-10T08:00:00Z", "2024-02-10T09:00:00Z")
+    write_pages(root, "time_entries", "north", [old, time_entry("x2", "e1", start, end)], date="2024-01-05", at=1_000_000_000)
+    january, february = ("2024-01-01", "2024-01-31"), ("2024-02-01", "2024-02-29")
+    jobs.load_time_entries(spark, str(root), warehouse, *january)
+    write_pages(root, "time_entries", "north", [new, moved], date="2024-02-10", at=1_000_000_500)
+    jobs.load_time_entries(spark, str(root), warehouse, *february)
+    table = f"{warehouse}/fact_time_entry"
+    before = {r.time_entry_sesame_id: (r.comment, r.time_entry_in) for r in spark.read.parquet(table).collect()}
+    jobs.load_time_entries(spark, str(root), warehouse, *january)
+    after = {r.time_entry_sesame_id: (r.comment, r.time_entry_in) for r in spark.read.parquet(table).collect()}
+    assert before["x2"][1] == after["x2"][1] == datetime(2024, 2, 10, 8)
+    # The edit of x1 landed in February, but its day is in January.
+    assert after["x1"] == ("new", datetime(2024, 1, 5, 8))
+
+
 def test_csv_files_and_lines(spark, tmp_path):
     schema = table_schema("dim_department")
     df = spark.createDataFrame([("01", 'Sales, "north"'), ("02", None), (" 03 ", ""), ("04", "a\nb")], schema)

@@ -129,3 +129,17 @@ def test_point_read_and_statuses(people):
     assert rows(listing.by_id(people.select("id"), "id", 7)) == [(7,)]
     both = listing.with_statuses(people, ["active", "inactive"])
     assert both.count() == 50 and both.where(F.col("status") == "inactive").count() == 17
+
+
+@pytest.mark.parametrize("more", [0, 1000])
+def test_lists_of_any_length_take_text(spark, more):
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "id bigint")
+    values = ["1", 3, None, "x", *[str(10 + i) for i in range(more)]]
+    assert rows(listing.one_of(df, "id", values)) == [(1,), (3,)]
+    assert listing.one_of(df, "id", []).count() == 0
+
+
+def test_employee_status_needs_employees(spark):
+    df = spark.createDataFrame([("e1", datetime(2024, 1, 1))], "employee_id string, time_entry_in timestamp")
+    with pytest.raises(ValueError):
+        listing.list_entity(df, "time_entries", employee_status="inactive")

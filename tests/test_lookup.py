@@ -74,3 +74,14 @@ def test_every_row_stays(spark):
     for inline_rows in (64, 0):
         found = lookup_contains(df, "field", dim, "name", "id", "id", "found", inline_rows=inline_rows)
         assert rows(found) == [(None, None), ("x", 1), ("x", 1)]
+
+
+@PATHS
+def test_rows_without_id_or_rank(spark, inline_rows):
+    dim = spark.createDataFrame(
+        [(None, "acme", 1), (7, "north", 2), (9, "north", None), (8, "south", None), (6, "south", None)],
+        "id int, name string, place int",
+    )
+    df = spark.createDataFrame([("acme north",), ("acme",), ("south",), (None,)], "field string")
+    found = lookup_contains(df, "field", dim, "name", "id", "place", "found", default=35, inline_rows=inline_rows)
+    assert rows(found) == [(None, 35), ("acme", 35), ("acme north", 7), ("south", 6)]

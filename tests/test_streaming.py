@@ -54,3 +54,12 @@ def test_stream_totals_equal_batch_totals(spark, tmp_path):
     batch = daily_worked_hours(data.withColumn("date", F.to_date("at")), seconds=["secondsWorked"])
     got = spark.read.parquet(f"{tmp_path}/table").select("employee_sesame_id", "date", "worked_time")
     assert rows(got) == rows(batch)
+
+
+def test_queries_read_a_table_of_several_files(spark, tmp_path):
+    from jornada.catalogue import QUERIES
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    for name in ("incremental_load", "stream_daily_hours"):
+        assert rows(QUERIES[name](spark, str(tmp_path))) == rows(QUERIES[name](spark, "/root/testdata/sf0.001"))
