@@ -45,7 +45,7 @@ def test_columns_and_rows(spark, name):
     got = queries.QUERIES[name](spark, FOLDER)
     assert set(COLUMNS[name].split()) <= set(got.columns)
     table = "pages" if name.startswith("op4") else "documents"
-    assert got.count() == duckdb.sql(f"select count(*) from '{FOLDER}/{table}.parquet'").fetchone()[0]
+    assert got.count() == duckdb.execute(f"select count(*) from '{FOLDER}/{table}.parquet'").fetchone()[0]
 
 
 def test_pipeline_stages(spark, tmp_path):
