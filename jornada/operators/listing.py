@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -42,7 +43,8 @@ def one_of(df: DataFrame, column: str, values: Sequence | DataFrame | None) -> D
         texts = [str(v) for v in values if v is not None]
         if len(texts) <= MAX_IN_LIST:
             return df.where(F.col(column).isin([F.lit(v).try_cast(kind) for v in texts]) if texts else F.lit(False))
-        values = df.sparkSession.createDataFrame([(v,) for v in texts], "value string")
+        listed = F.explode(F.from_json(F.lit(json.dumps(texts)), "array<string>"))
+        values = df.sparkSession.range(1).select(listed.alias("value"))
         values = values.select(F.col("value").try_cast(kind).alias(column))
     return df.join(values.toDF(column), column, "left_semi")
 
