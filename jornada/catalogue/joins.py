@@ -136,9 +136,9 @@ _LOOKUP_NULLS = """select p_partkey as id, p_name,
 
 def _department_with_nulls(t: Tables, **how) -> DataFrame:
     """A dimension with rows that lack text, id or rank."""
-    dim = t.spark.createDataFrame(
-        [(None, "o", 1), (40, "O ", None), (50, "o", None), (20, "bolt", 2), (10, "ring", 1), (60, None, 0)],
-        "id int, name string, place int",
+    dim = t.spark.sql(
+        """select * from values (null, 'o', 1), (40, 'O ', null), (50, 'o', null), (20, 'bolt', 2), (10, 'ring', 1),
+           (60, null, 0) as dim(id, name, place)"""
     )
     parts = t.part.select(F.col("p_partkey").alias("id"), "p_name")
     return lookup_contains(parts, "p_name", dim, "name", "id", "place", "department_id", default=35, **how)
