@@ -19,6 +19,8 @@ WIDTH, DENSE = 16, 32
 STRIDE = 16
 WINDOW = 2 * STRIDE
 INPUTS, GROUPS, SLOTS = 4096, 32, 32
+#: Windows of a training step, and the highest learning rate.
+BATCH, RATE = 128, 0.015
 _FAR = np.float32(-1e9)
 
 
@@ -234,10 +236,59 @@ def _gradients(model: Attention, seen: np.ndarray, wanted: np.ndarray, counted:
     return d_table, d_bias, d_dense, d_back, d_groups, d_slots
 
 
+class Trainer:
+    """Adam on batches of windows (n, WINDOW + 1) of ids, -1 after a document's end."""
+
+    def __init__(self, model: Attention, words: Vocabulary):
+        self.model, self.words, self.steps = model, words, 0
+        self.parts = parts_of(model)
+        self.first, self.second = [np.zeros_like(p) for p in self.parts], [np.zeros_like(p) for p in self.parts]
+        #: How often each input, each group and any position was learned from.
+        self.inputs, self.groups, self.positions = np.zeros(INPUTS + 1), np.zeros(GROUPS), 0.0
+
+    def step(self, windows: np.ndarray, rate: float) -> None:
+        inputs = np.where(windows < 0, INPUTS, self.words.inputs[windows])[:, :-1]
+        classes = np.where(windows < 0, 0, self.words.classes[windows])[:, 1:]
+        counted = windows[:, 1:] >= 0
+        slopes = _gradients(self.model, inputs, classes, counted)
+        self.inputs += np.bincount(inputs[counted], minlength=INPUTS + 1)
+        self.groups += np.bincount(classes[counted] // SLOTS, minlength=GROUPS)
+        self.positions += counted.sum()
+        self.steps += 1
+        speed = rate * min(1.0, self.steps / 20)
+        for part, slope, m, v in zip(self.parts, slopes, self.first, self.second):
+            m *= 0.9
+            m += 0.1 * slope
+            v *= 0.98
+            v += 0.02 * slope * slope
+            part -= speed * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.98**self.steps)) + 1e-8)
+
+    def weights(self) -> tuple[np.ndarray, np.ndarray]:
+        """All weights in one row, and how often each was learned from."""
+        counts = [np.full(p.shape, self.positions) for p in self.parts]
+        counts[0][:] = self.inputs[:, None]
+        counts[5][:] = self.groups[:, None, None]
+        return flat_of(self.model), np.concatenate([c.ravel() for c in counts]).astype(np.float32)
+
+
+def parts_of(model: Attention) -> tuple[np.ndarray, ...]:
+    return model.table, model.bias, model.dense, model.back, model.groups, model.slots
+
+
+def flat_of(model: Attention) -> np.ndarray:
+    return np.concatenate([p.ravel() for p in parts_of(model)])
+
+
+def from_flat(flat: np.ndarray) -> Attention:
+    parts = parts_of(Attention.new())
+    cut = np.split(flat.astype(np.float32), np.cumsum([p.size for p in parts])[:-1])
+    return Attention(*(c.reshape(p.shape).copy() for c, p in zip(cut, parts)))
+
+
 def train(
-    words: Vocabulary, windows: np.ndarray, steps: int = 2500, batch: int = 128, rate: float = 0.015, seed: int = 4
+    words: Vocabulary, windows: np.ndarray, steps: int = 2500, batch: int = BATCH, rate: float = RATE, seed: int = 4
 ) -> Attention:
-    """Fits the model to windows (n, WINDOW + 1) of ids, -1 after a document's end, with Adam and a falling rate.
+    """Fits the model to windows in one process, with Adam and a falling rate.
 
     Few windows are seen four times each, for more would learn them by heart.
     """
@@ -245,25 +296,21 @@ def train(
     if not len(windows):
         return model
     steps = min(steps, max(100, 4 * len(windows) // batch))
-    inputs = np.where(windows < 0, INPUTS, words.inputs[windows])
-    classes = np.where(windows < 0, 0, words.classes[windows])
     random = np.random.default_rng(seed)
-    parts = model.table, model.bias, model.dense, model.back, model.groups, model.slots
-    first, second = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
+    trainer = Trainer(model, words)
     for step in range(steps):
-        chosen = random.integers(len(windows), size=batch)
-        counted = windows[chosen, 1:] >= 0
-        slopes = _gradients(model, inputs[chosen, :-1], classes[chosen, 1:], counted)
-        speed = rate * min(1.0, (step + 1) / 20) * (1 - step / steps) ** 0.5
-        for part, slope, m, v in zip(parts, slopes, first, second):
-            m *= 0.9
-            m += 0.1 * slope
-            v *= 0.98
-            v += 0.02 * slope * slope
-            part -= speed * (m / (1 - 0.9 ** (step + 1))) / (np.sqrt(v / (1 - 0.98 ** (step + 1))) + 1e-8)
+        trainer.step(windows[random.integers(len(windows), size=batch)], rate * (1 - step / steps) ** 0.5)
     return model
 
 
+def windows_of(ids: np.ndarray) -> np.ndarray:
+    """The windows that learn each of a text's ids once: the first id of each is context alone."""
+    n = -(-(len(ids) - 1) // WINDOW)
+    held = np.full(n * WINDOW + 1, -1, np.int32)
+    held[: len(ids)] = ids
+    return np.lib.stride_tricks.sliding_window_view(held, WINDOW + 1)[::WINDOW] if n else np.empty((0, WINDOW + 1), np.int32)
+
+
 def score(model: Scorer, words: Vocabulary, texts: list[np.ndarray], start: int, at_once: int = 2048) -> np.ndarray:
     """Log10 probability of each text, given as ids that end with the end id; `start` is the id before its first.
 

@@ -2,8 +2,9 @@
 
 All training documents are counted: the words for the baseline and, through
 the words, the subword ids for the model's vocabulary. The attention model
-is fitted in numpy to a bounded sample of windows of training documents, chosen
-by hash, and then scores every document whole.
+learns in numpy from every window of every training document: in each round all
+partitions train on their own documents of that round, and the weights, whose
+number is fixed, are averaged. The model then scores every document whole.
 
 A text is its words (A-Z lower-cased) and one end. The model sees the ids of
 each word after a space, and the end id; a word's ids do not depend on its
@@ -19,8 +20,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import heapq
-import pickle
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +39,16 @@ FOLDS, HELD_OUT = 7, 2
 END_ID, IDS = 50256, 50257
 #: Words whose counts every task holds; the counts of all others are joined.
 COMMON_WORDS = 200_000
-#: Bounds of the sample that the model is fitted to.
-SAMPLE_DOCS, SAMPLE_WINDOWS = 4000, 150_000
-STEPS = 2500
+#: Rounds of training, which part the documents; the weights are averaged after each.
+ROUNDS = 6
+#: Steps up to which the windows of a small corpus are learned again, and how often at most. All are learned once.
+STEPS, MOST_PASSES = 2500, 4
+#: Steps that a corpus of very few windows makes at least.
+LEAST_STEPS = 100
+#: Windows that a task mixes at a time, and that make a task of a round worthwhile.
+MIXED, LEAST_WINDOWS = 16_384, 6400
+#: Pieces in which the weights are averaged.
+PIECES = 24
 _END = b"\n"
 _WORDS_HELD = 300_000
 _IDS_AT_ONCE = 100_000
@@ -130,44 +137,100 @@ def id_counts(counts: DataFrame, ranks: str) -> np.ndarray:
     return found
 
 
-def sample_windows(texts: DataFrame, ranks: str, docs: int, windows: int) -> DataFrame:
-    """At most so many windows of ids, by hash, from at most so many documents, by hash."""
-    picked = texts.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(docs).distinct()
+def learned(
+    texts: DataFrame, start: attention.Attention, vocabulary: attention.Vocabulary, ranks: str, least: int, rate: float
+) -> DataFrame:
+    """Rows (piece, task, weights, counts): the weights after each task has learned from all of its texts, in pieces.
+
+    A task holds so many windows as it mixes at a time. It learns from them once,
+    or again up to the least number of steps.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((start, vocabulary))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, _ = subwords(ranks)
-        best: list[tuple[int, bytes]] = []
+        known, vocabulary = shared.value
+        task = TaskContext.get().partitionId()
+        random = np.random.default_rng(task)
+        trainer = attention.Trainer(attention.from_flat(attention.flat_of(known)), vocabulary)
+        waiting: list[np.ndarray] = []
+        held = 0
+
+        def learn(windows: np.ndarray) -> None:
+            until = trainer.steps + max(1, least)
+            while trainer.steps < until:
+                order = random.permutation(len(windows))
+                for own in np.array_split(order, max(1, round(len(order) / attention.BATCH))):
+                    trainer.step(windows[own], rate)
+
         for given in batches:
             for text in given.column(0):
-                ids = np.concatenate([[END_ID], ids_of(encoding, words(text.as_py()))]).astype("<i4")
-                for start in range(0, len(ids) - 1, attention.WINDOW):
-                    window = np.full(attention.WINDOW + 1, -1, "<i4")
-                    own = ids[start : start + attention.WINDOW + 1]
-                    window[: len(own)] = own
-                    raw = window.tobytes()
-                    item = -xxhash.xxh64_intdigest(raw), raw
-                    (heapq.heappush if len(best) < windows else heapq.heappushpop)(best, item)
-        hashes, raws = zip(*best) if best else ((), ())
-        columns = [pa.array([-h - (1 << 63) for h in hashes], pa.int64()), pa.array(raws, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["place", "window"])
-
-    # At most `docs` ids.
-    chosen = texts.join(F.broadcast(picked), "doc_id", "left_semi").select("text")
-    return chosen.mapInArrow(work, "place long, window binary").orderBy("place", "window").limit(windows)
-
-
-def fitted(windows: DataFrame, vocabulary: attention.Vocabulary, steps: int) -> attention.Attention:
-    """The model of a bounded sample of windows, trained in one task; only its weights come to the driver."""
-    shared = windows.sparkSession.sparkContext.broadcast(vocabulary)
+                own = attention.windows_of(np.concatenate([[END_ID], ids_of(encoding, words(text.as_py()))]))
+                for i in range(0, len(own), MIXED):
+                    waiting.append(own[i : i + MIXED])
+                    held += len(waiting[-1])
+                    if held >= MIXED:
+                        learn(np.concatenate(waiting))
+                        waiting, held = [], 0
+        if held:
+            learn(np.concatenate(waiting))
+        if trainer.steps:
+            values, counts = (np.array_split(x, PIECES) for x in trainer.weights())
+            columns = [
+                pa.array(range(PIECES), pa.int32()),
+                pa.array([task] * PIECES, pa.int32()),
+                pa.array([x.tobytes() for x in values], pa.binary()),
+                pa.array([x.tobytes() for x in counts], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["piece", "task", "weights", "counts"])
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raws = sorted(raw for given in batches for raw in given.column(0).to_pylist())
-        table = np.array([np.frombuffer(raw, "<i4") for raw in raws], np.int32).reshape(-1, attention.WINDOW + 1)
-        model = attention.train(shared.value, table, steps)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+    return texts.select("text").mapInArrow(work, "piece int, task int, weights binary, counts binary")
 
-    found = windows.select("window").coalesce(1).mapInArrow(work, "model binary").collect()
-    return pickle.loads(found[0]["model"]) if found else attention.Attention.new()
+
+def averaged(rows: DataFrame, start: attention.Attention) -> attention.Attention:
+    """The mean of all tasks' weights, each by how often the task learned from it; only the means come to the driver.
+
+    So an id that few tasks have seen is as those tasks have learned it. What
+    none has seen stays.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for given in batches:
+            for piece, weights, counts in zip(given.column(0).to_pylist(), given.column(2), given.column(3)):
+                counts = np.frombuffer(counts.as_buffer(), np.float32).astype(np.float64)
+                own = np.stack([np.frombuffer(weights.as_buffer(), np.float32) * counts, counts])
+                total[piece] = total[piece] + own if piece in total else own
+        columns = [pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["piece", "total"])
+
+    # Sorted, so that sums do not depend on which task ends first.
+    dealt = rows.repartition(PIECES, "piece").sortWithinPartitions("piece", "task")
+    found = {r["piece"]: np.frombuffer(r["total"]).reshape(2, -1) for r in dealt.mapInArrow(work, "piece int, total binary").collect()}
+    if not found:
+        return start
+    total, counts = np.concatenate([found[i] for i in range(PIECES)], axis=1)
+    return attention.from_flat(np.where(counts > 0, total / np.maximum(counts, 1), attention.flat_of(start)))
+
+
+def fitted(texts: DataFrame, vocabulary: attention.Vocabulary, ranks: str, n_ids: int, steps: int = STEPS) -> attention.Attention:
+    """The model, learned from all windows of all texts, which hold `n_ids` ids.
+
+    A hash deals the texts out, so that each is learned from in one round, or in
+    several while the corpus is small. A round has as many tasks as there are
+    partitions, or fewer for so few windows that a task would hardly make a step.
+    """
+    windows = n_ids // attention.WINDOW + 1
+    passes = min(MOST_PASSES, max(1, steps * attention.BATCH // windows))
+    least = min(steps, LEAST_STEPS) // ROUNDS if windows * MOST_PASSES < LEAST_STEPS * attention.BATCH else 0
+    tasks = max(1, windows * passes // (ROUNDS * LEAST_WINDOWS))
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
+    model = attention.Attention.new()
+    for turn in range(ROUNDS):
+        own = texts.filter(F.pmod(place - turn, F.lit(ROUNDS)) < passes).coalesce(tasks)
+        rate = attention.RATE * (1 - turn / ROUNDS) ** 0.5
+        model = averaged(learned(own, model, vocabulary, ranks, least, rate), model)
+    return model
 
 
 def most_common(counts: DataFrame, most: int) -> dict[bytes, int]:
@@ -190,16 +253,15 @@ def most_common(counts: DataFrame, most: int) -> dict[bytes, int]:
 def score_texts(
     docs: DataFrame,
     ranks: str = RANKS,
-    sample_docs: int = SAMPLE_DOCS,
-    most_windows: int = SAMPLE_WINDOWS,
     steps: int = STEPS,
     common_words: int = COMMON_WORDS,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document.
 
-    The texts are read once to count them and once to score them, and do not
-    move. The counts of the most common words go to all tasks (a bounded table);
-    the other words of each document are joined with their counts by hash.
+    The texts are read once to count them, once a round to learn from them, and
+    once to score them, and do not move. The counts of the most common words go
+    to all tasks (a bounded table); the other words of each document are joined
+    with their counts by hash.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text", held_out().alias("held_out"))
     training = docs.filter(~F.col("held_out"))
@@ -207,8 +269,9 @@ def score_texts(
     told = counts.agg(F.sum("times").alias("n"), F.count("*").alias("v")).first()
     n, v = told["n"] or 0, told["v"]
     opens = subwords(ranks)[1]
-    vocabulary = attention.vocabulary(id_counts(counts, ranks), opens)
-    model = fitted(sample_windows(training, ranks, sample_docs, most_windows), vocabulary, steps)
+    ids = id_counts(counts, ranks)
+    vocabulary = attention.vocabulary(ids, opens)
+    model = fitted(training, vocabulary, ranks, int(ids.sum()), steps)
     common = most_common(counts, common_words)
     shared = docs.sparkSession.sparkContext.broadcast((model, vocabulary, common, len(common) == v))
 

@@ -273,6 +273,34 @@ def test_training_follows_the_slope():
     assert attention.score(scorer, words, [text], 0)[0] > 0.5 * len(text) * math.log10(1 / 7)
 
 
+def test_model_learns_from_all_training_texts(spark, monkeypatch):
+    """Every window of every text is learned from once, in tasks of several rounds, however many there are."""
+    monkeypatch.setattr(lm_scoring, "LEAST_WINDOWS", 1)
+    monkeypatch.setattr(lm_scoring, "ROUNDS", 2)
+    texts = [(i, corpus.sentence(60 + i, 700 + i), "s") for i in range(40)]
+    docs = corpus.frame(spark, texts)
+    encoding, opens = lm_scoring.subwords(packing.RANKS)
+    ids = [lm_scoring.ids_of(encoding, corpus.words(t)) for _, t, _ in texts]
+    counts = np.bincount(np.concatenate(ids), minlength=lm_scoring.IDS)
+    vocabulary = attention.vocabulary(counts, opens)
+    start, seen, tasks = attention.Attention.new(), 0, set()
+    for turn in range(2):
+        own = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)) == turn)
+        rows = lm_scoring.learned(own, start, vocabulary, packing.RANKS, 0, 0.01).orderBy("piece").collect()
+        for task in {r["task"] for r in rows}:
+            counts_of = np.concatenate([np.frombuffer(r["counts"], np.float32) for r in rows if r["task"] == task])
+            # The distances' weights count every position.
+            seen += counts_of[start.table.size]
+            tasks.add((turn, task))
+    assert seen == sum(map(len, ids)) and len(tasks) > 2
+    model = lm_scoring.fitted(docs, vocabulary, packing.RANKS, int(counts.sum()))
+    before, after = (attention.score(attention.Scorer(m), vocabulary, ids, lm_scoring.END_ID).sum() for m in (start, model))
+    assert after > 0.9 * before
+    known = np.append(np.unique(vocabulary.inputs[np.concatenate(ids)]), vocabulary.inputs[lm_scoring.END_ID])
+    never = np.setdiff1d(np.arange(attention.INPUTS), known)
+    assert np.allclose(model.table[never], start.table[never])
+
+
 # Exact dedup
 
 
