@@ -24,7 +24,8 @@ Regions come in two kinds, and both are joined exactly.
   to one are a component, so a group of near copies is joined by its pivots.
   Regions that still hold several components are split again while they are
   large, and small ones are joined pair by pair, across components only and
-  within the window around the pivot.
+  within the window around the pivot. Where pivots do not part regions any more,
+  the members are cut into blocks, and each pair of blocks is joined by itself.
 
 Pairs are first held against the bitmaps, which lose no link, and the rest
 against the sets.
@@ -42,6 +43,7 @@ Shingles are told apart by 64-bit hashes and sets by 128-bit digests.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,6 +62,8 @@ ABOVE, BELOW = 4, 5
 #: Cells of more documents are split by pivots; regions of more documents are split again.
 SMALL, IN_TASK = 64, 4000
 PIVOTS = 4
+#: The side of members that are joined with all of their region; others are joined with the other side.
+BOTH = 2
 #: Bits that all bitmaps have at least, and that the metric is taken on.
 FOLDED = 2048
 #: Shingles known to be frequent; they only come last in the order, so the bound costs no result.
@@ -395,17 +399,59 @@ def several(regions: DataFrame) -> DataFrame:
     return regions.join(sizes.hint("merge"), "region")
 
 
+def in_blocks(regions: DataFrame) -> DataFrame:
+    """The members of regions dealt to regions of two blocks each, which hold at most about two thirds of IN_TASK.
+
+    Blocks are cut by hash within bands of sizes. Linked sets lie in the same
+    band or the next. One of the two, the smaller, has its shingle in the first
+    ninth, so late members only meet early ones that are no larger, and those
+    without such a partner are left out. `side` is the block's, or BOTH where a
+    block meets itself.
+    """
+    # A little wider than sizes of linked sets lie apart, so that rounding loses nothing.
+    band = F.floor(F.log("n") / math.log(1.01 * BELOW / ABOVE)).cast("int")
+    late = F.col("rank") > F.floor(F.col("n") * (BELOW - ABOVE) / (BELOW + ABOVE))
+    rows = regions.withColumns({"band": band, "late": late})
+    groups = rows.groupBy("region", "band", "late").agg(F.count("*").alias("members"))
+    groups = groups.select("region", "band", "late", F.ceil(F.col("members") * 3 / IN_TASK).cast("int").alias("blocks"))
+    # A few groups for each region.
+    groups = stored(groups)
+    early = groups.filter(~F.col("late")).select("region", F.col("band").alias("low"), F.col("blocks").alias("low_blocks"))
+    met = early.join(groups.hint("merge"), "region")
+    met = stored(met.filter((F.col("band") == F.col("low")) | (F.col("band") == F.col("low") + 1)))
+    itself = (F.col("low") == F.col("band")) & ~F.col("late")
+    pair = F.xxhash64("low", "band", "late").alias("pair")
+    here = ("region", "band", "late", "blocks")
+    parts = [
+        met.filter(itself).select(*here, F.lit(BOTH).alias("role"), F.col("blocks").alias("others"), pair),
+        met.filter(~itself).select(*here, F.lit(1).alias("role"), F.col("low_blocks").alias("others"), pair),
+        met.filter(~itself).select(
+            "region", F.col("low").alias("band"), F.lit(False).alias("late"), F.col("low_blocks").alias("blocks"),
+            F.lit(0).alias("role"), F.col("blocks").alias("others"), pair,
+        ),
+    ]
+    rows = rows.join(stored(functools.reduce(DataFrame.union, parts)).hint("merge"), ["region", "band", "late"])
+    rows = rows.withColumn("slot", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks").cast("long")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    first = F.when(F.col("role") == BOTH, F.least("slot", "other")).when(F.col("role") == 0, F.col("slot")).otherwise(F.col("other"))
+    second = F.when(F.col("role") == BOTH, F.greatest("slot", "other")).when(F.col("role") == 0, F.col("other")).otherwise(F.col("slot"))
+    side = F.when((F.col("role") != BOTH) | (F.col("slot") == F.col("other")), F.col("role")).otherwise((F.col("slot") > F.col("other")).cast("int"))
+    unit = F.xxhash64("region", "pair", first, second).alias("region")
+    return rows.select(unit, "node", "n", "rank", "label", "d", "home", side.alias("side"))
+
+
 def pairs_within(regions: DataFrame, bits: DataFrame) -> DataFrame:
     """The pairs of each region that may link, across components and within the window, by their bitmaps."""
-    names = ["region", "node", "n", "rank", "label", "d", "home", "bits"]
+    names = ["region", "node", "n", "rank", "label", "d", "home", "side", "bits"]
 
     def joined(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        _, node, n, rank, label, d, home, bits = rows
+        _, node, n, rank, label, d, home, side, bits = rows
         n, rank, d = n.astype(np.int64), rank.astype(np.int64), d.astype(np.int64)
         folded = np.stack([_folded(x) for x in bits])
         for i in range(len(node) - 1):
             j = np.arange(i + 1, len(node))
             fits = (label[j] != label[i]) & (node[j] != node[i]) & (home[j] | home[i])
+            fits &= (side[j] != side[i]) | (side[j] == BOTH)
             fits &= ((BELOW + ABOVE) * np.abs(d[j] - d[i]) <= n[j] + n[i]) & _may_meet(n[i], n[j], rank[i], rank[j])
             j = j[fits]
             if not len(j):
@@ -431,6 +477,8 @@ def pairs_within(regions: DataFrame, bits: DataFrame) -> DataFrame:
         if waiting is not None and len(waiting[0]):
             yield from joined(waiting)
 
+    if "side" not in regions.columns:
+        regions = regions.withColumn("side", F.lit(BOTH))
     known = regions.join(bits.hint("merge"), "node").select(*names)
     dealt = known.repartition(partitions(regions.sparkSession), "region").sortWithinPartitions("region")
     return dealt.mapInArrow(work, "a long, b long").distinct()
@@ -459,15 +507,18 @@ def links(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
         labels = components(linked)
         regions = stored(whole(met, labels))
         size = regions.agg(F.max("size")).first()[0] or 0
-        # Where pivots do not part regions any more, their pairs are looked at within the windows.
-        bound = IN_TASK if before is None or size < before * 3 / 4 else size
-        left, before = size > bound, size
-        close = pairs_within(regions.filter(F.col("size") <= bound), bits)
-        if left:
-            large = regions.filter(F.col("size") > bound).select("region").distinct()
+        stuck = before is not None and size >= before * 3 / 4
+        left, before = size > IN_TASK, size
+        close = pairs_within(regions.filter(F.col("size") <= IN_TASK), bits)
+        if left and stuck:
+            # Pivots do not part regions any more.
+            close = close.union(pairs_within(in_blocks(regions.filter(F.col("size") > IN_TASK)), bits)).distinct()
+            left = False
+        elif left:
+            large = regions.filter(F.col("size") > IN_TASK).select("region").distinct()
             parts = stored(voronoi(met.join(large.hint("merge"), "region"), labels))
-            close = close.union(pairs_within(parts.filter(F.col("size") <= bound), bits)).distinct()
-            members = parts.filter(F.col("size") > bound).select("node", "region", "n", "rank")
+            close = close.union(pairs_within(parts.filter(F.col("size") <= IN_TASK), bits)).distinct()
+            members = parts.filter(F.col("size") > IN_TASK).select("node", "region", "n", "rank")
             left = not members.isEmpty()
         close = may_link(close, classes)
 

@@ -59,6 +59,47 @@ def test_split_regions_equal_brute_force(spark, monkeypatch, small, in_task):
     assert found(corpus.frame(spark, rows)) == brute(rows)
 
 
+def test_regions_that_pivots_do_not_part_are_joined_in_blocks(spark, monkeypatch):
+    """Pages of one passage, all equally far from each other: no task takes more than IN_TASK of them."""
+    monkeypatch.setattr(J.split, "__defaults__", (2,))
+    monkeypatch.setattr(J, "IN_TASK", 60)
+    monkeypatch.setattr(J, "FREQUENT", 1)
+    sizes, dealt, plain, blocks = [], [], J.pairs_within, J.in_blocks
+
+    def watched(regions, bits):
+        sizes.extend(r["count"] for r in regions.groupBy("region").count().collect())
+        return plain(regions, bits)
+
+    def cut(regions):
+        dealt.append(regions.count())
+        return blocks(regions)
+
+    monkeypatch.setattr(J, "pairs_within", watched)
+    monkeypatch.setattr(J, "in_blocks", cut)
+    passage = corpus.sentence(64, 60)
+    rows = [(i, f"{passage} {corpus.sentence(8 + i % 4, 400 + i)}", "s") for i in range(150)]
+    # Own parts of less than a ninth: these link.
+    rows += [(200 + i, f"{passage} {corpus.sentence(2 + i % 3, 600 + i)}", "s") for i in range(10)]
+    assert found(corpus.frame(spark, rows)) == brute(rows)
+    assert dealt and max(sizes) <= 60
+
+
+@pytest.mark.parametrize("in_task", [3, 40])
+def test_blocks_hold_every_pair_that_may_link(spark, monkeypatch, in_task):
+    monkeypatch.setattr(J, "IN_TASK", in_task)
+    own = np.random.default_rng(1)
+    members = [(1, i, int(n := own.integers(20, 80)), int(own.integers(0, n // 5 + 1)), i, 1, True) for i in range(120)]
+    given = spark.createDataFrame(members, "region long, node long, n int, rank int, label long, d int, home boolean")
+    units = {}
+    for r in J.in_blocks(given).collect():
+        units.setdefault(r["region"], []).append((r["node"], r["side"]))
+    met = [tuple(sorted((a, b))) for u in units.values() for i, (a, x) in enumerate(u) for b, y in u[:i] if x != y or x == J.BOTH]
+    assert len(met) == len(set(met))
+    n, rank = np.array([m[2] for m in members]), np.array([m[3] for m in members])
+    wanted = {(a, b) for a in range(120) for b in range(a + 1, 120) if J._may_meet(n[a], n[b], rank[a], rank[b])}
+    assert wanted and wanted <= set(met) and len(met) < 120 * 119 / 2
+
+
 def test_threshold_is_exact(spark):
     # 9 shingles each, 8 common: 8/10 links; 7 of 9 common: 7/11 does not.
     words = [f"w{i}" for i in range(13)]
