@@ -9,6 +9,10 @@ to the plain ones; plain ones always stay.
 
 Spans are code points, end exclusive, leftmost and non-overlapping per kind.
 
+Digits, "at" and "dot" are known in English, German, French and Spanish. "at"
+before a host with plain dots counts if the host's last label is one of usual
+hosts; "un" alone among plain digits stays an article.
+
 Defined results: a null or empty text has no spans. A span that a disguise
 yields is added only if it holds a rewritten character and is not inside a
 plain span of its kind. Rows are independent: repeated rows and null ids give
@@ -127,33 +131,66 @@ def _characters() -> dict[str, str]:
 CHARACTERS = _characters()
 _CHARACTER = re.compile("[" + re.escape("".join(sorted(CHARACTERS))) + "]")
 
-# Spelled digits.
+# Spelled digits in English, German, French and Spanish.
 DIGIT_WORDS = {
-    "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7",
-    "eight": "8", "nine": "9",
+    word: str(digit)
+    for digit, spelled in enumerate((
+        "zero oh null zéro cero", "one eins un uno", "two zwei zwo deux dos", "three drei trois tres",
+        "four vier quatre cuatro", "five fünf fuenf cinq cinco", "six sechs seis", "seven sieben sept siete",
+        "eight acht huit ocho", "nine neun neuf nueve",
+    ))
+    for word in spelled.split()
 }
-_SPELLED = "(?:" + "|".join(DIGIT_WORDS) + ")"
+#: An article too: alone among plain digits it is no digit.
+_ARTICLE = "un"
+_SPELLED = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
 _NUMBER = rf"(?:{_SPELLED}|[0-9])"
-_JOIN = r"(?:[\x20\t\n,.-]{1,3}|\x20?\bdot\b\x20?|\x20?\bpoint\b\x20?)"
-#: A spelled digit in a run of at least four digits, spelled or not.
-_RUN = re.compile(rf"(?:\bplus\x20)?\b{_NUMBER}(?:{_JOIN}?{_NUMBER}){{3,}}\b", re.IGNORECASE)
-_RUN_HINT = re.compile(rf"\b{_SPELLED}\b[\x20\t\n,.-]{{1,3}}(?:{_SPELLED}\b|[0-9]|dot\b|point\b)", re.IGNORECASE)
+_DOT_WORD = "(?:dot|punkt|punto|point)"
+_JOIN = rf"(?:[\x20\t\n,.-]{{1,3}}|\x20?\b{_DOT_WORD}\b\x20?)"
+#: A run of at least four digits, spelled or not.
+_RUN = re.compile(rf"(?:\b(?:plus|más|mas)\x20)?\b{_NUMBER}(?:{_JOIN}?{_NUMBER}){{3,}}\b", re.IGNORECASE)
+#: Where a case-folded run may hold something to rewrite: a spelled digit beside a digit, or a spoken dot between digits.
+_RUN_HINT = re.compile(
+    rf"\b{_SPELLED}[\x20\t\n,.-]{{0,3}}(?:{_NUMBER}|{_DOT_WORD}\b)|[0-9][\x20\t\n,.-]{{0,3}}{_SPELLED}|[0-9]\x20{_DOT_WORD}\x20{_NUMBER}"
+)
 _RUN_PART = re.compile(
-    rf"(?P<plus>plus\x20)|(?P<spelled>{_SPELLED})|(?P<dot>\x20?\b(?:dot|point)\b\x20?)|(?P<gap>[\x20\t\n,]+)",
+    rf"(?P<plus>(?:plus|más|mas)\x20)|(?P<spelled>{_SPELLED})|(?P<dot>\x20?\b{_DOT_WORD}\b\x20?)|(?P<gap>[\x20\t\n,]+)",
     re.IGNORECASE,
 )
 
-_AT = r"(?:at|@)"
-_DOT = r"(?:dot|punkt|punto|point|\.)"
+_AT_WORD = "(?:at|arroba|arobase|arobas|klammeraffe|ät)"
+_AT = rf"(?:{_AT_WORD}|@)"
+_DOT = rf"(?:{_DOT_WORD}|\.)"
 _BRACKETED_AT = re.compile(rf"[\x20\t]*[\[({{<][\x20\t]*{_AT}[\x20\t]*[\])}}>][\x20\t]*", re.IGNORECASE)
 _BRACKETED_DOT = re.compile(rf"[\x20\t]*[\[({{<][\x20\t]*{_DOT}[\x20\t]*[\])}}>][\x20\t]*", re.IGNORECASE)
-_LABEL = r"[A-Za-z0-9_%+-]+"
-_SPOKEN = re.compile(
-    rf"\b{_LABEL}(?:(?:\.|\x20dot\x20|_dot_|-dot-){_LABEL}){{0,6}}(?:\x20at\x20|\x20@\x20|_at_|-at-|@)"
-    r"[A-Za-z0-9-]+(?:(?:\.|\x20dot\x20|\x20\.\x20|_dot_|-dot-)[A-Za-z0-9-]+){1,6}",
-    re.IGNORECASE,
+_SPOKEN_DOT = rf"(?:\x20{_DOT_WORD}\x20|\x20\.\x20|_{_DOT_WORD}_|-{_DOT_WORD}-)"
+_SPOKEN_AT = rf"(?:\x20{_AT_WORD}\x20|\x20@\x20|_{_AT_WORD}_|-{_AT_WORD}-)"
+_SEPARATOR = re.compile(rf"\.|{_SPOKEN_DOT}", re.IGNORECASE)
+#: Labels end where a spoken dot begins.
+_HOST_LABEL = rf"(?:(?!-{_DOT_WORD}-)[A-Za-z0-9-])+"
+_SPOKEN_HOST = re.compile(
+    rf"(?P<at>{_SPOKEN_AT}|@)(?P<host>{_HOST_LABEL}(?:(?:\.|{_SPOKEN_DOT}){_HOST_LABEL})+)", re.IGNORECASE
 )
-_SPOKEN_PART = re.compile(r"(?P<at>\x20at\x20|\x20@\x20|_at_|-at-)|(?P<dot>\x20dot\x20|\x20\.\x20|_dot_|-dot-)", re.I)
+_SPOKEN_PART = re.compile(rf"(?P<at>{_SPOKEN_AT})|(?P<dot>{_SPOKEN_DOT})", re.IGNORECASE)
+_LOCAL_LABEL = re.compile(r"[A-Za-z0-9_%+-]")
+_BEFORE = re.compile(rf"(?:\.|{_SPOKEN_DOT})\Z", re.IGNORECASE)
+_LONGEST_DOT = len("-punkt-")
+#: Spoken signs that no sentence has by chance.
+_SURE = re.compile(r"@|\x20dot\x20|\x20\.\x20|_|-(?:at|dot|punkt|punto|point)-|\x20(?:arroba|arobase|arobas|klammeraffe|ät)\x20", re.IGNORECASE)
+# Last labels of hosts, the country codes and the usual others.
+LAST_LABELS = frozenset(
+    "com org net edu gov mil int info biz name pro dev app online site shop store tech cloud email mail blog wiki xyz "
+    "museum aero coop jobs mobi travel cat eus gal berlin hamburg paris london example test local "
+    "ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw by bz ca cc cd cf "
+    "cg ch ci ck cl cm cn co cr cu cv cw cx cy cz de dj dk dm do dz ec ee eg er es et eu fi fj fk fm fo fr ga gd ge gf gg "
+    "gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in io iq ir is it je jm jo jp ke kg kh ki km kn "
+    "kp kr kw ky kz la lb lc li lk lr ls lt lu lv ly ma mc md me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my mz na "
+    "nc ne nf ng ni nl no np nr nu nz om pa pe pf pg ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd se sg sh "
+    "si sk sl sm sn so sr ss st su sv sx sy sz tc td tf tg th tj tk tl tm tn to tr tt tv tw tz ua ug uk us uy uz va vc ve "
+    "vg vi vn vu wf ws ye yt za zm zw".split()
+)
+#: Those that are words of English, where "at this point in" is no address.
+_WORDS_TOO = frozenset("am as at be by do id in is it me my no so to us pro name test example local online site shop store travel jobs cat".split())
 
 
 class Rewritten:
@@ -210,23 +247,25 @@ class Rewritten:
 
 
 def _plain_characters(text: Rewritten) -> Rewritten:
-    if text.text.isascii():
+    if text.text.isascii() or CHARACTERS.keys().isdisjoint(set(text.text)):
         return text
     edits = [(m.start(), m.end(), CHARACTERS[m.group()]) for m in _CHARACTER.finditer(text.text)]
     return text.replace(edits) if edits else text
 
 
 def _digits(text: Rewritten) -> Rewritten:
-    if not _RUN_HINT.search(text.text):
+    if not _RUN_HINT.search(text.text.casefold()):
         return text
     edits = []
     for run in _RUN.finditer(text.text):
-        if not re.search(_SPELLED, run.group(), re.IGNORECASE):
-            continue
-        for m in _RUN_PART.finditer(text.text, run.start(), run.end()):
+        parts = list(_RUN_PART.finditer(text.text, run.start(), run.end()))
+        spelled = any(m.lastgroup == "spelled" and m.group().lower() != _ARTICLE for m in parts)
+        for m in parts:
             word = m.group().lower()
-            new = {"plus": "+", "spelled": DIGIT_WORDS.get(word, ""), "dot": ".", "gap": ""}[m.lastgroup]
-            edits.append((m.start(), m.end(), new))
+            # Among plain digits only a spoken dot is a disguise.
+            if spelled or m.lastgroup == "dot":
+                new = {"plus": "+", "spelled": DIGIT_WORDS.get(word, ""), "dot": ".", "gap": ""}[m.lastgroup]
+                edits.append((m.start(), m.end(), new))
     return text.replace(edits) if edits else text
 
 
@@ -234,33 +273,52 @@ def _at_and_dot(text: Rewritten) -> Rewritten:
     for pattern, new in ((_BRACKETED_AT, "@"), (_BRACKETED_DOT, ".")):
         edits = [(m.start(), m.end(), new) for m in pattern.finditer(text.text)]
         text = text.replace(edits) if edits else text
-    low = text.text.lower()
-    if "dot" in low or " . " in low or " @ " in low or "_at_" in low or "-at-" in low:
-        edits = []
-        for whole in _spoken(text.text):
-            for m in _SPOKEN_PART.finditer(text.text, *whole):
-                edits.append((m.start(), m.end(), "@" if m.lastgroup == "at" else "."))
-        text = text.replace(edits) if edits else text
-    return text
+    edits = []
+    for whole in _spoken(text.text):
+        for m in _SPOKEN_PART.finditer(text.text, *whole):
+            edits.append((m.start(), m.end(), "@" if m.lastgroup == "at" else "."))
+    return text.replace(edits) if edits else text
 
 
-_SPOKEN_HINT = re.compile(r"\x20dot\x20|_dot_|-dot-|\x20\.\x20|\x20@\x20|_at_|-at-", re.IGNORECASE)
+def _host_end(text: str, begin: int, end: int, plausible: frozenset) -> int:
+    """The end of the longest host from `begin` whose last label, after a dot, is one of these; `begin` if there is none."""
+    found, dots = begin, list(_SEPARATOR.finditer(text, begin, end))
+    for dot, after in zip(dots, [*(m.start() for m in dots[1:]), end]):
+        if text[dot.end() : after].lower() in plausible:
+            found = after
+    return found
 
 
 def _spoken(text: str) -> Iterator[tuple[int, int]]:
-    """Spoken addresses, looked for only around a spoken dot or at sign: the line that holds it."""
-    done = 0
-    for hint in _SPOKEN_HINT.finditer(text):
-        if hint.start() < done:
+    """Spoken addresses: from an at sign or word over the host, and back over the local part."""
+    done, at = 0, 0
+    while m := _SPOKEN_HOST.search(text, at):
+        at = m.end("at")
+        start = m.start()
+        while True:
+            label = start
+            while label > done and _LOCAL_LABEL.match(text[label - 1]):
+                label -= 1
+            if label == start:
+                break
+            start = label
+            before = _BEFORE.search(text, max(done, start - _LONGEST_DOT), start)
+            if not before or before.start() <= done or not _LOCAL_LABEL.match(text[before.start() - 1]):
+                break
+            start = before.start()
+        if start == m.start():
             continue
-        start = max(done, text.rfind("\n", 0, hint.start()) + 1)
-        end = text.find("\n", hint.end())
-        end = len(text) if end < 0 else end
-        for m in _SPOKEN.finditer(text, start, end):
-            # A plain address needs no rewriting; "at" alone is a word of the language.
-            if _SPOKEN_PART.search(text, m.start(), m.end()) and re.search(r"dot|@|\x20\.\x20|_at_|-at-", m.group(), re.I):
-                yield m.span()
-        done = end
+        end = m.end()
+        # "at" and "point" are words of the language: the host has to end as hosts do.
+        if not _SURE.search(m.group()):
+            real = "." in m.group() and not re.search(rf"\x20{_DOT_WORD}\x20", m.group(), re.IGNORECASE)
+            end = _host_end(text, m.start("host"), end, LAST_LABELS if real else LAST_LABELS - _WORDS_TOO)
+            if end == m.start("host"):
+                continue
+        # A plain address needs no rewriting.
+        if _SPOKEN_PART.search(text, start, end):
+            yield start, end
+        done = at = end
 
 
 def find(text: str | None) -> list[tuple[str, int, int, bool]]:
