@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jornada.llm.words import stored
@@ -45,22 +45,32 @@ def line_hash(line: bytes, least_chars: int) -> bytes | None:
 
 
 def line_hashes(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """A row (hash, holder) for each distinct line of each row of documents."""
+    """A row (hash, holder, own) for each distinct line of each row of documents; `own` tells texts of a holder apart."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for given in batches:
-            ids, hashes = [], []
-            for holder, text in zip(given.column(0).to_pylist(), given.column(1)):
+            ids, rows, hashes = [], [], []
+            for holder, row, text in zip(given.column(0).to_pylist(), given.column(1).to_pylist(), given.column(2)):
                 own = {line_hash(x, least_chars) for x in (text.as_py() or "").encode().split(b"\n")}
                 own.discard(None)
                 hashes.extend(own)
                 ids.extend([holder] * len(own))
+                rows.extend([row] * len(own))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes, pa.binary()), pa.array(ids, pa.int64())], names=["hash", "holder"]
+                [pa.array(hashes, pa.binary()), pa.array(ids, pa.int64()), pa.array(rows, pa.int64())],
+                names=["hash", "holder", "own"],
             )
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("holder"), "text")
-    return rows.mapInArrow(work, "hash binary, holder long")
+    return docs.select(*_keys(), "text").mapInArrow(work, "hash binary, holder long, own long")
+
+
+def _keys() -> list[Column]:
+    """The holder of a row's lines, and a hash of its text: what rows of one holder lose stays apart by it.
+
+    Texts with the same hash by chance share what they lose, which is right for
+    both, since a line's loss depends on the holder alone.
+    """
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("holder"), F.xxhash64("text").alias("own")]
 
 
 def shared_lines(hashes: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
@@ -73,30 +83,32 @@ def shared_lines(hashes: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     if least_docs <= 2:
         found = hashes.groupBy("hash").agg(F.min("holder").alias("first"), F.max("holder").alias("last"))
         return found.filter(F.col("first") < F.col("last") if least_docs == 2 else F.lit(True)).select("hash", "first")
-    found = hashes.distinct().groupBy("hash").agg(F.min("holder").alias("first"), F.count("*").alias("n_docs"))
+    found = hashes.select("hash", "holder").distinct().groupBy("hash").agg(F.min("holder").alias("first"), F.count("*").alias("n_docs"))
     return found.filter(F.col("n_docs") >= least_docs).select("hash", "first")
 
 
+def lost_lines(hashes: DataFrame, shared: DataFrame) -> DataFrame:
+    """holder, own and the hashes that they lose: never more than the lines of one text, however many a holder has."""
+    lost = hashes.join(shared.hint("merge"), "hash").filter(F.col("holder") > F.col("first"))
+    return lost.groupBy("holder", "own").agg(F.collect_set("hash").alias("__drop"))
+
+
 def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:
     """The documents with their other columns, the text reassembled, and n_lines and n_dropped.
 
     A hash that many documents share is joined by Spark's sort-merge join, whose
-    hot partitions it can split. The lines to drop are gathered per document,
-    never per line.
+    hot partitions it can split. The lines to drop are gathered per text,
+    never per line, nor over all rows without an id.
     """
     hashes = line_hashes(docs, least_chars)
     # Written first: both sides of the join are then dealt out by it, and a hot hash can be split.
     shared = stored(shared_lines(hashes, least_docs))
-    losing = (
-        hashes.join(shared.hint("merge"), "hash")
-        .filter(F.col("holder") > F.col("first"))
-        .groupBy("holder")
-        .agg(F.collect_set("hash").alias("__drop"))
-        .withColumnRenamed("holder", "__loser")
-    )
+    losing = lost_lines(hashes, shared).withColumnsRenamed({"holder": "__loser", "own": "__lost"})
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(*names, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("__holder"))
-    rows = rows.join(losing.hint("merge"), F.col("__holder") == F.col("__loser"), "left")
+    holder, own = _keys()
+    rows = docs.select(*names, holder.alias("__holder"), own.alias("__own"))
+    same = (F.col("__holder") == F.col("__loser")) & (F.col("__own") == F.col("__lost"))
+    rows = rows.join(losing.hint("merge"), same, "left")
 
     @F.pandas_udf("text string, n_lines long, n_dropped long")
     def reassemble(text: pd.Series, drop: pd.Series) -> pd.DataFrame:

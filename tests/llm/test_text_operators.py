@@ -50,6 +50,20 @@ def test_lines_equal_a_plain_version(docs, least_docs):
     assert told(rows) == told(plain_lines(corpus.texts(), least_docs=least_docs))
 
 
+def test_rows_of_one_holder_keep_their_lost_lines_apart(spark):
+    """Many rows without an id, or with the same one: what a row loses never exceeds its own lines."""
+    lines = [corpus.sentence(5, 800 + i) for i in range(60)]
+    rows = [(1, "\n".join(lines), "s")]
+    rows += [(i, "\n".join(lines[k : k + 3] + [f"a line of {k} alone"]), "s") for i in (None, 7) for k in range(0, 57)]
+    rows += rows[-2:]
+    docs = corpus.frame(spark, rows)
+    hashes = line_dedup.line_hashes(docs)
+    lost = line_dedup.lost_lines(hashes, line_dedup.shared_lines(hashes)).select(F.size("__drop").alias("n")).collect()
+    assert max(r["n"] for r in lost) <= 4 and len(lost) == 2 * 57
+    got = [(r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in line_dedup.dedup_lines(docs).collect()]
+    assert told(got) == told(plain_lines(rows))
+
+
 def test_no_lines(none):
     assert line_dedup.dedup_lines(none).count() == 0
 
