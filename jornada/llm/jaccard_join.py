@@ -540,12 +540,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = rows.filter(F.col("digest").isNotNull())
     classes = texts.filter(F.col("n") > 0).groupBy("digest", "node", "n").agg(F.min("id").alias("id"), F.first("bits").alias("bits"))
     classes = stored(classes)
-    labels = components(links(docs, rows, classes))
-    # Texts of one doc_id may stand in several classes: those are linked through it.
+    found = links(docs, rows, classes)
+    # A document of several texts joins their classes; one without words has no class, but may be such a text.
+    several = texts.filter(F.col("id") < _NULL).groupBy("id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    several = stored(several.filter(F.col("low") < F.col("high")).select("id"))
+    held = texts.join(several.hint("merge"), "id", "left_semi").select(F.col("id").alias("b"), "digest")
+    through = held.join(classes.select("digest", F.col("id").alias("a")).hint("merge"), "digest").select("a", "b")
+    labels = components(found.union(through))
     named = classes.select("digest", "id").join(labels.hint("merge"), F.col("id") == F.col("node"), "left")
     named = stored(named.select("digest", F.coalesce("label", "id").alias("_component")))
+    own = several.join(labels.hint("merge"), F.col("id") == F.col("node")).select("id", F.col("label").alias("_own"))
     out = texts.select("id", F.col("n").cast("long").alias("n_shingles"), "digest").join(named.hint("merge"), "digest", "left")
-    component = F.coalesce("_component", "id")
+    out = out.join(stored(own).hint("merge"), "id", "left")
+    component = F.coalesce("_component", "_own", "id")
     return out.select(
         F.when(F.col("id") < _NULL, F.col("id")).alias("doc_id"),
         "n_shingles",

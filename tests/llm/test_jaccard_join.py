@@ -100,6 +100,14 @@ def test_blocks_hold_every_pair_that_may_link(spark, monkeypatch, in_task):
     assert wanted and wanted <= set(met) and len(met) < 120 * 119 / 2
 
 
+def test_texts_of_one_id_join_their_groups(spark):
+    first, second, third = (corpus.sentence(40, 900 + i) for i in range(3))
+    rows = [(3, first, "s"), (5, first, "s"), (5, second, "s"), (5, "", "s"), (8, second + " tail", "s"), (8, third, "s"), (9, third, "s")]
+    rows += [(20, "", "s"), (20, None, "s"), (None, third, "s"), (None, "", "s"), (30, corpus.sentence(40, 910), "s"), (30, None, "s")]
+    assert found(corpus.frame(spark, rows)) == brute(rows)
+    assert {r["component_id"] for r in J.near_duplicates(corpus.frame(spark, rows)).filter("doc_id < 10").collect()} == {3}
+
+
 def test_threshold_is_exact(spark):
     # 9 shingles each, 8 common: 8/10 links; 7 of 9 common: 7/11 does not.
     words = [f"w{i}" for i in range(13)]
