@@ -26,6 +26,16 @@ def board_items(pages: DataFrame, arrival: str = "arrival") -> DataFrame:
     return items.groupBy("item_id").agg(F.max_by("name", F.struct(arrival, "name")).alias("name"))
 
 
+def items_of_board(pages: DataFrame, board_id: str, arrival: str = "arrival") -> DataFrame:
+    """Item pages -> ``item_id, name`` of one board, one row per item."""
+    return board_items(pages.filter(F.col("board_id") == board_id), arrival)
+
+
+def cells_of_items(cell_rows: DataFrame, items: DataFrame) -> DataFrame:
+    """The cells of the items whose ``item_id`` is given."""
+    return cell_rows.join(items.select("item_id"), "item_id", "left_semi")
+
+
 def cells(item_cells: DataFrame, arrival: str | None = None) -> DataFrame:
     """Nested column values -> one row per cell; ``seq`` is the place in the list.
 

@@ -160,6 +160,14 @@ def board_items(spark: SparkSession, landing: str) -> DataFrame:
     )
 
 
+def items_of_board(spark: SparkSession, landing: str, board_id: str) -> DataFrame:
+    """Items of one landed board: ``item_id, name, hours, assignment``; pages that name no board belong to none."""
+    items = boards.items_of_board(read_landing(spark, landing, "board_items", with_arrival=True), board_id)
+    cell_lists = read_landing(spark, landing, "item_cells", with_arrival=True)
+    own = boards.cells_of_items(boards.cells(cell_lists, "arrival"), items)
+    return boards.items_with_cells(items, own, order="arrival_seq")
+
+
 def build_mart_time_entries(
     spark: SparkSession, warehouse: str, mart: str, from_date: str, to_date: str
 ) -> dict[str, int]:

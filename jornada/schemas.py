@@ -44,7 +44,7 @@ LANDING = {
     "departments": "id string, name string",
     "account": "company struct<id: string>",
     "boards": "id string, workspace_id string, name string",
-    "board_items": "cursor string, items array<struct<id: string, name: string>>",
+    "board_items": "board_id string, cursor string, items array<struct<id: string, name: string>>",
     "item_cells": """
         id string,
         column_values array<struct<column: struct<id: string, title: string>, value: string>>""",

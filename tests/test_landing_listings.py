@@ -2,6 +2,7 @@ import pytest
 from conftest import rows
 from landing_zone import employee, write_all, write_pages
 
+from jornada.operators import boards
 from jornada.plans import jobs
 from jornada.plans.listings import list_landing
 from jornada.schemas import BOARD_ASSIGNMENT_COLUMN, BOARD_HOURS_COLUMN
@@ -97,3 +98,20 @@ def test_board_items(spark, tmp_path):
     ]
 
 
+def test_items_and_cells_of_one_board(spark, tmp_path):
+    def cells(item, hours):
+        return {"id": item, "column_values": [{"column": {"id": BOARD_HOURS_COLUMN, "title": "Hours"}, "value": hours}]}
+
+    pages = [
+        {"board_id": "b1", "cursor": "x", "items": [{"id": "i1", "name": "one"}]},
+        {"board_id": "b2", "cursor": "y", "items": [{"id": "i2", "name": "two"}]},
+        {"board_id": "b1", "items": [{"id": "i3", "name": "three"}]},
+        {"items": [{"id": "i4", "name": "four"}]},
+    ]
+    write_pages(tmp_path, "board_items", "north", pages)
+    write_pages(tmp_path, "item_cells", "north", [cells("i1", "5"), cells("i2", "6"), cells("i9", "7")])
+    assert rows(jobs.items_of_board(spark, str(tmp_path), "b1")) == [("i1", "one", "5", ""), ("i3", "three", "0", "")]
+    assert rows(jobs.items_of_board(spark, str(tmp_path), "b9")) == []
+    given = spark.createDataFrame([("i2",), ("i2",), (None,), ("i8",)], "item_id string")
+    table = spark.createDataFrame([("i1", "a"), ("i2", "b"), (None, "c")], "item_id string, value string")
+    assert rows(boards.cells_of_items(table, given)) == [("i2", "b")]
