@@ -5,17 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jornada.llm import exact_dedup, fingerprints, jaccard_join, line_dedup, lm_scoring, mixing, packing, pii, quality, url_filter
-from jornada.llm.words import importable, or_empty
-
-DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
-PAGES = "page_id long, url string, html string"
-LABELS = "doc_id long, quality int, toxic int"
-
-
-def documents(spark: SparkSession, folder: str) -> DataFrame:
-    importable(spark)
-    return spark.read.schema(DOCUMENTS).parquet(f"{folder}/documents.parquet")
+from jornada.llm import exact_dedup, fingerprints, jaccard_join, languages, line_dedup, lm_scoring, mixing, packing, pii, quality, url_filter
+from jornada.llm.inputs import DOCUMENTS, LABELS, PAGES, documents  # noqa: F401
+from jornada.llm.merkle_query import OP12_SQL, op12_merkle_manifest
+from jornada.llm.spelling_query import OP13_SQL, op13_spelling_variants
+from jornada.llm.words import or_empty
 
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,6 +112,12 @@ select doc_id, count(*) n_lines, cast(count(*) filter (gone) as bigint) n_droppe
 from marked group by doc_id
 """
 
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    found = languages.label_languages(docs, languages.learn(docs))
+    return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_fingerprints": op2_fingerprints,
@@ -129,5 +129,13 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_pii": op9_pii,
     "op10_line_dedup": op10_line_dedup,
+    "op11_language_id": op11_language_id,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_spelling_variants": op13_spelling_variants,
+}
+ORACLES = {
+    "op5_exact_dedup": OP5_SQL,
+    "op10_line_dedup": OP10_SQL,
+    "op12_merkle_manifest": OP12_SQL,
+    "op13_spelling_variants": OP13_SQL,
 }
-ORACLES = {"op5_exact_dedup": OP5_SQL, "op10_line_dedup": OP10_SQL}

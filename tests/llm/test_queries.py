@@ -17,7 +17,7 @@ FOLDER = "/root/testdata/sf0.001"
 def test_all_are_registered():
     names = set(__spark_entry__.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert [sum(n.startswith(f"op{i}_") for n in queries.QUERIES) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in queries.QUERIES) for i in range(1, 14)] == [1] * 13
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -37,6 +37,7 @@ COLUMNS = {
     "op2_fingerprints": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
     "op4_url_filter": "page_id host path rule verdict",
     "op9_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op11_language_id": "doc_id held_out lang_pred score",
 }
 
 
