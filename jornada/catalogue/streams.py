@@ -11,6 +11,7 @@ from jornada.catalogue import roles
 from jornada.catalogue.registry import Tables, day_text, moment_text, query
 from jornada.session import checkpoint_folder
 from jornada.sources.files import is_folder
+from jornada.sources.tables import read_table
 from jornada.streaming.incremental import daily_seconds_stream, start_daily_totals, start_incremental_load
 
 
@@ -46,7 +47,7 @@ def incremental_load(t: Tables) -> DataFrame:
     start_incremental_load(
         _event_stream(t), rows, table, ["time_entry_sesame_id"], f"{folder}/checkpoint"
     ).awaitTermination()
-    return t.spark.read.parquet(table)
+    return read_table(t.spark, table)
 
 
 @query(
@@ -65,4 +66,4 @@ def stream_daily_hours(t: Tables) -> DataFrame:
     table = f"{folder}/table"
     totals = daily_seconds_stream(clockings, "ts", "employee", "seconds", delay="2 days")
     start_daily_totals(totals, table, f"{folder}/checkpoint").awaitTermination()
-    return t.spark.read.parquet(table)
+    return read_table(t.spark, table)

@@ -74,6 +74,7 @@ def classify_changes(
     keys: Sequence[str],
     surrogate: str | None = None,
     action: str = "action",
+    version: Sequence[str] = (),
 ) -> DataFrame:
     """The merged table with an action per row.
 
@@ -82,10 +83,18 @@ def classify_changes(
     the source. Columns that only the target has keep their value; for an
     insert they are null, except the surrogate, which is a hash of the key.
     Keys must be unique on both sides. One full outer join, one shuffle a side.
+
+    With ``version`` columns, such as an update time and a tie-break, which both
+    sides have, the later version of a row wins, whatever the order in which
+    loads run: a row whose version in the target is later is stale and keeps its
+    values. Versions are compared column by column, and null is the earliest.
     """
     unknown = set(source.columns) - set(target.columns)
     if unknown:
         raise ValueError(f"columns not in the target: {sorted(unknown)}")
+    absent = [c for c in version if c not in source.columns or c not in target.columns]
+    if absent:
+        raise ValueError(f"no column for the version: {absent}")
     values = [c for c in source.columns if c not in keys]
     new = _aligned(source, target, source.columns).select(
         *[F.col(k).alias(f"_key_{k}") for k in keys],
@@ -97,10 +106,13 @@ def classify_changes(
 
     in_source, in_target = F.col("_in_source").isNotNull(), F.col("_in_target").isNotNull()
     differs = reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in values], F.lit(False))
+    taken, label = in_source, F.when(~in_target, "insert").when(~in_source, "keep")
+    if version:
+        held, given = [F.struct(*[F.col(p + c) for c in version if c not in keys]) for p in ("", "_new_")]
+        stale = in_target & in_source & (held > given)
+        taken, label = in_source & ~stale, label.when(stale, "stale")
     label = (
-        F.when(~in_target, "insert")
-        .when(~in_source, "keep")
-        .when(differs, "update")
+        label.when(differs, "update")
         .otherwise("unchanged")
         .alias(action)
     )
@@ -109,7 +121,7 @@ def classify_changes(
         if name in keys:
             return F.coalesce(name, f"_key_{name}").alias(name)
         if name in values:
-            return F.when(in_source, F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name)
+            return F.when(taken, F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name)
         if name == surrogate:
             return F.when(in_target, F.col(name)).otherwise(key_hash([f"_key_{k}" for k in keys])).alias(name)
         return F.col(name)
@@ -117,8 +129,14 @@ def classify_changes(
     return joined.select(*[merged(c) for c in target.columns], label)
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], surrogate: str | None = None) -> DataFrame:
-    return classify_changes(target, source, keys, surrogate, "_action").drop("_action")
+def upsert(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    surrogate: str | None = None,
+    version: Sequence[str] = (),
+) -> DataFrame:
+    return classify_changes(target, source, keys, surrogate, "_action", version).drop("_action")
 
 
 def count_actions(classified: DataFrame, action: str = "action") -> DataFrame:

@@ -23,3 +23,11 @@ def is_folder(spark: SparkSession, path: str) -> bool:
 def delete(spark: SparkSession, path: str) -> None:
     file_system, hadoop_path = _on_file_system(spark, path)
     file_system.delete(hadoop_path, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none where there is no such folder."""
+    file_system, hadoop_path = _on_file_system(spark, path)
+    if not file_system.exists(hadoop_path):
+        return []
+    return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]

@@ -26,14 +26,16 @@ def start_incremental_load(
 
     The merge depends on the batch's rows only, so a batch that is delivered
     again after a crash leaves the table as it is. ``order`` (date, tie-break)
-    keeps the latest of several versions of a row in one batch.
+    keeps the latest of several versions of a row, of those in one batch as of
+    those that come in different ones: a file that arrives late with an older
+    version leaves the newer row in the table.
     """
 
     def load(batch: DataFrame, _: int) -> None:
         rows = transform(batch)
         if order:
             rows = latest_per_key(rows, keys, *order)
-        merge_into(batch.sparkSession, path, rows, keys, partition_by, surrogate)
+        merge_into(batch.sparkSession, path, rows, keys, partition_by, surrogate, version=order or ())
 
     writer = records.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

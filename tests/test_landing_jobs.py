@@ -135,12 +135,12 @@ def test_all_jobs_and_that_they_can_be_repeated(spark, landing, warehouse, tmp_p
     mart = f"{tmp_path}/mart"
 
     def state():
-        return {t: rows(spark.read.parquet(f"{tmp_path}/{t}")) for t in TABLES}
+        return {t: rows(read_table(spark, f"{tmp_path}/{t}")) for t in TABLES}
 
     run_all(spark, landing, warehouse, mart)
     first = state()
 
-    entries = {r.imputacion_id: r for r in spark.read.parquet(f"{mart}/mart_time_entry").collect()}
+    entries = {r.imputacion_id: r for r in read_table(spark, f"{mart}/mart_time_entry").collect()}
     assert sorted(entries) == ["t1", "t2", "t3", "t4"]
     t1, t2, t3 = entries["t1"], entries["t2"], entries["t3"]
     assert (t1.empleado_id, t1.nombres, t1.nombre_departamento) == ("e1", "First e1", "Works")
@@ -149,11 +149,11 @@ def test_all_jobs_and_that_they_can_be_repeated(spark, landing, warehouse, tmp_p
     assert (t2.fecha, t2.horas_imputadas, t2.id_proyecto, t2.nombre_proyecto) == (date(2024, 1, 10), 0.75, "", None)
     assert (t3.empleado_id, t3.nombres, t3.nombre_cliente) == (None, None, "")
 
-    stored = {r.time_entry_sesame_id: r for r in spark.read.parquet(f"{warehouse}/fact_time_entry").collect()}
+    stored = {r.time_entry_sesame_id: r for r in read_table(spark, f"{warehouse}/fact_time_entry").collect()}
     assert len(stored["t1"].comment) == 200
     assert stored["t1"].time_entry_in == datetime(2024, 1, 10, 7)
 
-    daily = spark.read.parquet(f"{mart}/mart_worked_hours")
+    daily = read_table(spark, f"{mart}/mart_worked_hours")
     assert rows(daily.select("empleado_id", "fecha", "tiempo_trabajado", "tiempo_teorico")) == [
         ("e1", date(2024, 1, 10), 1.0, 16.0),
         ("e3", date(2024, 1, 11), 2.0, 8.0),
@@ -161,12 +161,12 @@ def test_all_jobs_and_that_they_can_be_repeated(spark, landing, warehouse, tmp_p
     ]
 
     # e2 has no national id, t3's employee is unknown, t2 has no project: none is charged.
-    charges = spark.read.parquet(f"{warehouse}/fact_time_charge")
+    charges = read_table(spark, f"{warehouse}/fact_time_charge")
     assert rows(charges.select("proyecto", "etiqueta", "empresa_id", "departamento_id", F.length("tarea"))) == [
         ("p1", "a,b", 1, 7, 300),
         ("p9", "No especificada", 2, 35, 0),
     ]
-    signed = spark.read.parquet(f"{warehouse}/fact_signing")
+    signed = read_table(spark, f"{warehouse}/fact_signing")
     assert rows(signed.select("fecha", "tiempo_trabajado", "departamento_id")) == [
         (date(2024, 1, 10), 3600.0, 7),
         (date(2024, 1, 11), 7200.0, 35),
@@ -190,13 +190,13 @@ def test_changed_extracts_update_the_mart(spark, landing, warehouse, tmp_path):
     write_pages(root, "employees", "north", [employee("e1", "Acme", firstName="New"), employee("e3", "Bolt")])
     write_pages(root, "worked_hours", "south", [hours("e3", 3600)], date="2024-01-11")
     run_all(spark, landing, warehouse, mart)
-    entries = {r.imputacion_id: r for r in spark.read.parquet(f"{mart}/mart_time_entry").collect()}
+    entries = {r.imputacion_id: r for r in read_table(spark, f"{mart}/mart_time_entry").collect()}
     assert len(entries) == 4
     assert (entries["t4"].mes, entries["t4"].horas_imputadas, entries["t4"].nombre_proyecto) == (3, 0.5, "Bridge")
     assert (entries["t1"].nombres, entries["t1"].nombre_departamento) == ("New", "Sales")
-    people = spark.read.parquet(f"{warehouse}/dim_employee")
+    people = read_table(spark, f"{warehouse}/dim_employee")
     assert people.count() == 3
-    daily = spark.read.parquet(f"{mart}/mart_worked_hours").where("fecha = date'2024-01-11'")
+    daily = read_table(spark, f"{mart}/mart_worked_hours").where("fecha = date'2024-01-11'")
     assert [r.tiempo_trabajado for r in daily.collect()] == [1.0]
 
 
@@ -208,14 +208,14 @@ def test_last_extract_of_a_record_wins(spark, tmp_path, warehouse):
     write_pages(root, "employees", "north", [{**two, "status": "candidate"}], name="c", at=2_100_000_000)
     counts, _ = jobs.load_employees(spark, str(root), warehouse)
     assert counts["insert"] == 1
-    assert [r.nombre for r in spark.read.parquet(f"{warehouse}/dim_employee").collect()] == ["First e1"]
+    assert [r.nombre for r in read_table(spark, f"{warehouse}/dim_employee").collect()] == ["First e1"]
 
     start, end = "2024-01-10T08:00:00Z", "2024-01-10T09:00:00Z"
     later = [time_entry("t1", "e1", "2024-01-12T08:00:00Z", "2024-01-12T10:00:00Z")]
     write_pages(root, "time_entries", "north", [time_entry("t1", "e1", start, end)], date="2024-01-10", at=1_000_000_000)
     write_pages(root, "time_entries", "north", later, date="2024-01-12", at=1_000_000_500)
     jobs.load_time_entries(spark, str(root), warehouse, "2024-01-10", "2024-01-12")
-    stored = spark.read.parquet(f"{warehouse}/fact_time_entry").collect()
+    stored = read_table(spark, f"{warehouse}/fact_time_entry").collect()
     assert [r.time_entry_in for r in stored] == [datetime(2024, 1, 12, 8)]
 
 
@@ -230,9 +230,9 @@ def test_loading_an_old_range_again_keeps_newer_versions(spark, tmp_path, wareho
     write_pages(root, "time_entries", "north", [new, moved], date="2024-02-10", at=1_000_000_500)
     jobs.load_time_entries(spark, str(root), warehouse, *february)
     table = f"{warehouse}/fact_time_entry"
-    before = {r.time_entry_sesame_id: (r.comment, r.time_entry_in) for r in spark.read.parquet(table).collect()}
+    before = {r.time_entry_sesame_id: (r.comment, r.time_entry_in) for r in read_table(spark, table).collect()}
     jobs.load_time_entries(spark, str(root), warehouse, *january)
-    after = {r.time_entry_sesame_id: (r.comment, r.time_entry_in) for r in spark.read.parquet(table).collect()}
+    after = {r.time_entry_sesame_id: (r.comment, r.time_entry_in) for r in read_table(spark, table).collect()}
     assert before["x2"][1] == after["x2"][1] == datetime(2024, 2, 10, 8)
     # The edit of x1 landed in February, but its day is in January.
     assert after["x1"] == ("new", datetime(2024, 1, 5, 8))

@@ -6,6 +6,7 @@ from jornada.operators import flatten
 from jornada.operators.daily import daily_worked_hours
 from jornada.plans import facts
 from jornada.sources.landing import stream_landing
+from jornada.sources.tables import read_table
 from jornada.streaming.incremental import daily_seconds_stream, start_daily_totals, start_incremental_load
 
 
@@ -23,7 +24,7 @@ def load(spark, root, table, checkpoint):
         checkpoint,
         order=("time_entry_in", "comment"),
     ).awaitTermination()
-    return rows(spark.read.parquet(table).select("time_entry_sesame_id", "employee_sesame_id", "comment"))
+    return rows(read_table(spark, table).select("time_entry_sesame_id", "employee_sesame_id", "comment"))
 
 
 def test_new_files_are_upserted_and_replays_change_nothing(spark, tmp_path):
@@ -40,6 +41,16 @@ def test_new_files_are_upserted_and_replays_change_nothing(spark, tmp_path):
     assert load(spark, str(root), table, f"{tmp_path}/c1") == after
 
 
+def test_a_late_file_with_an_older_version_changes_nothing(spark, tmp_path):
+    root, table = tmp_path / "landing", f"{tmp_path}/table"
+    old, new = "2024-01-10T08:00:00Z", "2024-01-11T08:00:00Z"
+    write_pages(root, "time_entries", "north", [time_entry("t1", "e1", new, new, comment="new")], name="one")
+    assert load(spark, str(root), table, f"{tmp_path}/c1") == [("t1", "e1", "new")]
+    late = [time_entry("t1", "e1", old, old, comment="old"), time_entry("t2", "e2", old, old, comment="c")]
+    write_pages(root, "time_entries", "north", late, name="two")
+    assert load(spark, str(root), table, f"{tmp_path}/c1") == [("t1", "e1", "new"), ("t2", "e2", "c")]
+
+
 def test_stream_totals_equal_batch_totals(spark, tmp_path):
     data = spark.range(3000).select(
         F.expr("timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id * 131 % 400000)").alias("at"),
@@ -52,7 +63,7 @@ def test_stream_totals_equal_batch_totals(spark, tmp_path):
     totals = daily_seconds_stream(stream, "at", "employeeId", "secondsWorked", "10 days")
     start_daily_totals(totals, f"{tmp_path}/table", f"{tmp_path}/checkpoint").awaitTermination()
     batch = daily_worked_hours(data.withColumn("date", F.to_date("at")), seconds=["secondsWorked"])
-    got = spark.read.parquet(f"{tmp_path}/table").select("employee_sesame_id", "date", "worked_time")
+    got = read_table(spark, f"{tmp_path}/table").select("employee_sesame_id", "date", "worked_time")
     assert rows(got) == rows(batch)
 
 

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from conftest import rows
@@ -15,7 +15,12 @@ def fact(spark, *data):
 
 
 def content(spark, path):
-    return rows(spark.read.parquet(path).select("k", "month", "v"))
+    return rows(read_table(spark, path).select("k", "month", "v"))
+
+
+def in_month(spark, path, month):
+    """Files that the table's partition is read from."""
+    return sorted(f for f in read_table(spark, path).inputFiles() if f"/month={month}/" in f)
 
 
 def test_missing_table_is_empty_with_its_schema(spark, tmp_path):
@@ -31,10 +36,10 @@ def test_create_then_merge(spark, tmp_path):
     assert counts == {"insert": 1, "update": 1, "unchanged": 0, "keep": 1}
     expected = [(1, 1, "a"), (2, 1, "B"), (3, 2, "c")]
     assert content(spark, path) == expected
-    files = sorted(p.name for p in (tmp_path / "t").glob("*.parquet"))
+    files = sorted(p.name for p in (tmp_path / "t").rglob("*.parquet"))
     counts = merge_into(spark, path, fact(spark, (2, 1, "B"), (3, 2, "c")), ["k"])
     assert counts == {"insert": 0, "update": 0, "unchanged": 2, "keep": 1}
-    assert sorted(p.name for p in (tmp_path / "t").glob("*.parquet")) == files
+    assert sorted(p.name for p in (tmp_path / "t").rglob("*.parquet")) == files
     assert content(spark, path) == expected
     assert not exists(spark, f"{path}.staged") and not exists(spark, f"{path}.incoming")
     assert rows(load_report(spark, path, fact(spark, (2, 1, "x"), (9, 1, "y")), ["k"])) == [
@@ -47,11 +52,11 @@ def test_create_then_merge(spark, tmp_path):
 def test_partitioned_merge_moves_rows_and_drops_emptied_partitions(spark, tmp_path):
     path = f"{tmp_path}/t"
     merge_into(spark, path, fact(spark, (1, 1, "a"), (2, 2, "b"), (3, 2, "c"), (4, 3, "d")), ["k"], ["month"])
-    untouched = [p.name for p in (tmp_path / "t" / "month=3").glob("*.parquet")]
+    untouched = in_month(spark, path, 3)
     merge_into(spark, path, fact(spark, (1, 2, "a2"), (5, 4, "e")), ["k"], ["month"])
     assert content(spark, path) == [(1, 2, "a2"), (2, 2, "b"), (3, 2, "c"), (4, 3, "d"), (5, 4, "e")]
-    assert not (tmp_path / "t" / "month=1").exists()
-    assert [p.name for p in (tmp_path / "t" / "month=3").glob("*.parquet")] == untouched
+    assert in_month(spark, path, 1) == []
+    assert in_month(spark, path, 3) == untouched != []
 
 
 def test_only_touched_partitions_are_read(spark, tmp_path):
@@ -88,23 +93,83 @@ def test_empty_merge_changes_nothing(spark, tmp_path):
 
 
 @pytest.mark.parametrize("parts", [[], ["month"]])
-@pytest.mark.parametrize("crash_at", ["before the second step", "within the second step"])
+@pytest.mark.parametrize("crash_at", ["before the list", "within the list"])
 def test_a_crash_loses_nothing(spark, tmp_path, monkeypatch, parts, crash_at):
     path = f"{tmp_path}/t"
     merge_into(spark, path, fact(spark, (1, 1, "a"), (2, 2, "b")), ["k"], parts)
-    finish = tables._finish_replace
+    switch, new = tables._switch, fact(spark, (2, 2, "B"), (3, 2, "c"))
 
-    def crash(session, table):
-        if exists(session, f"{table}.staged/ready/_SUCCESS"):
-            if crash_at == "within the second step":
-                tables.delete(session, f"{table}/month=2" if parts else f"{table}/_SUCCESS")
-            raise RuntimeError("executor lost")
+    def crash(session, table, number, *rest):
+        if crash_at == "within the list":
+            switch(session, table, number, *rest)
+            (tmp_path / "t" / "_pointers" / str(number) / "_SUCCESS").unlink()
+        raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(tables, "_finish_replace", crash)
+    monkeypatch.setattr(tables, "_switch", crash)
     with pytest.raises(RuntimeError):
-        merge_into(spark, path, fact(spark, (2, 2, "B"), (3, 2, "c")), ["k"], parts)
-    monkeypatch.setattr(tables, "_finish_replace", finish)
-    assert rows(read_table(spark, path).select("k", "month", "v")) == [(1, 1, "a"), (2, 2, "B"), (3, 2, "c")]
+        merge_into(spark, path, new, ["k"], parts)
+    monkeypatch.setattr(tables, "_switch", switch)
+    # The table is as it was, reading it writes nothing, and the load is simply run again.
+    files = sorted(tmp_path.rglob("*"))
+    assert content(spark, path) == [(1, 1, "a"), (2, 2, "b")]
+    assert sorted(tmp_path.rglob("*")) == files
+    merge_into(spark, path, new, ["k"], parts)
+    assert content(spark, path) == [(1, 1, "a"), (2, 2, "B"), (3, 2, "c")]
+
+
+@pytest.mark.parametrize("parts", [[], ["month"]])
+def test_a_running_reader_keeps_its_version(spark, tmp_path, parts):
+    path = f"{tmp_path}/t"
+    merge_into(spark, path, fact(spark, (1, 1, "a"), (2, 2, "b")), ["k"], parts)
+    reader = read_table(spark, path)
+    merge_into(spark, path, fact(spark, (2, 2, "B")), ["k"], parts)
+    assert rows(reader.select("k", "v")) == [(1, "a"), (2, "b")]
+    # Versions before the last two are removed.
+    for i in range(3):
+        merge_into(spark, path, fact(spark, (2, 2, f"B{i}")), ["k"], parts)
+    assert content(spark, path) == [(1, 1, "a"), (2, 2, "B2")]
+    assert sorted(p.name for p in (tmp_path / "t" / "_pointers").iterdir()) == ["3", "4"]
+    assert len(list((tmp_path / "t").rglob("month=2/*.parquet" if parts else "_load=*/*.parquet"))) == 2
+
+
+@pytest.mark.parametrize("parts", [[], ["month"]])
+def test_merge_into_a_folder_that_spark_wrote(spark, tmp_path, parts):
+    path = f"{tmp_path}/t"
+    fact(spark, (1, 1, "a"), (2, 2, "b"), (3, 3, "c")).write.partitionBy(*parts).parquet(path)
+    merge_into(spark, path, fact(spark, (2, 3, "B"), (4, 3, "d")), ["k"], parts)
+    assert content(spark, path) == [(1, 1, "a"), (2, 3, "B"), (3, 3, "c"), (4, 3, "d")]
+    append_new_rows(spark, path, fact(spark, (4, 1, "x"), (5, 1, "e"), (5, 1, "e")), ["k"], partition_by=parts)
+    assert content(spark, path)[3:] == [(4, 3, "d"), (5, 1, "e"), (5, 1, "e")]
+
+
+VERSIONED = "k int, at timestamp, tie int, month int, v string"
+
+
+def test_loads_in_wrong_order_give_the_same_table(spark, tmp_path):
+    def frame(*data):
+        parsed = [(k, datetime.fromisoformat(at) if at else None, *rest) for k, at, *rest in data]
+        return spark.createDataFrame(parsed, VERSIONED)
+
+    loads = [
+        frame((1, "2024-01-01", 1, 1, "a"), (2, None, 0, 1, "b"), (3, "2024-01-05", 2, 2, "c")),
+        frame((1, "2024-01-02", 1, 2, "a2"), (2, "2024-01-01", 0, 1, "b2"), (3, "2024-01-05", 1, 3, "older")),
+        frame((1, "2024-01-01", 9, 3, "a1"), (4, "2024-01-01", 1, 1, "d")),
+    ]
+    found = []
+    for number, order in enumerate([(0, 1, 2), (2, 1, 0), (1, 0, 2), (1, 2, 0, 1, 2, 0)]):
+        path = f"{tmp_path}/t{number}"
+        counts = [merge_into(spark, path, loads[i], ["k"], ["month"], version=("at", "tie")) for i in order]
+        found.append(rows(read_table(spark, path).select("k", "month", "v")))
+    assert found == [[(1, 2, "a2"), (2, 1, "b2"), (3, 2, "c"), (4, 1, "d")]] * 4
+    assert counts[-1]["stale"] == 2 and counts[-1]["update"] == 0
+
+
+def test_version_needs_its_columns(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    merge_into(spark, path, fact(spark, (1, 1, "a")), ["k"])
+    with pytest.raises(ValueError, match="no column for the version"):
+        merge_into(spark, path, fact(spark, (1, 1, "b")), ["k"], version=("at",))
+    assert content(spark, path) == [(1, 1, "a")]
 
 
 def test_repeated_source_key_is_refused_and_table_kept(spark, tmp_path):
@@ -151,14 +216,14 @@ def test_append_new_rows(spark, tmp_path):
     new = spark.createDataFrame([(1, d[0], "x"), (2, d[2], "c"), (2, d[2], "c2")], schema)
     for _ in range(2):
         append_new_rows(spark, path, new, ["k", "day"], "day", (d[0], d[2]))
-        assert [r[2] for r in rows(spark.read.parquet(path))] == ["a", "b", "c", "c2"]
+        assert [r[2] for r in rows(read_table(spark, path))] == ["a", "b", "c", "c2"]
     assert read_days(spark, path, "day", d[1], d[2]).count() == 3
 
 
 def test_surrogate_survives_updates(spark, tmp_path):
     path = f"{tmp_path}/t"
     merge_into(spark, path, spark.createDataFrame([(1, "a")], "k int, v string"), ["k"], surrogate="sid")
-    first = spark.read.parquet(path).first().sid
+    first = read_table(spark, path).first().sid
     merge_into(spark, path, spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), ["k"], surrogate="sid")
-    merged = {r.k: r for r in spark.read.parquet(path).collect()}
+    merged = {r.k: r for r in read_table(spark, path).collect()}
     assert merged[1].sid == first and merged[1].v == "b" and merged[2].sid is not None
