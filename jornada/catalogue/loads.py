@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,10 @@ from jornada.catalogue import roles
 from jornada.catalogue.registry import Tables, day_text, moment_text, query
 from jornada.operators import merge
 from jornada.operators.daily import daily_worked_hours
-from jornada.operators.quality import missing_fields
+from jornada.operators.latest import latest_generation, latest_values
+from jornada.operators.quality import missing_fields, reject_missing
+from jornada.session import checkpoint_folder
+from jornada.sources.tables import merge_into, read_table
 
 # The table as it was: orders without the pending ones. The new extract: all but
 # the finished ones, with some totals changed and some lost.
@@ -57,9 +62,90 @@ def upsert_single_key(t: Tables) -> DataFrame:
     return merge.upsert(_target(t), _source(t), ["o_orderkey"])
 
 
-@query("load_metrics", f'select action, cast(count(*) as bigint) as "rows" from ({_CLASSIFIED}) as c group by action')
+@query(
+    "load_metrics",
+    f"""select action, cast(count(*) as bigint) as "rows" from ({_CLASSIFIED}) as c group by action
+        union all
+        select unnest(['read', 'rejected']) as action,
+               unnest([count(*), count(*) filter (o_orderpriority = '5-LOW')]) as "rows"
+        from orders where o_orderstatus in ('O', 'P')""",
+)
 def load_metrics(t: Tables) -> DataFrame:
-    return merge.count_actions(merge.classify_changes(_target(t), _source(t), ["o_orderkey"]))
+    """What a load reads, rejects for lack of a total, and does to the table's rows."""
+    source = _source(t)
+    read = source.select(F.lit("read").alias("action"))
+    rejected = reject_missing(source, ["o_totalprice"])[1].select(F.lit("rejected").alias("action"))
+    done = merge.classify_changes(_target(t), source, ["o_orderkey"]).select("action")
+    return merge.count_actions(done.union(read).union(rejected))
+
+
+_LAST = """
+    select o_custkey, o_orderkey, o_orderdate, o_totalprice from orders where {where}
+    qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1"""
+_STALE_TARGET = _LAST.format(where="o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM')")
+_STALE_SOURCE = _LAST.format(where="o_orderpriority in ('3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')")
+_ORDER_VERSION = ("o_orderdate", "o_orderkey")
+
+
+def _last_orders(t: Tables, *priorities: str) -> DataFrame:
+    chosen = t.orders.where(F.col("o_orderpriority").isin(*priorities)) if priorities else t.orders
+    return latest_values(chosen, ["o_custkey"], ["o_orderkey", "o_orderdate", "o_totalprice"], *_ORDER_VERSION)
+
+
+_STALE_ACTION = """
+    case when t.o_custkey is null then 'insert' when s.o_custkey is null then 'keep'
+         when t.o_orderdate > s.o_orderdate or t.o_orderdate = s.o_orderdate and t.o_orderkey > s.o_orderkey then 'stale'
+         when t.o_orderkey <> s.o_orderkey then 'update' else 'unchanged' end"""
+
+
+def _taken(column: str) -> str:
+    return f"case when {_STALE_ACTION} in ('keep', 'stale') then t.{column} else s.{column} end"
+
+
+@query(
+    "merge_stale",
+    f"""select coalesce(t.o_custkey, s.o_custkey) as o_custkey, {_taken("o_orderkey")} as o_orderkey,
+               {moment_text(_taken("o_orderdate"))} as o_orderdate, {_taken("o_totalprice")} as o_totalprice,
+               {_STALE_ACTION} as action
+        from ({_STALE_TARGET}) as t full outer join ({_STALE_SOURCE}) as s on t.o_custkey = s.o_custkey""",
+)
+def merge_stale(t: Tables) -> DataFrame:
+    """An extract with each customer's last order; what the table has of a later order stays."""
+    target = _last_orders(t, "1-URGENT", "2-HIGH", "3-MEDIUM")
+    source = _last_orders(t, "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+    return merge.classify_changes(target, source, ["o_custkey"], version=_ORDER_VERSION)
+
+
+@query(
+    "merge_out_of_order",
+    f"select o_custkey, o_orderkey, {moment_text('o_orderdate')} as o_orderdate, o_totalprice from ({_LAST.format(where='true')}) as l",
+)
+def merge_out_of_order(t: Tables) -> DataFrame:
+    """Stored loads of which later ones bring older versions; the table is that of the right order."""
+    table = f"{checkpoint_folder(t.spark)}/loads/{uuid.uuid4().hex}"
+    for priorities in (("5-LOW", "1-URGENT"), ("2-HIGH",), ("3-MEDIUM", "4-NOT SPECIFIED")):
+        merge_into(t.spark, table, _last_orders(t, *priorities), ["o_custkey"], version=_ORDER_VERSION)
+    return read_table(t.spark, table)
+
+
+_EXTRACTED = f"""select c.*, case l_returnflag when 'A' then null else l_returnflag end as extract
+                 from ({roles.CLOCK_RECORDS}) as c"""
+
+
+@query(
+    "worked_hours_reextract",
+    f"""select "employeeId", {day_text('"date"')} as "date", cast(sum("secondsWorked") as bigint) as "secondsWorked",
+               cast(sum("secondsToWork") as bigint) as "secondsToWork",
+               cast(sum("secondsBalance") as bigint) as "secondsBalance"
+        from ({_EXTRACTED}) as r
+        where extract is not distinct from (select max(extract) from ({_EXTRACTED}) as o where o."date" = r."date")
+        group by 1, 2""",
+)
+def worked_hours_reextract(t: Tables) -> DataFrame:
+    """Days that were extracted up to three times; only the last extract of a day is added up."""
+    flag = F.col("l_returnflag")
+    extracted = roles.clock_records(t).withColumn("extract", F.when(flag != "A", flag))
+    return daily_worked_hours(latest_generation(extracted, ["date"], "extract"))
 
 
 def _daily_sql(flags: str) -> str:

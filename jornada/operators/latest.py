@@ -1,8 +1,10 @@
-"""One row per key: latest record, highest id."""
+"""One row per key: latest record, highest id; and the rows of each key's latest extract."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,3 +34,16 @@ def latest_values(
 def last_id_per_key(df: DataFrame, key: str, id_column: str) -> DataFrame:
     """Highest id per key; rows without key are dropped."""
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(id_column).alias(id_column))
+
+
+def latest_generation(df: DataFrame, of: Sequence[str], generation: str) -> DataFrame:
+    """All rows of the last generation of each key; rows without generation are the oldest one.
+
+    A day that was extracted again replaces the day, whichever records the new
+    extract has. The last generations are one row per key, reduced in the map
+    tasks, and the rows meet them in a semi join that keeps their order of magnitude.
+    """
+    names = [*of, generation]
+    last = df.groupBy(*of).agg(F.max(generation).alias(generation)).withColumnsRenamed({n: f"_last_{n}" for n in names})
+    same = reduce(and_, [F.col(n).eqNullSafe(F.col(f"_last_{n}")) for n in names])
+    return df.join(last, same, "left_semi")

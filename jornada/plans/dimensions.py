@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jornada.functions import day_first_date, decimal_comma, iso_date, to_utc, zero_if_null
+from jornada.functions.parse import parsed_day_first, parsed_decimal, parsed_iso_date
 from jornada.operators.lookup import lookup_contains
 from jornada.operators.quality import reject_missing
 from jornada.schemas import table_schema
@@ -91,6 +92,17 @@ def employee_rules() -> dict[str, Column]:
     }
 
 
+def employee_parses() -> dict[str, tuple[Column, Column]]:
+    """Texts of a flat employee row that must be readable, if there are any."""
+    texts = {
+        "cf_precio_hora_empresa": parsed_decimal,
+        "date_of_birth": parsed_iso_date,
+        "cf_fecha_de_alta": parsed_day_first,
+        "cf_fecha_de_baja": parsed_day_first,
+    }
+    return {name: (F.col(name), rule(F.col(name))) for name, rule in texts.items()}
+
+
 def employees(flat: DataFrame, companies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Employee dimension rows, and the rows whose company is unknown."""
     cleaned = flat.select(*[rule.alias(name) for name, rule in employee_rules().items()])

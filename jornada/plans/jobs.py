@@ -1,7 +1,9 @@
 """The loads, end to end: landing or warehouse folder in, warehouse or mart folder out.
 
 Tables live in ``<root>/<table>``. Every job can be repeated without changing
-the result. Upserting jobs return their row counts per action.
+the result. Upserting jobs return their row counts per action. ``read`` is the
+reader of the landing zone: ``read_landing``, or an ``Audit``'s, which keeps
+records that cannot be read and counts them.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from jornada.functions import check_date_range, in_date_range, to_utc
 from jornada.operators import boards, flatten
 from jornada.operators.listing import with_statuses
 from jornada.plans import dimensions, facts, marts
+from jornada.plans.audit import Audit, audited
 from jornada.session import use_utc
 from jornada.sources.landing import last_extract, read_landing
 from jornada.sources.tables import (
@@ -28,6 +31,7 @@ from jornada.sources.tables import (
     read_table,
 )
 
+Reader = Callable[..., DataFrame]
 EMPLOYEE_STATUSES = ("active", "inactive")
 
 
@@ -49,22 +53,29 @@ def with_entry_month(entries: DataFrame) -> DataFrame:
 
 
 def landed(
-    spark: SparkSession, landing: str, entity: str, flatten_records: Callable[..., DataFrame], **days: str
+    spark: SparkSession,
+    landing: str,
+    entity: str,
+    flatten_records: Callable[..., DataFrame],
+    read: Reader = read_landing,
+    **days: str,
 ) -> DataFrame:
     """Flat records of an entity, each in its last extract."""
-    raw = read_landing(use_utc(spark), landing, entity, with_arrival=True, **days)
+    raw = read(use_utc(spark), landing, entity, with_arrival=True, **days)
     return last_extract(flatten_records(raw, F.col("arrival")))
 
 
-def landed_employees(spark: SparkSession, landing: str) -> DataFrame:
-    return with_statuses(landed(spark, landing, "employees", flatten.flatten_employees), EMPLOYEE_STATUSES)
+def landed_employees(spark: SparkSession, landing: str, read: Reader = read_landing) -> DataFrame:
+    return with_statuses(landed(spark, landing, "employees", flatten.flatten_employees, read), EMPLOYEE_STATUSES)
 
 
-def landed_assignments(spark: SparkSession, landing: str) -> DataFrame:
-    return landed(spark, landing, "department_assignments", flatten.flatten_department_assignments)
+def landed_assignments(spark: SparkSession, landing: str, read: Reader = read_landing) -> DataFrame:
+    return landed(spark, landing, "department_assignments", flatten.flatten_department_assignments, read)
 
 
-def landed_entries(spark: SparkSession, landing: str, from_date: str, to_date: str) -> DataFrame:
+def landed_entries(
+    spark: SparkSession, landing: str, from_date: str, to_date: str, read: Reader = read_landing
+) -> DataFrame:
     """Entries of which some version starts in the range or a day next to it, each in its last extract.
 
     An edited entry may be landed again on any day, so all days are read: first
@@ -72,47 +83,54 @@ def landed_entries(spark: SparkSession, landing: str, from_date: str, to_date: s
     loaded again therefore never undoes a newer version.
     """
     first, last = check_date_range(from_date, to_date)
-    raw = read_landing(use_utc(spark), landing, "time_entries", with_arrival=True)
+    raw = read(use_utc(spark), landing, "time_entries", with_arrival=True)
     starts = raw.select("id", to_utc(F.col("timeEntryIn.date")).alias("start"))
     met = in_date_range(starts, "start", first - timedelta(days=1), last + timedelta(days=1)).select("id").distinct()
     flat = flatten.flatten_time_entries(raw, F.col("arrival")).join(met, "id", "left_semi")
     return last_extract(flat)
 
 
-def load_departments(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
-    flat = landed(spark, landing, "departments", flatten.flatten_departments)
+def load_departments(
+    spark: SparkSession, landing: str, warehouse: str, read: Reader = read_landing
+) -> dict[str, int]:
+    flat = landed(spark, landing, "departments", flatten.flatten_departments, read)
     return merge_table(spark, warehouse, "dim_department", dimensions.departments(flat))
 
 
-def load_department_assignments(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
-    rows = dimensions.department_assignments(landed_assignments(spark, landing))
+def load_department_assignments(
+    spark: SparkSession, landing: str, warehouse: str, read: Reader = read_landing
+) -> dict[str, int]:
+    rows = dimensions.department_assignments(landed_assignments(spark, landing, read))
     return merge_table(spark, warehouse, "fact_department_assignment", rows)
 
 
-def load_projects(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
-    flat = landed(spark, landing, "projects", flatten.flatten_projects)
+def load_projects(spark: SparkSession, landing: str, warehouse: str, read: Reader = read_landing) -> dict[str, int]:
+    flat = landed(spark, landing, "projects", flatten.flatten_projects, read)
     return merge_table(spark, warehouse, "dim_project", dimensions.projects(flat))
 
 
-def load_employees(spark: SparkSession, landing: str, warehouse: str) -> tuple[dict[str, int], DataFrame]:
+def load_employees(
+    spark: SparkSession, landing: str, warehouse: str, read: Reader = read_landing
+) -> tuple[dict[str, int], DataFrame]:
     """Also returns the rejected rows (unknown company)."""
     companies = read_table(spark, f"{warehouse}/dim_company", "dim_company")
-    rows, rejected = dimensions.employees(landed_employees(spark, landing), companies)
+    rows, rejected = dimensions.employees(landed_employees(spark, landing, read), companies)
     return merge_table(spark, warehouse, "dim_employee", rows), rejected
 
 
 def load_time_entries(
-    spark: SparkSession, landing: str, warehouse: str, from_date: str, to_date: str
+    spark: SparkSession, landing: str, warehouse: str, from_date: str, to_date: str, read: Reader = read_landing
 ) -> dict[str, int]:
-    rows = facts.time_entries(landed_entries(spark, landing, from_date, to_date))
+    rows = facts.time_entries(landed_entries(spark, landing, from_date, to_date, read))
     rows = in_date_range(rows, "time_entry_in", *check_date_range(from_date, to_date))
     return merge_table(spark, warehouse, "fact_time_entry", with_entry_month(rows))
 
 
 def load_worked_hours(
-    spark: SparkSession, landing: str, warehouse: str, from_date: str, to_date: str
+    spark: SparkSession, landing: str, warehouse: str, from_date: str, to_date: str, read: Reader = read_landing
 ) -> dict[str, int]:
-    raw = read_landing(use_utc(spark), landing, "worked_hours", from_date=from_date, to_date=to_date)
+    """Of a tenant's day that was extracted several times, the last extract counts."""
+    raw = read(use_utc(spark), landing, "worked_hours", from_date=from_date, to_date=to_date, last_only=True)
     return merge_table(spark, warehouse, "fact_worked_hours", facts.worked_hours(raw))
 
 
@@ -137,7 +155,7 @@ def load_time_charges_and_signings(
     charges = facts.time_charges(entries, facts.charge_profiles(*lookups, company_aliases=company_aliases))
     _append(spark, warehouse, "fact_time_charge", in_date_range(charges, "fecha", *first_last), first_last)
 
-    hours = read_landing(spark, landing, "worked_hours", from_date=from_date, to_date=to_date)
+    hours = read_landing(spark, landing, "worked_hours", from_date=from_date, to_date=to_date, last_only=True)
     signed = facts.signings(hours, facts.signing_profiles(*lookups, company_aliases=company_aliases))
     _append(spark, warehouse, "fact_signing", signed, first_last)
 
@@ -189,3 +207,21 @@ def build_mart_worked_hours(
     worked = read_table(spark, f"{warehouse}/fact_worked_hours", "fact_worked_hours")
     people = read_table(spark, f"{warehouse}/dim_employee", "dim_employee")
     return merge_table(spark, mart, "mart_worked_hours", marts.mart_worked_hours(worked, people, from_date, to_date))
+
+
+def load_employees_audited(
+    spark: SparkSession, landing: str, warehouse: str, load_id: str | None = None, most_rejected: float = 1.0
+) -> dict[str, int]:
+    """Employees with every reason for a rejection stored: unreadable records, dates and numbers, unknown companies."""
+
+    def load(audit: Audit) -> dict[str, int]:
+        def read(*args, **asked) -> DataFrame:
+            return audit.read(*args, **asked)
+
+        flat = audit.accept_parsed(landed_employees(spark, landing, read), "employees", dimensions.employee_parses())
+        companies = read_table(spark, f"{warehouse}/dim_company", "dim_company")
+        rows, unknown = dimensions.employees(flat, companies)
+        audit.reject(unknown.select("empleado_sesame_id", "empresa_sesame_id"), "employees", "unknown company")
+        return merge_table(spark, warehouse, "dim_employee", rows)
+
+    return audited(spark, warehouse, "dim_employee", load, load_id, most_rejected)

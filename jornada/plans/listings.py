@@ -52,7 +52,8 @@ def list_landing(
     if entity == "worked_hours":
         # These records have no id; and only here the folder's date is the day that is asked for.
         days = {k: asked.get(k) for k in ("from_date", "to_date")}
-        return list_entity(read_landing(spark, root, entity, tenants, **days), entity, **asked)
+        worked = read_landing(spark, root, entity, tenants, last_only=True, **days).drop("extract")
+        return list_entity(worked, entity, **asked)
 
     def last(name: str, accounts: DataFrame | None = None) -> DataFrame:
         raw = read_landing(spark, root, name, tenants, with_arrival=True)
