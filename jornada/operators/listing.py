@@ -6,11 +6,11 @@ import json
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jornada.functions import check_date_range, in_date_range, parse_order
-from jornada.session import checkpoint_folder
+from jornada.operators.positions import PositionIndex
 
 # Fixed value: rows of a page when a page but no limit is asked for.
 PAGE_SIZE = 100
@@ -100,8 +100,9 @@ def page_of(
     """Page ``page`` (from 1) of ``limit`` rows; the tie-break columns make the order total.
 
     Early pages are a top-k: each task keeps its first rows only. A page far
-    down would push everything before it through one task, so there the sorted
-    table is written once and the page is cut out by row position.
+    down would push everything before it through one task; it is found through
+    a ``PositionIndex``, which is made for it and removed. For several pages of
+    one listing make the index once and ask it.
     """
     if limit < 1 or page < 1:
         raise ValueError("limit and page start at 1")
@@ -110,28 +111,8 @@ def page_of(
     first = (page - 1) * limit
     if first + limit <= top_rows:
         return df.orderBy(*order).offset(first).limit(limit)
-    return _rows_by_position(df, order, first, limit)
-
-
-def _rows_by_position(df: DataFrame, order: list, first: int, limit: int) -> DataFrame:
-    checkpoint_folder(df.sparkSession)
-    ordered = (
-        df.orderBy(*order)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-        .checkpoint()
-    )
-    # One row per partition of the sorted table.
-    sizes = ordered.groupBy("_part").agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    position = F.col("_start") + F.col("_at")
-    return (
-        ordered.join(starts, "_part")
-        .where((position >= first) & (position < first + limit))
-        .orderBy("_part", "_at")
-        .select(*df.columns)
-    )
+    with PositionIndex(df, order_by, tie_break) as index:
+        return index.page(limit, page)
 
 
 @dataclass(frozen=True)

@@ -12,8 +12,10 @@ from pyspark.sql.types import DataType
 from jornada.functions.clean import right_trim
 
 # A dimension up to this many texts becomes a chain of tests in the row's own
-# expression; a larger one is matched by an equi join on substrings.
+# expression; a larger one is matched by an equi join on short pieces of text.
 INLINE_ROWS = 64
+# Length of those pieces; shorter texts are pieces as a whole.
+GRAM = 3
 
 
 def normalised(text: Column) -> Column:
@@ -52,7 +54,7 @@ def lookup_contains(
         prepared = df.withColumn("_field", normalised(F.col(field)))
         found = _first_match("_field", tests, kind)
     else:
-        prepared = _join_on_substrings(df, field, needles)
+        prepared = _join_on_grams(df, field, needles)
         found = F.col("_match")
     alias_found = _first_match("_field", [(a.lower().rstrip(), i) for a, i in aliases], kind)
     result = F.coalesce(found, alias_found, F.lit(default).cast(kind))
@@ -65,32 +67,33 @@ def _first_match(field: str, tests: Sequence[tuple[str, object]], kind: DataType
     return F.coalesce(*[F.when(F.contains(F.col(field), F.lit(n)), F.lit(i).cast(kind)) for n, i in tests])
 
 
-def _join_on_substrings(df: DataFrame, field: str, needles: DataFrame) -> DataFrame:
+def _join_on_grams(df: DataFrame, field: str, needles: DataFrame) -> DataFrame:
     """Exact match for a dimension of any size, without comparing all pairs.
 
-    A text is contained in a field when it equals one of the field's substrings
-    of that length, so each distinct field value is split into its substrings
-    of the lengths that occur in the dimension, and these meet the dimension in
-    an equi join. Only true matches come out of the join. The lengths are a few
-    small integers, bounded by the longest text.
+    Each text of the dimension is looked for by one of its pieces of GRAM
+    characters, the one that fewest texts of the dimension have. Each distinct
+    field value is cut once into its pieces, whatever the texts' lengths, and
+    each piece carries as much text around it as the longest text of the
+    dimension needs; where pieces meet, the whole text is compared in place.
     """
-    lengths = [r[0] for r in needles.select(F.length("_needle")).distinct().collect()]
     needles = needles.groupBy("_needle").agg(F.min("_first").alias("_first"))
+    size = F.least(F.length("_needle"), F.lit(GRAM)).alias("size")
+    # One row: at most GRAM + 1 lengths of pieces, and the longest text.
+    found = needles.agg(F.collect_set(size).alias("sizes"), F.max(F.length("_needle")).alias("reach")).first()
 
     prepared = df.withColumn("_field", normalised(F.col(field)))
     values = prepared.where(F.col("_field").isNotNull()).select("_field").distinct()
-    size, length = F.length("_field"), F.col("_length")
-    starts = F.sequence(F.lit(1), size - length + 1)
-    pieces = F.transform(starts, lambda at: F.substr(F.col("_field"), at, length))
-    split = (
-        values.withColumn("_length", F.explode(F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= size)))
-        .select(_value_key(F.col("_field")).alias("_value"), F.explode(F.array_distinct(pieces)).alias("_piece"))
-    )
+    pieces = F.concat(*[_pieces(F.col("_field"), n, found["reach"]) for n in sorted(found["sizes"])] or [F.array()])
+    split = values.select(_value_key(F.col("_field")).alias("_value"), F.explode(F.array_distinct(pieces)).alias("_piece"))
+    split = split.select("_value", "_piece.*")
     # Joined null-safe, so that both sides get an exchange of their own: AQE then
     # sees their real sizes, and can split a piece that occurs in very many fields,
     # or a field value that very many rows share.
+    sought = _rarest_piece(needles)
+    there = F.substr(F.col("_around"), F.col("_at") - F.col("_offset"), F.length("_needle")) == F.col("_needle")
     matches = (
-        split.join(needles, F.col("_piece").eqNullSafe(F.col("_needle")))
+        split.join(sought, F.col("_gram").eqNullSafe(F.col("_sought")))
+        .where((F.col("_at") > F.col("_offset")) & there)
         .groupBy("_value")
         .agg(F.min("_first").alias("_first"))
         .select("_value", F.col("_first._id").alias("_match"))
@@ -99,6 +102,33 @@ def _join_on_substrings(df: DataFrame, field: str, needles: DataFrame) -> DataFr
     return prepared.join(matches, same_value, "left").select(*df.columns, "_field", "_match")
 
 
+def _pieces(text: Column, n: int, reach: int) -> Column:
+    """Every piece of n characters, with the text up to ``reach`` before and behind it and the piece's place in that."""
+
+    def piece(at: Column) -> Column:
+        start = F.greatest(at - reach, F.lit(1))
+        around = F.substr(text, start, at - start + reach)
+        return F.struct(F.substr(text, at, F.lit(n)).alias("_gram"), around.alias("_around"), (at - start + 1).alias("_at"))
+
+    if n == 0:
+        return F.array(piece(F.lit(1)))
+    size = F.length(text)
+    starts = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, piece)
+
+
+def _rarest_piece(needles: DataFrame) -> DataFrame:
+    """Each text with the piece of it that fewest texts have, and where that begins in it, from 0."""
+    size = F.length("_needle")
+    n = F.least(size, F.lit(GRAM))
+    pieces = F.transform(F.sequence(F.lit(1), size - n + 1), lambda at: F.substr(F.col("_needle"), at, n))
+    cut = needles.select("_needle", "_first", F.posexplode(pieces).alias("_offset", "_sought"))
+    texts = cut.groupBy("_sought").agg(F.count_distinct("_needle").alias("_texts"))
+    rarest = F.min(F.struct("_texts", "_offset", "_sought")).alias("_rarest")
+    chosen = cut.join(texts, "_sought").groupBy("_needle").agg(rarest, F.min("_first").alias("_first"))
+    return chosen.select("_needle", "_first", "_rarest._offset", "_rarest._sought")
+
+
 def _value_key(text: Column) -> Column:
     """The text itself, or the digest of a long one, so that its pieces stay small rows."""
     return F.when(F.length(text) <= 64, text).otherwise(F.concat(F.lit("#"), F.sha2(text, 256)))

@@ -20,6 +20,7 @@ from jornada.operators.listing import with_statuses
 from jornada.plans import dimensions, facts, marts
 from jornada.plans.audit import Audit, audited
 from jornada.session import use_utc
+from jornada.sources.day_index import landed_days
 from jornada.sources.landing import last_extract, read_landing
 from jornada.sources.tables import (
     FIXED_PARTITIONS,
@@ -74,18 +75,27 @@ def landed_assignments(spark: SparkSession, landing: str, read: Reader = read_la
 
 
 def landed_entries(
-    spark: SparkSession, landing: str, from_date: str, to_date: str, read: Reader = read_landing
+    spark: SparkSession,
+    landing: str,
+    from_date: str,
+    to_date: str,
+    read: Reader = read_landing,
+    index: str | None = None,
 ) -> DataFrame:
     """Entries of which some version starts in the range or a day next to it, each in its last extract.
 
     An edited entry may be landed again on any day, so all days are read: first
     only ids and starts, to find the entries, then all of those. A range that is
-    loaded again therefore never undoes a newer version.
+    loaded again therefore never undoes a newer version. With the folder of a
+    day ``index``, only the days are read on which one of their versions was landed.
     """
     first, last = check_date_range(from_date, to_date)
-    raw = read(use_utc(spark), landing, "time_entries", with_arrival=True)
+    one = timedelta(days=1)
+    days = landed_days(use_utc(spark), landing, index, "time_entries", first - one, last + one) if index else None
+    asked = {} if days is None else {"on_days": days}
+    raw = read(use_utc(spark), landing, "time_entries", with_arrival=True, **asked)
     starts = raw.select("id", to_utc(F.col("timeEntryIn.date")).alias("start"))
-    met = in_date_range(starts, "start", first - timedelta(days=1), last + timedelta(days=1)).select("id").distinct()
+    met = in_date_range(starts, "start", first - one, last + one).select("id").distinct()
     flat = flatten.flatten_time_entries(raw, F.col("arrival")).join(met, "id", "left_semi")
     return last_extract(flat)
 
@@ -119,9 +129,15 @@ def load_employees(
 
 
 def load_time_entries(
-    spark: SparkSession, landing: str, warehouse: str, from_date: str, to_date: str, read: Reader = read_landing
+    spark: SparkSession,
+    landing: str,
+    warehouse: str,
+    from_date: str,
+    to_date: str,
+    read: Reader = read_landing,
+    index: str | None = None,
 ) -> dict[str, int]:
-    rows = facts.time_entries(landed_entries(spark, landing, from_date, to_date, read))
+    rows = facts.time_entries(landed_entries(spark, landing, from_date, to_date, read, index))
     rows = in_date_range(rows, "time_entry_in", *check_date_range(from_date, to_date))
     return merge_table(spark, warehouse, "fact_time_entry", with_entry_month(rows))
 

@@ -7,10 +7,11 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jornada.functions import to_utc
+from jornada.functions import check_date_range, to_utc
 from jornada.operators import flatten
 from jornada.operators.listing import list_entity
 from jornada.session import use_utc
+from jornada.sources.day_index import STARTS, landed_days
 from jornada.sources.landing import last_extract, read_landing, with_company_id
 
 
@@ -42,11 +43,18 @@ def listable(raw: DataFrame, entity: str, *extra: Column, accounts: DataFrame |
 
 
 def list_landing(
-    spark: SparkSession, root: str, entity: str, tenants: Iterable[str] | None = None, **asked
+    spark: SparkSession,
+    root: str,
+    entity: str,
+    tenants: Iterable[str] | None = None,
+    index: str | None = None,
+    **asked,
 ) -> DataFrame:
     """Filter, order and page an entity's landed records, each in its last extract.
 
-    See ``LISTINGS`` for the parameters.
+    See ``LISTINGS`` for the parameters. With the folder of a day ``index``, a
+    listing of entries between two days reads only the days on which one of
+    their versions was landed.
     """
     use_utc(spark)
     if entity == "worked_hours":
@@ -55,8 +63,14 @@ def list_landing(
         worked = read_landing(spark, root, entity, tenants, last_only=True, **days).drop("extract")
         return list_entity(worked, entity, **asked)
 
+    days = None
+    if index is not None and entity in STARTS and (asked.get("from_date") or asked.get("to_date")):
+        between = check_date_range(asked.get("from_date") or "0001-01-01", asked.get("to_date") or "9999-12-30")
+        days = landed_days(spark, root, index, entity, *between)
+
     def last(name: str, accounts: DataFrame | None = None) -> DataFrame:
-        raw = read_landing(spark, root, name, tenants, with_arrival=True)
+        on_days = days if name == entity else None
+        raw = read_landing(spark, root, name, tenants, with_arrival=True, on_days=on_days)
         return last_extract(listable(raw, name, F.col("arrival"), accounts=accounts))
 
     accounts = read_landing(spark, root, "account") if entity == "projects" else None

@@ -15,6 +15,7 @@ last name, in text order, is the day's; one without name is the oldest.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +63,7 @@ def read_landing(
     multi_line: bool = False,
     with_arrival: bool = False,
     last_only: bool = False,
+    on_days: Iterable[date] | None = None,
 ) -> DataFrame:
     """Records of an entity from all tenants, or from the named ones.
 
@@ -69,13 +71,16 @@ def read_landing(
     are left out (see ``quarantine.read_checked`` for a reader that keeps them);
     with mode FAILFAST they fail the job. ``with_arrival`` adds ``arrival``, the
     time and name of the record's file. ``last_only`` reads, of entities without
-    id, the last extract of each tenant's day only.
+    id, the last extract of each tenant's day only. ``on_days`` names the days
+    whose folders are read; see ``day_index``.
     """
     path = f"{root}/{entity}"
     if not exists(spark, path):
         return spark.createDataFrame([], _record_schema(entity, with_arrival))
     pages = spark.read.schema(_file_schema(entity)).json(path, mode=mode, multiLine=multi_line)
     pages = chosen_pages(pages, entity, tenants, from_date, to_date, last_only)
+    if on_days is not None:
+        pages = pages.where(F.col("date").isin(sorted(on_days)))
     if not with_arrival:
         return records(pages, entity)
     return records(pages.withColumn("arrival", file_arrival()), entity, "arrival")

@@ -8,6 +8,7 @@ rejected rows leave one scan together, are written once, and part by folder.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +85,7 @@ def read_checked(
     to_date: str | None = None,
     with_arrival: bool = False,
     last_only: bool = False,
+    on_days: Iterable[date] | None = None,
 ) -> DataFrame:
     """The records that ``read_landing`` reads, and the rejected ones, with ``reject``."""
     path, schema = f"{root}/{entity}", landing_schema(entity)
@@ -96,6 +98,8 @@ def read_checked(
         return frame.withColumn(REJECT, F.lit(None).cast(REJECT_TYPE))
     pages = spark.read.schema(raw_page_schema(entity)).json(path, columnNameOfCorruptRecord="bad_page")
     pages = chosen_pages(pages, entity, tenants, from_date, to_date, last_only)
+    if on_days is not None:
+        pages = pages.where(F.col("date").isin(sorted(on_days)))
     if with_arrival:
         pages, also = pages.withColumn("arrival", file_arrival()), [*also, "arrival"]
     return checked_records(pages, schema, also)
