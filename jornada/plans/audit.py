@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from jornada.functions.parse import errors
 from jornada.session import checkpoint_folder
 from jornada.sources.quarantine import REJECT, REJECT_TYPE, read_checked, reject_rows, split_once
-from jornada.sources.tables import ACTIONS, STALE, append_new_rows
+from jornada.sources.tables import ACTIONS, STALE, append_new_rows, has_table
 
 REJECT_KEY = ("entity", "tenant", "date", "digest")
 AUDIT = (
@@ -43,21 +43,32 @@ class Audit:
         """As ``read_landing``, without the records that cannot be read."""
         return self.accept(read_checked(spark, root, entity, **asked), entity)
 
-    def accept(self, checked: DataFrame, entity: str) -> DataFrame:
-        """The rows without ``reject``; the others are stored with their errors."""
+    def has(self, name: str) -> bool:
+        return has_table(self.spark, f"{self.warehouse}/{name}")
+
+    def accept(self, checked: DataFrame, entity: str, count_read: bool = True) -> DataFrame:
+        """The rows without ``reject``; the others are stored with their errors.
+
+        Where rows are checked a second time, ``count_read=False`` counts them once.
+        """
         folder = f"{checkpoint_folder(self.spark)}/loads/{self.load_id}/{entity}-{uuid.uuid4().hex}"
         accepted, rejected, counts = split_once(checked, folder, self.most_rejected)
-        for name, n in counts.items():
-            self.counts[name] += n
+        self.counts["read"] += counts["read"] if count_read else 0
+        self.counts["rejected"] += counts["rejected"]
         if counts["rejected"]:
             append_new_rows(self.spark, f"{self.warehouse}/load_rejects", reject_rows(rejected, entity), REJECT_KEY)
         return accepted
 
-    def accept_parsed(self, rows: DataFrame, entity: str, rules: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+    def accept_parsed(
+        self, rows: DataFrame, entity: str, rules: Mapping[str, tuple[Column, Column]], count_read: bool = True
+    ) -> DataFrame:
         """The rows all of whose texts can be read; see ``functions.parse``."""
-        found = errors(rules)
+        return self.accept_valid(rows, entity, errors(rules), count_read)
+
+    def accept_valid(self, rows: DataFrame, entity: str, found: Column, count_read: bool = True) -> DataFrame:
+        """The rows whose array of errors is empty."""
         reject = F.when(F.size(found) > 0, F.struct(found.alias("errors"), F.to_json(F.struct("*")).alias("text")))
-        return self.accept(rows.withColumn(REJECT, reject.cast(REJECT_TYPE)), entity)
+        return self.accept(rows.withColumn(REJECT, reject.cast(REJECT_TYPE)), entity, count_read)
 
     def reject(self, rows: DataFrame, entity: str, reason: str) -> None:
         """Store rows that a job has refused as a whole; they count as rejected, and were read before."""

@@ -234,7 +234,8 @@ def load_employees_audited(
         def read(*args, **asked) -> DataFrame:
             return audit.read(*args, **asked)
 
-        flat = audit.accept_parsed(landed_employees(spark, landing, read), "employees", dimensions.employee_parses())
+        landed_rows = landed_employees(spark, landing, read)
+        flat = audit.accept_parsed(landed_rows, "employees", dimensions.employee_parses(), count_read=False)
         companies = read_table(spark, f"{warehouse}/dim_company", "dim_company")
         rows, unknown = dimensions.employees(flat, companies)
         audit.reject(unknown.select("empleado_sesame_id", "empresa_sesame_id"), "employees", "unknown company")

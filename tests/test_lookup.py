@@ -85,3 +85,25 @@ def test_rows_without_id_or_rank(spark, inline_rows):
     df = spark.createDataFrame([("acme north",), ("acme",), ("south",), (None,)], "field string")
     found = lookup_contains(df, "field", dim, "name", "id", "place", "found", default=35, inline_rows=inline_rows)
     assert rows(found) == [(None, 35), ("acme", 35), ("acme north", 7), ("south", 6)]
+
+
+def test_a_dimension_of_any_text_lengths(spark):
+    random.seed(11)
+
+    def text(alphabet, longest):
+        return "".join(random.choice(alphabet) for _ in range(random.randint(1, longest)))
+
+    # Many texts share their pieces; fields repeat the same piece very often.
+    dim = [(i, "aab" * random.randint(0, 3) + text("abñ", 6)) for i in range(200)]
+    fields = ["aab" * 300 + text("abñ", 8) for _ in range(40)] + [text("abñ🙂", 30) for _ in range(200)]
+    expected = [next((i for i, n in sorted(dim) if n in f), -1) for f in fields]
+    assert look(spark, dim, fields, default=-1, inline_rows=0) == expected
+
+
+def test_one_row_per_character_and_no_product(spark):
+    df = spark.createDataFrame([("a field of some length",)] * 50, "field string")
+    dim = spark.createDataFrame([(i, "x" * i + "field") for i in range(90)], "id int, name string")
+    found = lookup_contains(df, "field", dim, "name", "id", "id", "found")
+    assert {r.found for r in found.collect()} == {0}
+    plan = found._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
