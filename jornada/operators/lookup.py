@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from jornada.functions.clean import right_trim
+from jornada.operators.sizes import broadcast_if_small
 
 # A dimension up to this many texts becomes a chain of tests in the row's own
 # expression; a larger one is matched by an equi join on short pieces of text.
@@ -54,7 +55,7 @@ def lookup_contains(
         prepared = df.withColumn("_field", normalised(F.col(field)))
         found = _first_match("_field", tests, kind)
     else:
-        prepared = _join_on_grams(df, field, needles)
+        prepared = _join_on_grams(df, field, needles, dim.select(needle, id_column, rank))
         found = F.col("_match")
     alias_found = _first_match("_field", [(a.lower().rstrip(), i) for a, i in aliases], kind)
     result = F.coalesce(found, alias_found, F.lit(default).cast(kind))
@@ -67,7 +68,7 @@ def _first_match(field: str, tests: Sequence[tuple[str, object]], kind: DataType
     return F.coalesce(*[F.when(F.contains(F.col(field), F.lit(n)), F.lit(i).cast(kind)) for n, i in tests])
 
 
-def _join_on_grams(df: DataFrame, field: str, needles: DataFrame) -> DataFrame:
+def _join_on_grams(df: DataFrame, field: str, needles: DataFrame, dim: DataFrame) -> DataFrame:
     """Exact match for a dimension of any size, without comparing all pairs.
 
     Each text of the dimension is looked for by one of its pieces of GRAM
@@ -84,12 +85,13 @@ def _join_on_grams(df: DataFrame, field: str, needles: DataFrame) -> DataFrame:
     prepared = df.withColumn("_field", normalised(F.col(field)))
     values = prepared.where(F.col("_field").isNotNull()).select("_field").distinct()
     pieces = F.concat(*[_pieces(F.col("_field"), n, found["reach"]) for n in sorted(found["sizes"])] or [F.array()])
-    split = values.select(_value_key(F.col("_field")).alias("_value"), F.explode(F.array_distinct(pieces)).alias("_piece"))
+    split = values.select(_value_key(F.col("_field")).alias("_value"), F.explode(pieces).alias("_piece"))
     split = split.select("_value", "_piece.*")
-    # Joined null-safe, so that both sides get an exchange of their own: AQE then
-    # sees their real sizes, and can split a piece that occurs in very many fields,
-    # or a field value that very many rows share.
-    sought = _rarest_piece(needles)
+    # Texts within Spark's limit are broadcast, and no piece is shuffled. Beyond it
+    # they are joined null-safe, so that both sides get an exchange of their own: AQE
+    # then sees their real sizes, and can split a piece that occurs in very many
+    # fields, or a field value that very many rows share.
+    sought = broadcast_if_small(_rarest_piece(needles, dim), dim)
     there = F.substr(F.col("_around"), F.col("_at") - F.col("_offset"), F.length("_needle")) == F.col("_needle")
     matches = (
         split.join(sought, F.col("_gram").eqNullSafe(F.col("_sought")))
@@ -117,7 +119,7 @@ def _pieces(text: Column, n: int, reach: int) -> Column:
     return F.transform(starts, piece)
 
 
-def _rarest_piece(needles: DataFrame) -> DataFrame:
+def _rarest_piece(needles: DataFrame, dim: DataFrame) -> DataFrame:
     """Each text with the piece of it that fewest texts have, and where that begins in it, from 0."""
     size = F.length("_needle")
     n = F.least(size, F.lit(GRAM))
@@ -125,7 +127,7 @@ def _rarest_piece(needles: DataFrame) -> DataFrame:
     cut = needles.select("_needle", "_first", F.posexplode(pieces).alias("_offset", "_sought"))
     texts = cut.groupBy("_sought").agg(F.count_distinct("_needle").alias("_texts"))
     rarest = F.min(F.struct("_texts", "_offset", "_sought")).alias("_rarest")
-    chosen = cut.join(texts, "_sought").groupBy("_needle").agg(rarest, F.min("_first").alias("_first"))
+    chosen = cut.join(broadcast_if_small(texts, dim), "_sought").groupBy("_needle").agg(rarest, F.min("_first").alias("_first"))
     return chosen.select("_needle", "_first", "_rarest._offset", "_rarest._sought")
 
 
