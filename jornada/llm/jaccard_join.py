@@ -59,8 +59,10 @@ from jornada.llm.words import partitions, stored
 
 #: Similarity from which documents link, as a fraction: 4/5.
 ABOVE, BELOW = 4, 5
-#: Cells of more documents are split by pivots; regions of more documents are split again.
-SMALL, IN_TASK = 64, 4000
+#: Cells of more documents get pivots, for two are a pivot and its neighbour; regions of more documents are split again.
+SMALL, IN_TASK = 2, 4000
+#: Tasks that the members of a frequent shingle's cell are dealt to.
+SALTS = 64
 PIVOTS = 4
 #: The side of members that are joined with all of their region; others are joined with the other side.
 BOTH = 2
@@ -146,7 +148,7 @@ def frequent_shingles(rows: DataFrame) -> np.ndarray:
 
 
 def cells(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Rows (region, node, n, rank) of the cells that each set reaches; copies within a task are left out."""
+    """Rows (region, node, n, rank, frequent) of the cells that each set reaches; copies within a task are left out."""
     by_value = np.argsort(frequent)
     known = frequent[by_value]
 
@@ -158,7 +160,7 @@ def cells(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
             def batch() -> pa.RecordBatch:
                 columns = [pa.array(np.concatenate(c)) for c in zip(*parts)]
-                return pa.RecordBatch.from_arrays(columns, names=["region", "node", "n", "rank"])
+                return pa.RecordBatch.from_arrays(columns, names=["region", "node", "n", "rank", "frequent"])
 
             for found in sets_of(given.column(0)):
                 n = len(found)
@@ -169,12 +171,14 @@ def cells(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(node)
+                rare = n
                 if len(known):
                     at = np.minimum(np.searchsorted(known, found), len(known) - 1)
                     common = known[at] == found
                     if common.any():
                         last = np.sort(by_value[at[common]])
                         found = np.concatenate([found[~common], frequent[last]])
+                        rare -= len(last)
                 reach = n * (BELOW - ABOVE) // BELOW + 1
                 parts.append(
                     (
@@ -182,6 +186,7 @@ def cells(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                         np.full(reach, node, np.int64),
                         np.full(reach, n, np.int32),
                         np.arange(reach, dtype=np.int32),
+                        np.arange(reach) >= rare,
                     )
                 )
                 held += reach
@@ -191,7 +196,7 @@ def cells(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             if parts:
                 yield batch()
 
-    return docs.select("text").mapInArrow(work, "region long, node long, n int, rank int")
+    return docs.select("text").mapInArrow(work, "region long, node long, n int, rank int, frequent boolean")
 
 
 def _may_meet(n_a, n_b, rank_a, rank_b):
@@ -210,7 +215,7 @@ def split(members: DataFrame, small: int = SMALL) -> DataFrame:
     Rows come sorted by cell, and a task holds a batch of them and one small
     cell at a time.
     """
-    names = ["region", "node", "n", "rank"]
+    names = ["region", "node", "n", "rank", "frequent"]
     out = ["a", "b", "region", "n", "rank"]
 
     def batch(a, b=None, region=None, n=None, rank=None) -> pa.RecordBatch:
@@ -221,10 +226,10 @@ def split(members: DataFrame, small: int = SMALL) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, names=out)
 
     def joined(rows: list[np.ndarray], large_one: int | None) -> Iterator[pa.RecordBatch]:
-        region, node, n, rank = rows
+        region, node, n, rank, frequent = rows
         first = np.flatnonzero(np.append(True, region[1:] != region[:-1]))
         lengths = np.diff(np.append(first, len(region)))
-        many = lengths > small
+        many = (lengths > small) | frequent[first]
         if large_one is not None:
             many |= region[first] == large_one
         large = np.repeat(many, lengths)
@@ -247,7 +252,7 @@ def split(members: DataFrame, small: int = SMALL) -> DataFrame:
         waiting: list[np.ndarray] | None = None
         large_one: int | None = None
         for given in batches:
-            rows = [given.column(i).to_numpy() for i in range(len(names))]
+            rows = [given.column(i).to_numpy(zero_copy_only=False) for i in range(len(names))]
             if waiting is not None:
                 rows = [np.concatenate(x) for x in zip(waiting, rows)]
             region = rows[0]
@@ -265,7 +270,9 @@ def split(members: DataFrame, small: int = SMALL) -> DataFrame:
         if waiting is not None:
             yield from joined(waiting, large_one)
 
-    dealt = members.repartition(partitions(members.sparkSession), "region").sortWithinPartitions("region")
+    # Cells of frequent shingles are large, so their members need not meet here: they are dealt out, and no task gets them all.
+    salt = F.when(F.col("frequent"), F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(0)
+    dealt = members.repartition(partitions(members.sparkSession), "region", salt).sortWithinPartitions("region")
     return dealt.select(*names).mapInArrow(work, "a long, b long, region long, n int, rank int")
 
 
