@@ -28,6 +28,8 @@ SHINGLE = 5
 BINS = 256
 BITS = 8
 PROBES = 6
+#: Bits of the hash by which rows of one id are cut into ranges.
+PART_BITS = 6
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -134,8 +136,10 @@ def likeness(a: Column, b: Column, bins: int = BINS, bits: int = BITS) -> Column
 def with_next(docs: DataFrame, columns: list[str], ranges: int | None = None) -> DataFrame:
     """Each row with the given columns of the next one, in descending order of doc_id, as next_<name>; the first follows the last.
 
-    The ids are cut into ranges at quantiles, a few per shuffle partition. Each
-    row moves once, to its range; the first row of a range is also sent to the
+    Rows without id come last, and rows of one id follow each other by a hash of
+    the text. The ids are cut into ranges at quantiles, a few per shuffle
+    partition; an id of more rows than a range should have, and rows without id,
+    are cut by that hash as well. Each row moves once, to its range; the first row of a range is also sent to the
     range before, where it ends the order. Only the bounds and first ids of the
     ranges pass through the driver, a number set by the partitions.
     """
@@ -146,9 +150,10 @@ def with_next(docs: DataFrame, columns: list[str], ranges: int | None = None) ->
     if levels is not None:
         found = docs.agg(F.percentile_approx("doc_id", levels, 10 * max(1000, ranges))).first()[0] or []
     bounds = sorted(set(found))
+    many = sorted({a for a, b in zip(found, found[1:]) if a == b})
     step = max(1, int(len(bounds) ** 0.5))
 
-    def range_of(doc_id: Column) -> Column:
+    def by_id(doc_id: Column) -> Column:
         if not bounds:
             return F.when(doc_id.isNull(), -1).otherwise(0)
         parts = [bounds[i : i + step] for i in range(0, len(bounds), step)]
@@ -161,19 +166,25 @@ def with_next(docs: DataFrame, columns: list[str], ranges: int | None = None) ->
 
         return F.when(doc_id.isNull(), -1).otherwise(let(F.size(F.filter(ends, lambda b: b < doc_id)), within))
 
-    ranged = docs.withColumn("_range", range_of(F.col("doc_id")))
-    heads = ranged.select("doc_id", "_range").groupBy("_range").agg(F.max("doc_id").alias("id")).collect()
+    def range_of(doc_id: Column, hashed: Column) -> Column:
+        """Ranges in ascending order of id; within a cut id, in descending order of the hash."""
+        part = F.shiftright(hashed, 64 - PART_BITS).cast("int") + (1 << (PART_BITS - 1))
+        cut = doc_id.isNull() | (doc_id.isin(many) if many else F.lit(False))
+        return by_id(doc_id) * ((1 << PART_BITS) + 1) + F.when(cut, (1 << PART_BITS) - part).otherwise(0)
+
+    ranged = docs.withColumn("_hash", F.xxhash64(or_empty()))
+    ranged = ranged.withColumn("_range", range_of(F.col("doc_id"), F.col("_hash")))
+    first = F.max(F.struct("doc_id", F.bitwise_not("_hash").alias("not_hash"))).alias("first")
+    heads = ranged.select("doc_id", "_hash", "_range").groupBy("_range").agg(first).select("_range", "first.*").collect()
     heads.sort(key=lambda r: -r["_range"])
-    sent = [(head["id"], heads[i - 1]["_range"]) for i, head in enumerate(heads)]
-    goes = spark.createDataFrame(sent, "_id long, _before int")
-    both = ranged.join(F.broadcast(goes), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    sent = [(head["doc_id"], ~head["not_hash"], heads[i - 1]["_range"]) for i, head in enumerate(heads)]
+    goes = spark.createDataFrame(sent, "_id long, _text long, _before int")
+    both = ranged.join(F.broadcast(goes), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left")
     here = F.struct(F.col("_range").alias("range"), F.lit(False).alias("guest"))
     guest = F.struct(F.col("_before").alias("range"), F.lit(True).alias("guest"))
     places = F.when(F.col("_before").isNull(), F.array(here)).otherwise(F.array(here, guest))
     both = both.withColumn("_place", F.explode(places)).withColumn("_at", F.col("_place.range"))
-    order = Window.partitionBy("_at").orderBy(
-        F.col("_place.guest"), F.col("doc_id").desc_nulls_last(), F.xxhash64(or_empty())
-    )
+    order = Window.partitionBy("_at").orderBy(F.col("_place.guest"), F.col("doc_id").desc_nulls_last(), "_hash")
     following = [F.lead(c).over(order).alias(f"next_{c}") for c in columns]
     out = both.select(*docs.columns, "_place", *following)
     return out.filter(~F.col("_place.guest")).drop("_place")

@@ -2,8 +2,8 @@
 
 Plain identifiers are found first. Then a transducer rewrites the text:
 homoglyphs and styled letters become ASCII, invisible characters go, runs of
-spelled digits become digits, and at/dot disguises become "@" and ".". Every
-character of the rewritten text knows the source characters it stands for, so
+spelled digits become digits, letters among digits become the digits they look
+like, and at/dot disguises become "@" and ".". Every character of the rewritten text knows the source characters it stands for, so
 identifiers found there are mapped back to source spans. Those spans are added
 to the plain ones; plain ones always stay.
 
@@ -70,7 +70,8 @@ def addresses(text: str) -> Iterator[Span]:
             continue
         groups = [(m.start(), m.end()) for m in _GROUP.finditer(text, run.start(), run.end())]
         for i in range(0, len(groups) - 3, 4):
-            if all(e - s < 40 and int(text[s:e]) <= 255 or not text[s:e].strip("0") for s, e in groups[i : i + 4]):
+            numbers = [text[s:e].lstrip("0") for s, e in groups[i : i + 4]]
+            if all(len(x) <= 3 and int(x or 0) <= 255 for x in numbers):
                 yield "ip", groups[i][0], groups[i + 3][1]
 
 
@@ -158,16 +159,30 @@ _RUN_PART = re.compile(
     re.IGNORECASE,
 )
 
+#: Letters that look like digits, in places where the shape asks for digits: four numbers with dots, groups of a card, a phone.
+_ODD_DIGITS = re.compile(
+    r"(?<![0-9A-Za-z.])(?:[0-9OolI]{1,3}(?:\.[0-9OolI]{1,3}){3}|[0-9OolI]{4}(?:[\x20-]?[0-9OolI]{4}){3}"
+    r"|\+[0-9OolI]{1,3}(?:[\x20.-]?[0-9OolI]{2,4}){2,4})(?![0-9A-Za-z])"
+)
+_ODD = {"O": "0", "o": "0", "l": "1", "I": "1"}
+
 _AT_WORD = "(?:at|arroba|arobase|arobas|klammeraffe|ät)"
 _AT = rf"(?:{_AT_WORD}|@)"
 _DOT = rf"(?:{_DOT_WORD}|\.)"
-_BRACKETED_AT = re.compile(rf"[\x20\t]*[\[({{<][\x20\t]*{_AT}[\x20\t]*[\])}}>][\x20\t]*", re.IGNORECASE)
-_BRACKETED_DOT = re.compile(rf"[\x20\t]*[\[({{<][\x20\t]*{_DOT}[\x20\t]*[\])}}>][\x20\t]*", re.IGNORECASE)
+#: Signs in brackets, which take the blanks around them along; a pattern that began with blanks would try each of them.
+_BRACKETED = re.compile(
+    rf"[\[({{<][\x20\t]*(?:(?P<at>{_AT})|(?P<dot>{_DOT}))[\x20\t]*[\])}}>]", re.IGNORECASE
+)
+#: Signs that stand for themselves alone: references of HTML, and "(a)" inside a word.
+_WRITTEN = re.compile(
+    r"(?P<at>&#0*64;|&#x0*40;|&commat;|(?<=[A-Za-z0-9])[\[(]a[\])](?=[A-Za-z0-9]))|(?P<dot>&#0*46;|&#x0*2e;|&period;)",
+    re.IGNORECASE,
+)
 _SPOKEN_DOT = rf"(?:\x20{_DOT_WORD}\x20|\x20\.\x20|_{_DOT_WORD}_|-{_DOT_WORD}-)"
 _SPOKEN_AT = rf"(?:\x20{_AT_WORD}\x20|\x20@\x20|_{_AT_WORD}_|-{_AT_WORD}-)"
 _SEPARATOR = re.compile(rf"\.|{_SPOKEN_DOT}", re.IGNORECASE)
-#: Labels end where a spoken dot begins.
-_HOST_LABEL = rf"(?:(?!-{_DOT_WORD}-)[A-Za-z0-9-])+"
+#: Labels end where a spoken dot, or another at word, begins.
+_HOST_LABEL = rf"(?:(?!-(?:{_DOT_WORD}|{_AT_WORD})-)[A-Za-z0-9-])+"
 _SPOKEN_HOST = re.compile(
     rf"(?P<at>{_SPOKEN_AT}|@)(?P<host>{_HOST_LABEL}(?:(?:\.|{_SPOKEN_DOT}){_HOST_LABEL})+)", re.IGNORECASE
 )
@@ -269,10 +284,35 @@ def _digits(text: Rewritten) -> Rewritten:
     return text.replace(edits) if edits else text
 
 
+def _odd_digits(text: Rewritten) -> Rewritten:
+    """Letters that stand for digits, where at least every other sign is a digit."""
+    edits = []
+    for m in _ODD_DIGITS.finditer(text.text):
+        odd = [i for i in range(m.start(), m.end()) if text.text[i] in _ODD]
+        if odd and 2 * len(odd) <= sum(c.isalnum() for c in m.group()):
+            edits += [(i, i + 1, _ODD[text.text[i]]) for i in odd]
+    return text.replace(edits) if edits else text
+
+
+def _in_brackets(text: str) -> list[tuple[int, int, str]]:
+    """Bracketed signs with the blanks on both sides; each blank is looked at once."""
+    edits, done = [], 0
+    for m in _BRACKETED.finditer(text):
+        start, end = m.span()
+        while start > done and text[start - 1] in "\x20\t":
+            start -= 1
+        while end < len(text) and text[end] in "\x20\t":
+            end += 1
+        edits.append((start, end, "@" if m.lastgroup == "at" else "."))
+        done = end
+    return edits
+
+
 def _at_and_dot(text: Rewritten) -> Rewritten:
-    for pattern, new in ((_BRACKETED_AT, "@"), (_BRACKETED_DOT, ".")):
-        edits = [(m.start(), m.end(), new) for m in pattern.finditer(text.text)]
-        text = text.replace(edits) if edits else text
+    edits = [(m.start(), m.end(), "@" if m.lastgroup == "at" else ".") for m in _WRITTEN.finditer(text.text)]
+    text = text.replace(edits) if edits else text
+    edits = _in_brackets(text.text)
+    text = text.replace(edits) if edits else text
     edits = []
     for whole in _spoken(text.text):
         for m in _SPOKEN_PART.finditer(text.text, *whole):
@@ -326,7 +366,7 @@ def find(text: str | None) -> list[tuple[str, int, int, bool]]:
     if not text:
         return []
     found = plain_spans(text)
-    rewritten = _at_and_dot(_digits(_plain_characters(Rewritten(text))))
+    rewritten = _at_and_dot(_digits(_odd_digits(_plain_characters(Rewritten(text)))))
     more: set[Span] = set()
     if rewritten.text != text:
         for kind, a, b in plain_spans(rewritten.text):

@@ -2,7 +2,7 @@
 
 The model works on hashed character n-grams of host and path and is trained
 from a small labelled table of URLs, all with Spark's own expressions and
-its JVM-side learner.
+its JVM-side learner. A fifth of the table sets the threshold.
 
 The host is what follows the first "://" up to "/", "?", "#" or the end, with
 A-Z lower-cased; the path follows, up to "?", "#" or the end. A rule such as
@@ -17,7 +17,9 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
@@ -29,8 +31,8 @@ from jornada.llm.words import ascii_lower
 
 GRAMS = (3, 4, 5)
 FEATURES = 1 << 14
-#: Below one half, for an unwanted host is rarely much like the labelled ones.
-BLOCK_FROM = 0.25
+#: One labelled URL in so many is kept from the model, to find the threshold; levels at which that is looked for.
+UNSEEN, LEVELS = 5, 1000
 
 # The rules of the query.
 RULES = (
@@ -41,39 +43,49 @@ RULES = (
     ("block", "com/de/"),
 )
 
-# The labelled URLs; invented hosts, 1 for unwanted ones.
-UNWANTED = (
-    "http://casino-royal.test/play/slots", "https://www.best-casino.test/en/31?page=2", "http://m.casinowin.test/fr/640",
-    "http://win-big.test/lottery", "https://free-bets.test/odds", "http://www.sports-bets.test/en/77.html",
-    "http://betting-tips.test/today", "https://blog.poker-online.test/de/510", "http://slots-bonus.test/spin",
-    "http://adult-cams.test/live", "https://www.adult-video.test/es/88", "http://m.adult-x.test/en/196",
-    "http://xxx-tube.test/top", "https://hot-xxx.test/fr/902", "http://sex-dating.test/join",
-    "http://spam-farm.test/links", "https://www.link-farm.test/de/14", "http://spam-links.test/buy-backlinks",
-    "http://m.cheap-pills.test/en/5", "https://pills-online.test/discount", "http://replica-watches.test/sale",
-    "http://blog.payday-loans.test/en/330", "https://fast-loans.test/cash", "http://free-money.test/claim-prize",
-    "http://www.warez-crack.test/en/61", "https://keygen-crack.test/download", "http://torrent-warez.test/movies",
-    "http://click-bait.test/you-wont-believe", "http://malware-host.test/setup.exe", "http://phish-login.test/verify",
-)
-WANTED = (
-    "https://www.city-library.test/catalogue", "http://museum.test/en/exhibits", "https://university.test/physics",
-    "http://blog.garden.test/en/roses", "https://news.daily.test/en/2024", "http://www.weather.test/fr/paris",
-    "https://docs.project.test/guide", "http://m.recipes.test/de/brot", "https://forum.bikes.test/en/12",
-    "http://school.test/es/horario", "https://www.hospital.test/visit", "http://blog.travel.test/en/rome",
-    "https://history.test/en/1848", "http://science.test/articles", "https://www.theatre.test/programme",
-    "http://music.test/en/scores", "https://maps.test/fr/lyon", "http://www.orchestra.test/season",
-    "https://m.chess.test/en/openings", "http://trains.test/de/fahrplan", "https://books.test/en/novels",
-    "http://blog.kitchen.test/en/soup", "https://www.parliament.test/en/debates", "http://birds.test/en/atlas",
-    "https://m.theater.test/en/925?page=2", "http://www.thesaurus.test/fr/414", "https://blog.stations.test/es/978",
-    "http://nations.test/en/457", "https://the-herald.test/en/214", "http://www.northern.test/de/945.html",
-    "https://theory.test/de/2689", "http://thunder.test/de/1201", "http://thistle.test/fr/77", "https://www.rathaus.test/de/1506",
-    "http://m.thought.test/de/2199.html", "https://blog.thimble.test/fr/7727.html", "http://station.test/de/1583",
-    "https://tradition.test/en/3388", "http://www.gothic.test/de/2620/", "https://m.mountain.test/fr/640/", "http://wald.test/de/31",
-    "https://youth.test/de/510?page=2&ref=x", "http://health.test/es/88", "https://www.earth.test/fr/14#top",
-    "http://blog.math.test/de/302?utm_source=feed", "https://bath.test/fr/902", "http://www.path.test/es/61", "http://m.cloth.test/en/5",
-    "https://tenth.test/de/1252.html", "http://moths.test/en/196", "http://", "http://a.test", "http://thatch.test", "http://x.test/",
-    "https://wheat.test/de", "https://blog.heather.test/de/1889", "http://lighthouse.test/fr/1941", "https://thorn.test/es/2782",
-    "http://month.test/en/31", "http://www.other.test/de/5251",
-)
+# Words of unwanted and of ordinary hosts, and paths, from which the labelled URLs are put together.
+UNWANTED_WORDS = (
+    "casino poker betting bets jackpot roulette slots lottery gambling bingo adult xxx porn sex nude escort camgirls erotic "
+    "pills viagra pharmacy steroids payday loans casher spam backlinks clickbait adserver ads tracker popup banner malware "
+    "phishing keygen crack warez torrent replica counterfeit giveaway prize"
+).split()
+WANTED_WORDS = (
+    "library museum university physics garden news weather project recipes forum school hospital travel history science theatre "
+    "music maps orchestra chess trains books kitchen parliament birds theory thunder thistle health earth math bath path cloth "
+    "north south month mother father brother other another whether gather thread three throat thorn thought youth mouth worth "
+    "station nation education tradition edition relation motion action question mention solution population option caption "
+    "rathaus buch garten schule wetter zeitung kirche stadt bahnhof verein bibliothek geschichte musik brot berg wald "
+    "jardin ecole journal ville gare musee livre cuisine mairie eglise histoire voyage hotel bateau maison "
+    "escuela ciudad periodico cocina libro tiempo iglesia historia viaje salud montana playa correo biblioteca mercado "
+    "bridge river mountain village market bakery painter carpenter plumber dentist lawyer teacher student farmer fisher "
+    "shop store rental repair design studio gallery festival council charity volunteer heritage archive atlas almanac "
+    "a x web wiki docs blog home city lake hill stone green blue red summer winter spring autumn"
+).split()
+PATHS = "about contact visit articles guide season horario index.html archive 12 2024 live buy order download item?id=7 de fr".split()
+HOSTS = ("{0}.test", "www.{0}.test", "{0}-{1}.test", "{1}-{0}.test", "blog.{0}{1}.test", "m.{1}{0}.test", "{1}-{0}-{2}.test")
+
+
+def _urls(words: Sequence[str], others: Sequence[str], times: int) -> tuple[str, ...]:
+    """Each word in `times` hosts, alone or among others; paths tell nothing of the kind."""
+    found = []
+    for turn in range(times):
+        for i, word in enumerate(words):
+            second, third = (others[(i * 7 + turn * k + k) % len(others)] for k in (3, 11))
+            host = HOSTS[(i + turn) % len(HOSTS)].format(word, second, third)
+            found.append(f"http{'s' * (i % 2)}://{host}/{PATHS[(i * 5 + turn) % len(PATHS)]}")
+    return tuple(dict.fromkeys(found))
+
+
+#: The labelled URLs of the query: invented hosts. One unwanted word among ordinary ones makes a host unwanted.
+UNWANTED = _urls(UNWANTED_WORDS, WANTED_WORDS, 14)
+WANTED = (*_urls(WANTED_WORDS, WANTED_WORDS, 7), "http://", "http://a.test", "http://x.test/")
+
+
+def labelled(spark: SparkSession, unwanted: Sequence[str] = UNWANTED, wanted: Sequence[str] = WANTED) -> DataFrame:
+    """A table (url, label) of labelled URLs."""
+    rows = [(u, 1.0) for u in unwanted] + [(u, 0.0) for u in wanted]
+    listed = F.from_json(F.lit(json.dumps([{"url": u, "label": y} for u, y in rows])), "array<struct<url: string, label: double>>")
+    return spark.range(1).select(F.explode(listed).alias("row")).select("row.*")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -107,39 +119,67 @@ def grams(host: Column, path: Column, lengths: Sequence[int] = GRAMS) -> Column:
     return F.concat(*of("h", host), *of("p", path))
 
 
-def train(
-    spark: SparkSession,
-    unwanted: Sequence[str] = UNWANTED,
-    wanted: Sequence[str] = WANTED,
-    features: int = FEATURES,
-) -> LogisticRegressionModel:
-    """Fits the model to the labelled URLs, a table of some dozens of rows; both kinds weigh alike."""
-    weight = len(wanted) / max(1, len(unwanted))
-    rows = [(u, 1.0, weight) for u in unwanted] + [(u, 0.0, 1.0) for u in wanted]
-    table = spark.range(1).select(
-        F.explode(F.array(*[F.struct(F.lit(u).alias("url"), F.lit(y).alias("label"), F.lit(w).alias("weight")) for u, y, w in rows])).alias("row")
-    )
-    table = table.select("row.*")
+@dataclass(frozen=True)
+class Filter:
+    """The model, and the probability from which on it blocks."""
+
+    model: LogisticRegressionModel
+    block_from: float
+
+    def probability(self, rows: DataFrame, grams_of: Column, out: str) -> DataFrame:
+        """The rows with the probability that they are unwanted."""
+        rows = rows.withColumn("_grams", grams_of)
+        rows = HashingTF(numFeatures=self.model.numFeatures, inputCol="_grams", outputCol="_features", binary=True).transform(rows)
+        model = self.model.copy().setFeaturesCol("_features").setProbabilityCol("_p").setPredictionCol("_y").setRawPredictionCol("_r")
+        scored = model.transform(rows).withColumn(out, vector_to_array("_p")[1])
+        return scored.drop("_grams", "_features", "_p", "_y", "_r")
+
+
+def train(labels: DataFrame, features: int = FEATURES) -> Filter:
+    """Fits the model to a labelled table (url, label), and its threshold to a fifth of it that the model has not seen.
+
+    The threshold is where the shares of both kinds that are judged right there
+    add up to most, and of equally good ones the middle. Where that fifth has
+    not both kinds, one half counts.
+    """
+    known = labels.select("url", F.col("label").cast("double").alias("label")).where("url is not null and label in (0, 1)")
+    apart = F.crc32("url") % UNSEEN == 0
+    seen, unseen = known.where(~apart), known.where(apart)
     counted = HashingTF(numFeatures=features, inputCol="grams", outputCol="features", binary=True).transform(
-        table.select("label", "weight", grams(*host_and_path(F.col("url"))).alias("grams"))
+        seen.select("label", grams(*host_and_path(F.col("url"))).alias("grams"))
     )
-    return LogisticRegression(maxIter=60, regParam=0.0003, standardization=False, weightCol="weight").fit(counted.coalesce(1))
+    model = LogisticRegression(maxIter=60, regParam=0.0003, standardization=False).fit(counted)
+    found = Filter(model, 0.5)
+    scored = found.probability(unseen, grams(*host_and_path(F.col("url"))), "unwanted")
+    # At most two numbers per level.
+    level = F.floor(F.col("unwanted") * LEVELS).cast("int").alias("level")
+    counts = {(r["label"], r["level"]): r["n"] for r in scored.groupBy("label", level).agg(F.count("*").alias("n")).collect()}
+    return Filter(model, best_threshold(counts))
+
+
+def best_threshold(counts: dict[tuple[float, int], int], levels: int = LEVELS) -> float:
+    """The probability that parts both kinds best; `counts` are by label and level."""
+    total = {y: sum(n for (label, _), n in counts.items() if label == y) for y in (0.0, 1.0)}
+    if not all(total.values()):
+        return 0.5
+    right, sums = 0.0, []
+    for level in range(levels + 1):
+        right += counts.get((0.0, level - 1), 0) / total[0.0] - counts.get((1.0, level - 1), 0) / total[1.0]
+        sums.append(right)
+    good = [level for level, x in enumerate(sums) if x > max(sums) - 1e-9]
+    return (good[0] + good[-1]) / 2 / levels
 
 
 def judge(
     pages: DataFrame,
     rules: Sequence[tuple[str, str]] = RULES,
-    model: LogisticRegressionModel | None = None,
-    block_from: float = BLOCK_FROM,
+    model: Filter | None = None,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict and the model's probability that the page is unwanted."""
-    model = model or train(pages.sparkSession)
+    model = model or train(labelled(pages.sparkSession))
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("_grams", grams(F.col("host"), F.col("path")))
-    rows = HashingTF(numFeatures=model.numFeatures, inputCol="_grams", outputCol="_features", binary=True).transform(rows)
-    model = model.copy().setFeaturesCol("_features").setProbabilityCol("_p").setPredictionCol("_y").setRawPredictionCol("_r")
-    rows = model.transform(rows).withColumn("unwanted", vector_to_array("_p")[1])
+    rows = model.probability(rows, grams(F.col("host"), F.col("path")), "unwanted")
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
-    guess = F.when(F.col("unwanted") >= block_from, "block").otherwise("allow")
+    guess = F.when(F.col("unwanted") >= model.block_from, "block").otherwise("allow")
     return rows.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, guess).alias("verdict"), "unwanted")

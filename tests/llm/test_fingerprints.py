@@ -78,5 +78,20 @@ def test_many_ranges_give_the_same_links(spark):
         assert got == {i * i: f"t{(i - 1) % 200}" for i in range(200)}
 
 
+def test_rows_without_id_and_of_one_id_are_cut_into_ranges(spark, conf):
+    from jornada.llm.lm_scoring import word_number
+
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = [(None if i % 3 == 0 else 77 if i % 3 == 1 else i, f"t{i}", "s") for i in range(600)]
+    docs = corpus.frame(spark, rows).select("doc_id", "text")
+    order = sorted(((i, t) for i, t, _ in rows), key=lambda r: (r[0] is None, -(r[0] or 0), word_number(r[1].encode())))
+    expected = {t: order[(n + 1) % 600][1] for n, (_, t) in enumerate(order)}
+    got = P.with_next(docs, ["text"], 16)
+    assert {r["text"]: r["next_text"] for r in got.collect()} == expected
+    # No window holds the rows of one id, or of none, together.
+    ranges = got.select("doc_id", F.spark_partition_id()).distinct().groupBy("doc_id").count().where("doc_id is null or doc_id = 77")
+    assert all(r["count"] > 1 for r in ranges.collect())
+
+
 def test_sha_of_query(spark):
     assert hashlib.sha256("é".encode()).hexdigest() == spark.range(1).select(F.sha2(F.lit("é"), 256)).first()[0]

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import corpus
@@ -255,6 +256,39 @@ def test_long_runs_cost_no_more_than_their_length():
         pii.find(text)
 
 
+@pytest.mark.parametrize(
+    "text",
+    [" " * 1_000_000, "\t" * 1_000_000, "( " * 500_000, "(" + " " * 1_000_000, "(at " * 250_000, "a-at-" * 200_000, "@a" * 500_000,
+     "&#" + "0" * 1_000_000, "lO." * 333_000, "+1" + " " * 1_000_000, "0" * 1_000_000],
+)
+def test_a_megabyte_takes_about_a_second(text):
+    start = time.process_time()
+    assert pii.find(text) == []
+    assert time.process_time() - start < 3
+
+
+@pytest.mark.parametrize(
+    "text,kind,found",
+    [
+        ("mail john(a)example.com now", "email", "john(a)example.com"),
+        ("mail john&#64;mail&#46;example.org now", "email", "john&#64;mail&#46;example.org"),
+        ("mail john&commat;mail.example.org now", "email", "john&commat;mail.example.org"),
+        ("jane [ at ]   mail  (dot) com", "email", "jane [ at ]   mail  (dot) com"),
+        ("host 192.l68.O.1 up", "ip", "192.l68.O.1"),
+        ("card 4111 l111 1111 1111.", "card", "4111 l111 1111 1111"),
+        ("call +4O 2O 7946 0958", "phone", "+4O 2O 7946 0958"),
+        ("at " + "0" * 60 + "1.2.3.4 now", "ip", "0" * 60 + "1.2.3.4"),
+    ],
+)
+def test_more_disguises(text, kind, found):
+    assert found in [text[s:e] for k, s, e, _ in pii.find(text) if k == kind]
+
+
+def test_what_is_no_disguise():
+    for text in ("See (a) e.g. this one.", "Ol.Il.lo.oo and Il.lO.oo.ll", "hello (a) b", "point (a) of 3.4 and (b)"):
+        assert pii.find(text) == [], pii.find(text)
+
+
 def test_spans_of_documents(spark, docs, none):
     rows = pii.find_pii(docs).collect()
     assert len(rows) == docs.count() and pii.find_pii(none).count() == 0

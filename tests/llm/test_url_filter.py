@@ -1,5 +1,8 @@
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from jornada.llm import url_filter as U
 
 URLS = [
@@ -47,10 +50,33 @@ def test_unseen_urls_are_judged_by_their_parts(spark):
 
 
 def test_labels_are_learned(spark):
-    model = U.train(spark)
-    pages = spark.createDataFrame(list(enumerate(U.UNWANTED + U.WANTED)), "page_id long, url string")
-    got = {r["page_id"]: r["verdict"] for r in U.judge(pages, rules=(), model=model).collect()}
-    assert all(got[i] == ("block" if i < len(U.UNWANTED) else "allow") for i in got)
+    labels = U.labelled(spark)
+    model = U.train(labels)
+    assert 0.05 < model.block_from < 0.95
+    rows = labels.withColumnRenamed("label", "page_id").withColumn("page_id", F.col("page_id").cast("long"))
+    judged = U.judge(rows, rules=(), model=model)
+    told = {(r["page_id"], r["verdict"]): r["count"] for r in judged.groupBy("page_id", "verdict").count().collect()}
+    assert told[1, "block"] > 0.97 * len(U.UNWANTED) and told[0, "allow"] > 0.97 * len(U.WANTED)
+
+
+def test_any_labelled_table(spark):
+    data = [(f"http://{'bad' if i % 3 == 0 else 'fine'}{i}.test/{i}", float(i % 3 == 0)) for i in range(90)]
+    data += [(None, 1.0), ("http://odd.test", None), ("http://odd.test", 7.0)]
+    model = U.train(spark.createDataFrame(data, "url string, label double"))
+    pages = spark.createDataFrame([(1, "http://bad1000.test/"), (1, "http://fine1000.test/"), (1, "http://bad1000.test/")], "page_id long, url string")
+    assert sorted(r["verdict"] for r in U.judge(pages, model=model).collect()) == ["allow", "block", "block"]
+
+
+def test_threshold():
+    assert U.best_threshold({(0.0, 10): 5, (0.0, 30): 1, (1.0, 50): 3, (1.0, 90): 1}, 100) == pytest.approx(0.405)
+    assert U.best_threshold({(0.0, 10): 5}, 100) == U.best_threshold({}, 100) == 0.5
+
+
+def test_no_label_is_named_after_a_page(spark):
+    hosts = {r[0] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select(U.host_and_path(F.col("url"))[0]).collect()}
+    names = {h.rsplit(".example.", 1)[0].split(".")[-1] for h in hosts}
+    labels = {u.split("://")[1].split("/")[0].removesuffix(".test").split(".")[-1] for u in (*U.UNWANTED, *U.WANTED)}
+    assert not names & labels
 
 
 def test_empty(spark):
