@@ -59,8 +59,8 @@ from jornada.llm.words import partitions, stored
 
 #: Similarity from which documents link, as a fraction: 4/5.
 ABOVE, BELOW = 4, 5
-#: Cells of more documents get pivots, for two are a pivot and its neighbour; regions of more documents are split again.
-SMALL, IN_TASK = 2, 4000
+#: Cells of more documents are joined around pivots, smaller ones pair by pair; regions of more documents are split again.
+SMALL, IN_TASK = 16, 4000
 #: Tasks that the members of a frequent shingle's cell are dealt to.
 SALTS = 64
 PIVOTS = 4
