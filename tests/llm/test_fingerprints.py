@@ -1,6 +1,7 @@
 import hashlib
 
 import corpus
+import xxhash
 from pyspark.sql import functions as F
 
 from jornada.llm import fingerprints as P
@@ -39,6 +40,53 @@ def test_size_and_determinism(spark, docs):
         assert by_text.setdefault(r["text"], r["t"]) == r["t"]
 
 
+def chained(*values):
+    """The 64-bit hash of several values, each the seed of the next."""
+    seed = 42
+    for value in values:
+        data = value if isinstance(value, bytes) else value[0].to_bytes(value[1], "little", signed=True)
+        seed = xxhash.xxh64_intdigest(data, seed=seed)
+    return seed
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def plain_print(text, bins=256, bits=8):
+    """One-permutation MinHash with optimal densification, bin by bin."""
+    own = (text or "").encode().lower().split()
+    if not own:
+        return ""
+    shift = 63 - (bins.bit_length() - 1)
+    hashes = [chained(*own[i : i + 5]) >> 1 for i in range(len(own) - 4)] if len(own) >= 5 else [chained(*own) >> 1]
+    least = {}
+    for h in hashes:
+        least[h >> shift] = min(h, least.get(h >> shift, h))
+    found = []
+    for i in range(bins):
+        value = least.get(i)
+        for t in range(P.PROBES):
+            if value is None:
+                value = least.get(signed(chained((i, 4), (t, 4))) % bins)
+        if value is None:
+            value = min((signed(chained((i, 4), (b, 8))), h) for b, h in least.items())[1]
+        found.append(value & ((1 << bits) - 1))
+    whole = 0
+    for value in found:
+        whole = whole << bits | value
+    return f"{whole:0{bins * bits // 4}X}"
+
+
+def test_bits_equal_a_plain_version(docs):
+    told = docs.select("text", P.as_text(P.fingerprint(F.col("text"))).alias("a"), P.as_text(P.fingerprint(F.col("text"), 128, 4)).alias("b"))
+    rows = [r for r in told.collect() if len(r["text"] or "") < 20_000]
+    assert len(rows) > 200
+    for r in rows:
+        assert r["a"] == plain_print(r["text"]), r["text"]
+        assert r["b"] == plain_print(r["text"], 128, 4), r["text"]
+
+
 def test_next_document_and_edited_text(spark, docs, none, conf):
     conf(spark__sql__shuffle__partitions="3")
     rows = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
