@@ -67,3 +67,46 @@ def test_figures_of_extreme_texts():
     assert not quality.figures(None).any() and not quality.figures("").any() and not quality.figures(" \n").any()
     for text in ("!", "A", "é", "a" * 100_000, "\x00"):
         assert np.isfinite(quality.figures(text)).all()
+
+
+def test_fit_equals_plain_descent():
+    """The same loss over the same pairs, brought down by plain gradient steps."""
+    random = np.random.default_rng(2)
+    good, bad = random.normal(0.3, 1, (60, 15)), random.normal(-0.3, 1, (40, 15))
+    model = quality.fit(good, bad, pairs_each=5, penalty=0.05)
+    both = np.vstack([good, bad])
+    centre, scale = both.mean(0), both.std(0)
+    draw = np.random.default_rng(1)
+    pairs = 5 * 60
+    first = np.clip((good - centre) / scale, -8, 8)[draw.integers(60, size=pairs)]
+    second = np.clip((bad - centre) / scale, -8, 8)[draw.integers(40, size=pairs)]
+    weights = np.zeros(15)
+    for _ in range(20_000):
+        wrong = 1 / (1 + np.exp((first - second) @ weights))
+        weights -= 0.05 * (0.05 * weights - (first - second).T @ wrong / pairs)
+    assert np.allclose(weights, model.weights, atol=1e-4)
+
+
+def test_scores_equal_a_plain_version(spark):
+    docs, labels = labelled(spark)
+    model = quality.learn(docs, labels)
+    _, found = quality.ranked(docs, labels)
+    assert np.allclose(found.weights, model.weights)
+    for row in quality.score(docs, labels).select("text", "score").collect():
+        shown = np.clip((quality.figures(row["text"]) - model.centre) / model.scale, -8, 8)
+        value = sum(a * b for a, b in zip(shown, model.weights))
+        # The threshold has the score from which documents are accepted.
+        odds = np.exp(value - found.threshold) * quality.ACCEPT_FROM / (1 - quality.ACCEPT_FROM)
+        assert abs(row["score"] - odds / (1 + odds)) < 1e-9
+
+
+def test_threshold_misjudges_fewest_labelled_documents(spark):
+    docs, labels = labelled(spark)
+    values, model = quality.ranked(docs, labels)
+    known = values.join(quality.usable_labels(labels), "doc_id").collect()
+    good, bad = ([r["value"] for r in known if r["quality"] == q] for q in (1, 0))
+
+    def wrong(at):
+        return np.mean(np.array(good) < at) + np.mean(np.array(bad) >= at)
+
+    assert wrong(model.threshold) <= min(wrong(at) for at in good + bad) + 0.01
