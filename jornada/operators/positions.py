@@ -56,9 +56,11 @@ class PositionIndex:
                 here = (F.col("_at") >= base + low) & (F.col("_at") < base + high)
                 inside, place = inside | here, F.when(here, F.col("_at") - base).otherwise(place)
         chosen = self._index.where(inside).withColumn("_place", place)
-        # No more keys than the page has rows; the index is no longer needed for them.
         keys = chosen.groupBy(*self._keys, "_row").agg(F.min("_place").alias("_place"), F.count("*").alias("_times"))
-        keys = self.spark.createDataFrame(keys.collect(), keys.schema)
+        # No more keys than the page has rows; stored apart, so that a page outlives the index.
+        path = f"{self.folder}.page-{uuid.uuid4().hex}"
+        keys.coalesce(1).write.parquet(path)
+        keys = self.spark.read.schema(keys.schema).parquet(path)
         named = keys.withColumnsRenamed({c: f"_key_{c}" for c in [*self._keys, "_row"]})
         same = F.lit(True)
         for c in [*self._keys, "_row"]:
