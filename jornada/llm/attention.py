@@ -19,8 +19,8 @@ WIDTH, DENSE = 16, 32
 STRIDE = 16
 WINDOW = 2 * STRIDE
 INPUTS, GROUPS, SLOTS = 4096, 32, 32
-#: Windows of a training step, and the highest learning rate.
-BATCH, RATE = 128, 0.015
+#: Windows of a training step: at first, after how many windows one more is taken, and at most. The highest learning rate.
+FIRST_BATCH, GROWS_AFTER, BATCH, RATE = 16, 100, 128, 0.02
 _FAR = np.float32(-1e9)
 
 
@@ -28,12 +28,13 @@ _FAR = np.float32(-1e9)
 class Vocabulary:
     """How ids are seen: `inputs` for the context, `classes` (group * SLOTS + slot) for the output.
 
-    `share` is the log of P(id | class).
+    `share` is the log of P(id | class), `weights` how often each class occurs (groups, slots).
     """
 
     inputs: np.ndarray
     classes: np.ndarray
     share: np.ndarray
+    weights: np.ndarray
 
 
 def vocabulary(counts: np.ndarray, opens: np.ndarray) -> Vocabulary:
@@ -65,7 +66,9 @@ def vocabulary(counts: np.ndarray, opens: np.ndarray) -> Vocabulary:
             band = np.minimum((weight - smoothed[rest]) * len(groups) / weight[-1], len(groups) - 1).astype(np.int64)
             classes[rest] = groups[band] * SLOTS + SLOTS - 1
     total = np.bincount(classes, weights=smoothed, minlength=GROUPS * SLOTS)
-    return Vocabulary(inputs.astype(np.int32), classes.astype(np.int32), np.log(smoothed / total[classes]))
+    share = np.log(smoothed / total[classes])
+    weights = np.bincount(classes, weights=counts, minlength=GROUPS * SLOTS).reshape(GROUPS, SLOTS)
+    return Vocabulary(inputs.astype(np.int32), classes.astype(np.int32), share, weights)
 
 
 @dataclass
@@ -95,6 +98,16 @@ class Attention:
         table[INPUTS] = 0
         return Attention(table, bias, dense, back, groups, slots)
 
+    @staticmethod
+    def at_frequencies(words: Vocabulary, seed: int = 3) -> Attention:
+        """A new model that begins at the classes' shares of the corpus, so that it need not learn them."""
+        model = Attention.new(seed)
+        weights = words.weights + 0.5
+        of_group = weights.sum(1)
+        model.groups[-1] = np.log(of_group / of_group.sum())
+        model.slots[:, -1] = np.log(weights / of_group[:, None])
+        return model
+
 
 def _distances(queries: int, keys: int) -> tuple[np.ndarray, np.ndarray]:
     """Distance of each key before each query (queries end where keys end), and what masks later keys."""
@@ -103,21 +116,23 @@ def _distances(queries: int, keys: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _attend(model: Attention, seen: np.ndarray):
-    """Everything up to the dense layer, for all positions of each window."""
-    query, key, value, residual, after = np.split(model.table[seen], 5, axis=-1)
-    far, mask = _distances(seen.shape[1], seen.shape[1])
-    scores = np.matmul(query, key.transpose(0, 2, 1))
-    scores *= np.float32(WIDTH**-0.5)
-    scores += model.bias[far] + mask
-    padding = seen == INPUTS
-    if padding.any():
-        scores += np.where(padding, _FAR, np.float32(0))[:, None, :]
-    scores -= scores.max(-1, keepdims=True)
-    np.exp(scores, out=scores)
-    scores /= scores.sum(-1, keepdims=True)
-    hidden = residual + np.matmul(scores, value)
+    """Everything up to the dense layer, for all positions of each window; padding may only follow a text.
+
+    Products are held below 40, far above any that training reaches, instead of
+    being shifted by their largest.
+    """
+    n = seen.shape[1]
+    query, key, value, residual, after = np.split(model.table.take(seen, axis=0), 5, axis=-1)
+    far, mask = _distances(n, n)
+    weights = np.matmul(query * np.float32(WIDTH**-0.5), key.transpose(0, 2, 1))
+    np.minimum(weights, 40, out=weights)
+    np.exp(weights, out=weights)
+    weights *= np.where(mask == 0, np.exp(model.bias[far]), 0).astype(np.float32)
+    weights /= (weights.reshape(-1, n) @ np.ones(n, np.float32)).reshape(*seen.shape, 1)
+    mixed = np.matmul(weights, value)
+    hidden = residual + mixed
     hidden[:, 1:] += after[:, :-1]
-    return query, key, value, scores, hidden
+    return query, key, value, weights, mixed, hidden
 
 
 def _with_one(hidden: np.ndarray) -> np.ndarray:
@@ -127,17 +142,18 @@ def _with_one(hidden: np.ndarray) -> np.ndarray:
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
+    np.minimum(logits, 40, out=logits)
     np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
+    logits /= (logits @ np.ones(logits.shape[1], np.float32))[:, None]
     return logits
 
 
 def _by_group(groups: np.ndarray):
-    """The positions of each group that occurs."""
-    order = np.argsort(groups.astype(np.uint8), kind="stable")
-    which, first = np.unique(groups[order], return_index=True)
-    return zip(which, np.split(order, first[1:]))
+    """Positions in the order of their groups, and the slice of each group that occurs."""
+    many = np.bincount(groups, minlength=GROUPS)
+    ends = np.cumsum(many)
+    slices = [(g, slice(ends[g] - many[g], ends[g])) for g in np.flatnonzero(many)]
+    return np.argsort(groups.astype(np.uint8), kind="stable"), slices
 
 
 class Scorer:
@@ -152,9 +168,9 @@ class Scorer:
         query, key, value, residual, after = np.split(model.table, 5, axis=1)
         self.residual, self.after = np.ascontiguousarray(residual), np.ascontiguousarray(after)
         self.query = query * np.float32(WIDTH**-0.5)
-        self.key = np.ascontiguousarray(key)
-        self.value = np.concatenate([value, np.ones((len(value), 1), np.float32)], 1)
-        self.value[INPUTS] = 0
+        # Key, value and the column of ones in one row.
+        self.given = np.concatenate([key, value, np.ones((len(value), 1), np.float32)], 1)
+        self.given[INPUTS, WIDTH:] = 0
         far, mask = _distances(STRIDE, WINDOW)
         self.near = np.where(mask == 0, np.exp(model.bias[far]), 0).astype(np.float32)
         self.groups, self.slots, self.dense, self.back = model.groups, model.slots, model.dense, model.back
@@ -172,72 +188,93 @@ class Scorer:
         (windows, STRIDE) the classes that follow.
         """
         last = seen[:, STRIDE:]
-        weights = np.matmul(self.query[last], self.key[seen].transpose(0, 2, 1))
+        given = self.given.take(seen, axis=0)
+        weights = np.matmul(self.query.take(last, axis=0), given[:, :, :WIDTH].transpose(0, 2, 1))
         np.minimum(weights, 40, out=weights)
         np.exp(weights, out=weights)
         weights *= self.near
-        summed = np.matmul(weights, self.value[seen]).reshape(-1, WIDTH + 1)
+        summed = np.matmul(weights, given[:, :, WIDTH:]).reshape(-1, WIDTH + 1)
         flat = np.ones((last.size, WIDTH + 1), np.float32)
         np.divide(summed[:, :WIDTH], np.maximum(summed[:, WIDTH:], np.float32(1e-30)), out=flat[:, :WIDTH])
-        flat[:, :WIDTH] += self.residual[last.ravel()]
-        flat[:, :WIDTH] += self.after[seen[:, STRIDE - 1 : -1].ravel()]
+        flat[:, :WIDTH] += self.residual.take(last.ravel(), axis=0)
+        flat[:, :WIDTH] += self.after.take(seen[:, STRIDE - 1 : -1].ravel(), axis=0)
         inner = flat @ self.dense
         np.maximum(inner, 0, out=inner)
         flat[:, :WIDTH] += inner @ self.back
         group, slot = np.divmod(wanted.ravel(), SLOTS)
         found = self._chosen(flat @ self.groups, group)
-        for g, own in _by_group(group):
-            found[own] *= self._chosen(flat[own] @ self.slots[g], slot[own])
+        order, slices = _by_group(group)
+        ordered, logits = flat.take(order, axis=0), np.empty((len(flat), SLOTS), np.float32)
+        for g, at in slices:
+            np.matmul(ordered[at], self.slots[g], out=logits[at])
+        found[order] *= self._chosen(logits, slot.take(order))
         return np.log(np.maximum(found, np.float32(1e-37))).reshape(wanted.shape)
 
 
 def _gradients(model: Attention, seen: np.ndarray, wanted: np.ndarray, counted: np.ndarray):
+    """The inputs that occur, and the slopes of their rows of the table and of all other weights."""
     n = seen.shape[1]
-    query, key, value, weights, hidden = _attend(model, seen)
+    query, key, value, weights, mixed, hidden = _attend(model, seen)
     before = _with_one(hidden)
     inner = np.maximum(before @ model.dense, 0)
     flat = before.copy()
     flat[:, :WIDTH] += inner @ model.back
-    group, slot = wanted.ravel() // SLOTS, wanted.ravel() % SLOTS
+    group, slot = np.divmod(wanted.ravel(), SLOTS)
     part = (counted.ravel() / max(1, counted.sum())).astype(np.float32)[:, None]
+    every = np.arange(len(flat))
     wrong = _softmax(flat @ model.groups)
-    wrong[np.arange(len(flat)), group] -= 1
+    wrong[every, group] -= 1
     wrong *= part
     d_groups, d_flat = flat.T @ wrong, wrong @ model.groups.T
-    d_slots = np.zeros_like(model.slots)
-    for g, own in _by_group(group):
-        wrong = _softmax(flat[own] @ model.slots[g])
-        wrong[np.arange(len(own)), slot[own]] -= 1
-        wrong *= part[own]
-        d_slots[g] = flat[own].T @ wrong
-        d_flat[own] += wrong @ model.slots[g].T
+    order, own = _by_group(group)
+    ordered, wrong = flat.take(order, axis=0), np.empty((len(flat), SLOTS), np.float32)
+    for g, at in own:
+        np.matmul(ordered[at], model.slots[g], out=wrong[at])
+    _softmax(wrong)
+    wrong[every, slot.take(order)] -= 1
+    wrong *= part.take(order, axis=0)
+    d_slots, d_ordered = np.zeros_like(model.slots), np.empty_like(flat)
+    for g, at in own:
+        np.matmul(ordered[at].T, wrong[at], out=d_slots[g])
+        np.matmul(wrong[at], model.slots[g].T, out=d_ordered[at])
+    back = np.empty_like(order)
+    back[order] = every
+    d_flat += d_ordered.take(back, axis=0)
     d_flat = d_flat[:, :WIDTH]
     d_back = inner.T @ d_flat
     d_inner = d_flat @ model.back.T
-    d_inner[inner <= 0] = 0
+    d_inner *= inner > 0
     d_dense = before.T @ d_inner
-    d_hidden = (d_flat + (d_inner @ model.dense.T)[:, :WIDTH]).reshape(hidden.shape)
-    d_weights = np.matmul(d_hidden, value.transpose(0, 2, 1))
-    d_value = np.matmul(weights.transpose(0, 2, 1), d_hidden)
-    d_scores = weights * (d_weights - (d_weights * weights).sum(-1, keepdims=True))
-    far, mask = _distances(n, n)
-    d_bias = np.bincount(far.ravel(), (d_scores * (mask == 0)).sum(0).ravel(), len(model.bias)).astype(np.float32)
-    d_scores *= np.float32(WIDTH**-0.5)
-    d_after = np.zeros_like(d_hidden)
+    d_hidden = (d_flat + d_inner @ model.dense[:WIDTH].T).reshape(hidden.shape)
+    d_scores = np.matmul(d_hidden, value.transpose(0, 2, 1))
+    d_scores -= np.einsum("bij,bij->bi", d_hidden, mixed)[:, :, None]
+    d_scores *= weights
+    far, _ = _distances(n, n)
+    d_bias = np.bincount(far.ravel(), d_scores.sum(0).ravel(), len(model.bias)).astype(np.float32)
+    d_rows = np.zeros((*seen.shape, 5 * WIDTH), np.float32)
+    d_query, d_key, d_value, d_residual, d_after = np.split(d_rows, 5, axis=-1)
+    np.multiply(np.matmul(d_scores, key), np.float32(WIDTH**-0.5), out=d_query)
+    np.multiply(np.matmul(d_scores.transpose(0, 2, 1), query), np.float32(WIDTH**-0.5), out=d_key)
+    d_value[:] = np.matmul(weights.transpose(0, 2, 1), d_hidden)
+    d_residual[:] = d_hidden
     d_after[:, :-1] = d_hidden[:, 1:]
-    d_rows = np.concatenate(
-        [np.matmul(d_scores, key), np.matmul(d_scores.transpose(0, 2, 1), query), d_value, d_hidden, d_after], -1
-    ).reshape(-1, 5 * WIDTH)
-    order = np.argsort(seen.ravel(), kind="stable")
+    order = np.argsort(seen.ravel().astype(np.uint16), kind="stable")
     which, first = np.unique(seen.ravel()[order], return_index=True)
-    d_table = np.zeros_like(model.table)
-    d_table[which] = np.add.reduceat(d_rows[order], first, axis=0)
-    d_table[INPUTS] = 0
-    return d_table, d_bias, d_dense, d_back, d_groups, d_slots
+    d_table = np.add.reduceat(d_rows.reshape(-1, 5 * WIDTH).take(order, axis=0), first, axis=0)
+    d_table[which == INPUTS] = 0
+    return which, (d_table, d_bias, d_dense, d_back, d_groups, d_slots)
+
+
+def batch_after(learned: float) -> int:
+    """Windows of the next step: few while the model is rough, more as it has learned from more."""
+    return int(min(BATCH, max(FIRST_BATCH, learned // GROWS_AFTER)))
 
 
 class Trainer:
-    """Adam on batches of windows (n, WINDOW + 1) of ids, -1 after a document's end."""
+    """Adam on batches of windows (n, WINDOW + 1) of ids, -1 after a document's end.
+
+    Of the table only the rows of inputs that occur are touched.
+    """
 
     def __init__(self, model: Attention, words: Vocabulary):
         self.model, self.words, self.steps = model, words, 0
@@ -250,18 +287,28 @@ class Trainer:
         inputs = np.where(windows < 0, INPUTS, self.words.inputs[windows])[:, :-1]
         classes = np.where(windows < 0, 0, self.words.classes[windows])[:, 1:]
         counted = windows[:, 1:] >= 0
-        slopes = _gradients(self.model, inputs, classes, counted)
+        which, slopes = _gradients(self.model, inputs, classes, counted)
         self.inputs += np.bincount(inputs[counted], minlength=INPUTS + 1)
         self.groups += np.bincount(classes[counted] // SLOTS, minlength=GROUPS)
         self.positions += counted.sum()
         self.steps += 1
-        speed = rate * min(1.0, self.steps / 20)
-        for part, slope, m, v in zip(self.parts, slopes, self.first, self.second):
-            m *= 0.9
-            m += 0.1 * slope
-            v *= 0.98
-            v += 0.02 * slope * slope
-            part -= speed * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.98**self.steps)) + 1e-8)
+        speed = rate * min(1.0, self.steps / 10) / (1 - 0.9**self.steps)
+        unbiased = np.float32((1 - 0.98**self.steps) ** -0.5)
+        for i, (part, slope, m, v) in enumerate(zip(self.parts, slopes, self.first, self.second)):
+            rows = which if i == 0 else slice(None)
+            mean, square = m[rows], v[rows]
+            mean *= 0.9
+            mean += np.float32(0.1) * slope
+            square *= 0.98
+            square += np.float32(0.02) * slope * slope
+            if i == 0:
+                m[rows], v[rows] = mean, square
+            change = np.sqrt(square)
+            change *= unbiased
+            change += 1e-8
+            np.divide(mean, change, out=change)
+            change *= np.float32(speed)
+            part[rows] -= change
 
     def weights(self) -> tuple[np.ndarray, np.ndarray]:
         """All weights in one row, and how often each was learned from."""
@@ -292,7 +339,7 @@ def train(
 
     Few windows are seen four times each, for more would learn them by heart.
     """
-    model = Attention.new()
+    model = Attention.at_frequencies(words)
     if not len(windows):
         return model
     steps = min(steps, max(100, 4 * len(windows) // batch))
@@ -311,7 +358,7 @@ def windows_of(ids: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(held, WINDOW + 1)[::WINDOW] if n else np.empty((0, WINDOW + 1), np.int32)
 
 
-def score(model: Scorer, words: Vocabulary, texts: list[np.ndarray], start: int, at_once: int = 2048) -> np.ndarray:
+def score(model: Scorer, words: Vocabulary, texts: list[np.ndarray], start: int, at_once: int = 512) -> np.ndarray:
     """Log10 probability of each text, given as ids that end with the end id; `start` is the id before its first.
 
     The texts lie end to end, each after a window's length of padding and

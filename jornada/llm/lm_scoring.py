@@ -41,37 +41,48 @@ END_ID, IDS = 50256, 50257
 COMMON_WORDS = 200_000
 #: Rounds of training, which part the documents; the weights are averaged after each.
 ROUNDS = 6
-#: Steps up to which the windows of a small corpus are learned again, and how often at most. All are learned once.
-STEPS, MOST_PASSES = 2500, 4
-#: Steps that a corpus of very few windows makes at least.
-LEAST_STEPS = 100
 #: Windows that a task mixes at a time, and that make a task of a round worthwhile.
 MIXED, LEAST_WINDOWS = 16_384, 6400
 #: Pieces in which the weights are averaged.
 PIECES = 24
 _END = b"\n"
+_END_IDS = np.array([END_ID], np.uint16).tobytes()
 _WORDS_HELD = 300_000
+_LONGEST_HELD = 64
 _IDS_AT_ONCE = 100_000
 
 
+class Subwords(dict):
+    """The ids of each word after a space, as bytes of 16-bit numbers; words met before are looked up."""
+
+    def __init__(self, encoding: tiktoken.Encoding):
+        super().__init__()
+        self.encoding = encoding
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = np.array(self.encoding.encode_ordinary(" " + word.decode()), np.uint16).tobytes()
+        if len(word) <= _LONGEST_HELD:
+            if len(self) >= _WORDS_HELD:
+                self.clear()
+            self[word] = found
+        return found
+
+
 @functools.lru_cache(maxsize=2)
-def subwords(ranks: str) -> tuple[tiktoken.Encoding, np.ndarray]:
-    """The tokenizer, and which ids open a word."""
+def subwords(ranks: str) -> tuple[Subwords, np.ndarray]:
+    """The tokenizer of words, and which ids open a word."""
     with open(ranks, "rb") as lines:
         known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     opens = np.zeros(IDS, np.int64)
     for text, number in known.items():
         opens[number] = text.startswith(b" ")
-    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=known, special_tokens={}), opens
+    return Subwords(tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=known, special_tokens={})), opens
 
 
-def ids_of(encoding: tiktoken.Encoding, own: list[bytes]) -> np.ndarray:
-    """The ids of a text's words and the end id, tokenized a bounded number of words at a time."""
-    parts = [
-        encoding.encode_to_numpy((b" " + b" ".join(own[i : i + 50_000])).decode()).astype(np.int32)
-        for i in range(0, len(own), 50_000)
-    ]
-    return np.concatenate([*parts, np.array([END_ID], np.int32)])
+def ids_of(encoding: Subwords, own: list[bytes]) -> np.ndarray:
+    """The ids of a text's words and the end id."""
+    ids = np.frombuffer(b"".join(map(encoding.__getitem__, own)), np.uint16)
+    return np.append(ids, np.uint16(END_ID)).astype(np.int32)
 
 
 def word_number(word: bytes) -> int:
@@ -119,14 +130,10 @@ def id_counts(counts: DataFrame, ranks: str) -> np.ndarray:
         encoding, _ = subwords(ranks)
         total = np.zeros(IDS, np.int64)
         for given in batches:
-            ids: list[int] = []
-            lengths = []
-            for word in given.column(0).to_pylist():
-                own = [END_ID] if word == _END else encoding.encode_ordinary(" " + word.decode())
-                ids += own
-                lengths.append(len(own))
+            own = [_END_IDS if word == _END else encoding[word] for word in given.column(0).to_pylist()]
+            lengths = [len(ids) // 2 for ids in own]
             times = np.repeat(given.column(1).to_numpy(), lengths)
-            np.add.at(total, np.array(ids, np.int64), times)
+            np.add.at(total, np.frombuffer(b"".join(own), np.uint16), times)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], names=["id", "times"])
 
@@ -138,12 +145,19 @@ def id_counts(counts: DataFrame, ranks: str) -> np.ndarray:
 
 
 def learned(
-    texts: DataFrame, start: attention.Attention, vocabulary: attention.Vocabulary, ranks: str, least: int, rate: float
+    texts: DataFrame,
+    start: attention.Attention,
+    vocabulary: attention.Vocabulary,
+    ranks: str,
+    least: int,
+    rate: float,
+    before: float = 0,
 ) -> DataFrame:
     """Rows (piece, task, weights, counts): the weights after each task has learned from all of its texts, in pieces.
 
     A task holds so many windows as it mixes at a time. It learns from them once,
-    or again up to the least number of steps.
+    or, where a least number of steps is asked for, again up to it. `before` is how
+    many windows the start has been learned from, per task.
     """
     shared = texts.sparkSession.sparkContext.broadcast((start, vocabulary))
 
@@ -154,14 +168,20 @@ def learned(
         random = np.random.default_rng(task)
         trainer = attention.Trainer(attention.from_flat(attention.flat_of(known)), vocabulary)
         waiting: list[np.ndarray] = []
-        held = 0
+        held, learned_from = 0, before
 
         def learn(windows: np.ndarray) -> None:
+            nonlocal learned_from
             until = trainer.steps + max(1, least)
             while trainer.steps < until:
                 order = random.permutation(len(windows))
-                for own in np.array_split(order, max(1, round(len(order) / attention.BATCH))):
-                    trainer.step(windows[own], rate)
+                while len(order):
+                    many = attention.batch_after(learned_from)
+                    # No step is made of a small rest.
+                    many = many if len(order) >= 1.5 * many else len(order)
+                    trainer.step(windows[order[:many]], rate)
+                    learned_from += many
+                    order = order[many:]
 
         for given in batches:
             for text in given.column(0):
@@ -213,23 +233,22 @@ def averaged(rows: DataFrame, start: attention.Attention) -> attention.Attention
     return attention.from_flat(np.where(counts > 0, total / np.maximum(counts, 1), attention.flat_of(start)))
 
 
-def fitted(texts: DataFrame, vocabulary: attention.Vocabulary, ranks: str, n_ids: int, steps: int = STEPS) -> attention.Attention:
-    """The model, learned from all windows of all texts, which hold `n_ids` ids.
+def fitted(texts: DataFrame, vocabulary: attention.Vocabulary, ranks: str, n_ids: int, steps: int = 0) -> attention.Attention:
+    """The model, learned from all windows of all texts, which hold `n_ids` ids: once, whatever the size of the corpus.
 
-    A hash deals the texts out, so that each is learned from in one round, or in
-    several while the corpus is small. A round has as many tasks as there are
+    A hash deals the texts out to rounds. A round has as many tasks as there are
     partitions, or fewer for so few windows that a task would hardly make a step.
+    Where `steps` are asked for, each task makes that many over all rounds, if
+    need be by learning again.
     """
     windows = n_ids // attention.WINDOW + 1
-    passes = min(MOST_PASSES, max(1, steps * attention.BATCH // windows))
-    least = min(steps, LEAST_STEPS) // ROUNDS if windows * MOST_PASSES < LEAST_STEPS * attention.BATCH else 0
-    tasks = max(1, windows * passes // (ROUNDS * LEAST_WINDOWS))
+    tasks = max(1, windows // (ROUNDS * LEAST_WINDOWS))
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
-    model = attention.Attention.new()
+    model = attention.Attention.at_frequencies(vocabulary)
     for turn in range(ROUNDS):
-        own = texts.filter(F.pmod(place - turn, F.lit(ROUNDS)) < passes).coalesce(tasks)
         rate = attention.RATE * (1 - turn / ROUNDS) ** 0.5
-        model = averaged(learned(own, model, vocabulary, ranks, least, rate), model)
+        own = texts.filter(place == turn).coalesce(tasks)
+        model = averaged(learned(own, model, vocabulary, ranks, steps // ROUNDS, rate, turn * windows / (ROUNDS * tasks)), model)
     return model
 
 
@@ -253,7 +272,7 @@ def most_common(counts: DataFrame, most: int) -> dict[bytes, int]:
 def score_texts(
     docs: DataFrame,
     ranks: str = RANKS,
-    steps: int = STEPS,
+    steps: int = 0,
     common_words: int = COMMON_WORDS,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document.
