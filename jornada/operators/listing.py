@@ -50,10 +50,20 @@ def one_of(df: DataFrame, column: str, values: Sequence | DataFrame | None) -> D
 
 
 def any_of(df: DataFrame, column: str, values: Sequence | None) -> DataFrame:
-    """Array column that shares a value with the list."""
+    """Array column that shares a value with the list.
+
+    The list is one literal, however long it is. Its values are taken as text
+    and read as the type of the array's elements; one that cannot be read so
+    matches nothing, and neither does None.
+    """
     if values is None:
         return df
-    return df.where(F.arrays_overlap(F.col(column), F.array(*[F.lit(v) for v in values])))
+    texts = [str(v) for v in values if v is not None]
+    listed = F.from_json(F.lit(json.dumps(texts)), "array<string>")
+    kind = df.schema[column].dataType.elementType
+    if kind.simpleString() != "string":
+        listed = F.filter(F.transform(listed, lambda v: v.try_cast(kind)), lambda v: v.isNotNull())
+    return df.where(F.arrays_overlap(F.col(column), listed))
 
 
 def changed_between(df: DataFrame, column: str, at_least: str | None = None, at_most: str | None = None) -> DataFrame:

@@ -31,12 +31,24 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``, or else one below the warehouse folder."""
-    context = spark.sparkContext
+def shared_root(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, or else one below the warehouse folder.
+
+    On a cluster a warehouse folder of one machine does not do, as executors
+    would each write to their own disk: there a folder has to be named.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {warehouse} is one machine's own")
+    return warehouse.rstrip("/") + "/_checkpoints"
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder, which is also set as the place of the session's checkpoints."""
+    named = shared_root(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(named)
     return named

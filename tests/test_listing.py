@@ -22,6 +22,16 @@ def test_equal_and_any_of(people):
     assert [r.id for r in chosen.orderBy("id").collect()] == [i for i in range(50) if i % 3 == 0 and i % 2]
 
 
+def test_any_of_long_and_odd_lists(spark, people):
+    many = [f"x{i}" for i in range(20_000)] + ["d1"]
+    assert listing.any_of(people, "department_ids", many).count() == 25
+    assert listing.any_of(people, "department_ids", [None, "it's \"d0\""]).count() == 0
+    assert listing.any_of(people, "department_ids", []).count() == 0
+    numbers = spark.createDataFrame([(1, [1, 2]), (2, [3]), (3, []), (4, None), (5, [None])], "id int, offices array<long>")
+    assert [r.id for r in listing.any_of(numbers, "offices", ["2", 3, "two", None]).orderBy("id").collect()] == [1, 2]
+    assert listing.any_of(numbers, "offices", ["two"]).count() == 0
+
+
 def test_unknown_parameter(people):
     with pytest.raises(ValueError):
         listing.list_entity(people, "departments", status="active")
