@@ -59,6 +59,10 @@ class DigestIndex:
         fresh.repartition(self.buckets, "digest").write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
 
+    def close(self) -> None:
+        """Takes the table out of the session's catalog; its files stay, and the index can be opened again."""
+        self.spark.sql(f"drop table if exists {self.name}")
+
 
 def normalised(text: str = "text"):
     return F.regexp_replace(or_empty(text), r"[\x20\x09-\x0D]+", " ")
@@ -68,7 +72,8 @@ def dedup(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """For each row: doc_id, keep_id, group_size, kept, digest; the index has grown by the new digests.
 
     keep_id is the row that stays for this digest, from an earlier batch too;
-    group_size counts the rows of this batch.
+    group_size counts the rows of this batch. The result is read from tables of
+    its own, so the index may be closed before it.
     """
     rows = stored(
         docs.select(

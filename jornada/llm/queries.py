@@ -44,7 +44,9 @@ def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    found = exact_dedup.dedup(documents(spark, folder), exact_dedup.scratch_index(spark))
+    index = exact_dedup.scratch_index(spark)
+    found = exact_dedup.dedup(documents(spark, folder), index)
+    index.close()
     return found.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
 
 

@@ -9,6 +9,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jornada.session import shared_root
+
 #: Regular expression of a word: what lies between blanks, tabs and line ends of ASCII.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -39,11 +41,8 @@ def partitions(spark: SparkSession) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; where none is set, a folder below the warehouse, which executors share too."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
-    return named.rstrip("/")
+    """The session's spark.checkpoint.dir; where none is set, a folder below a warehouse that executors share too."""
+    return shared_root(spark)
 
 
 def stored(frame: DataFrame) -> DataFrame:

@@ -417,3 +417,41 @@ def test_index_remembers_earlier_batches(spark, docs, none):
     assert sum(r["kept"] for r in rest) == len(set(plain_copies(corpus.texts())) - old)
     assert index.table().count() == len(plain_copies(corpus.texts())) == index.table().select("digest").distinct().count()
     assert exact_dedup.dedup(none, index).count() == 0
+
+
+def test_a_closed_index_leaves_its_files(spark, docs):
+    index = exact_dedup.scratch_index(spark)
+    found = exact_dedup.dedup(docs, index)
+    index.close()
+    assert not spark.catalog.tableExists(index.name) and found.count() == docs.count()
+    again = exact_dedup.DigestIndex(spark, index.folder)
+    assert again.table().count() == len(plain_copies(corpus.texts()))
+    again.close()
+
+
+def test_a_word_has_its_ids_whether_held_or_not(monkeypatch):
+    """Words together, one by one, and in a full table of words give the tokenizer's ids."""
+    encoding, _ = lm_scoring.subwords(packing.RANKS)
+    odd = ["\u00a0", "a\u00a0", "\u00a0b", "x'", "'s", "5G", "\u4e2d\u6587", "caf\u00e9", "\U0001f642\U0001f642", "w" * 200, "--", "\u2003z"]
+    own = corpus.words(" ".join([*odd, corpus.sentence(30, 5), *odd[::-1]]))
+    whole = encoding.encoding.encode_ordinary(" " + b" ".join(own).decode())
+    monkeypatch.setattr(lm_scoring, "_WORDS_HELD", 3)
+    for held in (encoding, lm_scoring.Subwords(encoding.encoding)):
+        assert lm_scoring.ids_of(held, own).tolist() == [*whole, lm_scoring.END_ID]
+    assert lm_scoring.ids_of(encoding, []).tolist() == [lm_scoring.END_ID]
+
+
+def test_steps_grow_with_what_was_learned():
+    sizes = [attention.batch_after(n) for n in (0, 1600, 5000, 12_800, 1e9)]
+    assert sizes == [16, 16, 50, 128, 128]
+
+
+def test_a_new_model_begins_at_the_frequencies():
+    """Before any step, a class is about as likely as it is frequent, and the classes' probabilities add up to one."""
+    counts = np.arange(2000)[::-1].astype(np.int64) ** 2
+    words = attention.vocabulary(counts, np.arange(2000) % 2)
+    model = attention.Attention.at_frequencies(words)
+    of_group, of_slot = np.exp(model.groups[-1]), np.exp(model.slots[:, -1])
+    assert np.isclose(of_group.sum(), 1) and np.allclose(of_slot.sum(1), 1)
+    frequent = int(words.classes[0])
+    assert np.isclose(of_group[frequent // attention.SLOTS] * of_slot.ravel()[frequent], counts[0] / counts.sum(), rtol=0.01)
