@@ -1,3 +1,4 @@
+import functools
 import re
 from datetime import date, datetime
 
@@ -67,6 +68,22 @@ def test_bad_pages(spark, tmp_path):
         read_landing(spark, str(tmp_path), "departments", mode="FAILFAST").collect()
 
 
+def test_a_job_fails_on_one_bad_page_where_asked(spark, tmp_path):
+    """The strict reader fails the whole load, which leaves the table as the load before made it."""
+    landing, store = tmp_path / "landing", str(tmp_path / "store")
+    strict = functools.partial(read_landing, mode="FAILFAST")
+    write_pages(landing, "departments", "north", [{"id": "d1", "name": "Sales"}])
+    jobs.load_departments(spark, str(landing), store, read=strict)
+    before = rows(read_table(spark, f"{store}/dim_department"))
+    write_pages(landing, "departments", "south", [{"id": "d2", "name": "Works"}])
+    (landing / "departments" / "tenant=south" / "bad.json").write_text('{"data": [{"id": \n')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        jobs.load_departments(spark, str(landing), store, read=strict)
+    assert rows(read_table(spark, f"{store}/dim_department")) == before and len(before) == 1
+    jobs.load_departments(spark, str(landing), store)
+    assert read_table(spark, f"{store}/dim_department").count() == 2
+
+
 def test_work_entries_quarantine(spark, tmp_path):
     good = {
         "id": "w1",
