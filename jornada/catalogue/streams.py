@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from jornada.catalogue import roles
 from jornada.catalogue.registry import Tables, day_text, moment_text, query
 from jornada.session import checkpoint_folder
-from jornada.sources.files import is_folder
+from jornada.sources.files import children, is_folder
 from jornada.sources.tables import read_table
 from jornada.streaming.incremental import (
     correct_late_days,
@@ -19,6 +19,9 @@ from jornada.streaming.incremental import (
     start_incremental_load,
 )
 
+# Fixed value: in how many deliveries the events come to stream_late_rows.
+DELIVERIES = 5
+
 
 def _event_stream(t: Tables) -> DataFrame:
     """The table as a stream of its files: a folder of part files, or one file."""
@@ -81,12 +84,18 @@ def stream_daily_hours(t: Tables) -> DataFrame:
         from events group by 1, 2""",
 )
 def stream_late_rows(t: Tables) -> DataFrame:
-    """The events come in five files, and most days are closed before their last rows come."""
+    """The events come in five deliveries, and most days are closed before their last rows come.
+
+    A large delivery has many files. A batch takes a fifth of all files, so there
+    are five batches at any size.
+    """
     folder = _work_folder(t)
-    for number in range(5):
-        part = t.events.where(F.abs(F.xxhash64("event_type", "user_id")) % 5 == number)
+    for number in range(DELIVERIES):
+        part = t.events.where(F.abs(F.xxhash64("event_type", "user_id")) % DELIVERIES == number)
         part.write.mode("append").parquet(f"{folder}/in")
-    reader = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1)
+    files = [name for name in children(t.spark, f"{folder}/in") if name.endswith(".parquet")]
+    a_fifth = -(-len(files) // DELIVERIES)
+    reader = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", a_fifth)
     clockings = reader.parquet(f"{folder}/in").select(
         "ts",
         roles.text("user_id").alias("employee"),

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 from conftest import rows
 from landing_zone import time_entry, write_pages
 from pyspark.sql import functions as F
@@ -5,6 +7,7 @@ from pyspark.sql import functions as F
 from jornada.operators import flatten
 from jornada.operators.daily import daily_worked_hours
 from jornada.plans import facts
+from jornada.session import checkpoint_folder
 from jornada.sources.landing import stream_landing
 from jornada.sources.tables import read_table
 from jornada.streaming.incremental import daily_seconds_stream, start_daily_totals, start_incremental_load
@@ -74,3 +77,27 @@ def test_queries_read_a_table_of_several_files(spark, tmp_path):
     events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
     for name in ("incremental_load", "stream_daily_hours"):
         assert rows(QUERIES[name](spark, str(tmp_path))) == rows(QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_large_deliveries_make_no_more_batches(spark, tmp_path):
+    from jornada.catalogue import QUERIES
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").where("ts < '2024-01-08'")
+    # Rows without a time, a user or a type, and rows that come twice.
+    odd = events.limit(20)
+    gone = [odd.withColumn(c, F.lit(None).cast(odd.schema[c].dataType)) for c in ("ts", "user_id", "event_type")]
+    data = gone[0].union(gone[1]).union(gone[2]).union(odd).union(events)
+    data.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    streams = Path(checkpoint_folder(spark)) / "streams"
+    before = set(streams.glob("*"))
+    got = rows(QUERIES["stream_late_rows"](spark, str(tmp_path)))
+
+    (folder,) = set(streams.glob("*")) - before
+    assert len(list((folder / "in").glob("*.parquet"))) == 15
+    batches = [len([f for f in (folder / c / "offsets").iterdir() if f.name.isdigit()]) for c in ("checkpoint", "late-checkpoint")]
+    # The totals may have a last batch without rows that only closes days.
+    assert batches[0] in (5, 6) and batches[1] == 5
+    known = spark.read.parquet(f"{tmp_path}/events.parquet").where("user_id is not null and ts is not null")
+    seconds = F.sum(F.round(F.col("value") * 60).cast("bigint"))
+    totals = known.groupBy(F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")).agg(seconds)
+    assert got == rows(totals)
