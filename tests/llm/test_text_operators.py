@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jornada.llm import attention, exact_dedup, line_dedup, lm_scoring, mixing, packing, pii
+from jornada.llm.words import stored
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -455,3 +456,27 @@ def test_a_new_model_begins_at_the_frequencies():
     assert np.isclose(of_group.sum(), 1) and np.allclose(of_slot.sum(1), 1)
     frequent = int(words.classes[0])
     assert np.isclose(of_group[frequent // attention.SLOTS] * of_slot.ravel()[frequent], counts[0] / counts.sum(), rtol=0.01)
+
+
+def test_stored_ids_are_learned_from_and_scored_as_their_texts(spark, monkeypatch):
+    """Texts are encoded once: rounds and scores need the stored ids alone, and give what the texts give."""
+    monkeypatch.setattr(lm_scoring, "LEAST_WINDOWS", 1)
+    monkeypatch.setattr(lm_scoring, "ROUNDS", 2)
+    texts = [(i, corpus.sentence(40 + i, 300 + i), "s") for i in range(20)] + [(None, None, "s"), (21, "", "s"), (21, "Café   中文", None)]
+    # As a table: of rows in the plan, a filter would make other partitions.
+    docs = stored(corpus.frame(spark, texts).withColumn("held_out", F.lit(False)))
+    encoding, opens = lm_scoring.subwords(packing.RANKS)
+    ids = [lm_scoring.ids_of(encoding, corpus.words(t)) for _, t, _ in texts]
+    held = {w: 9 for w in corpus.words(texts[0][1])}
+    coded = lm_scoring.encoded(docs, packing.RANKS, held, False).drop("text")
+    rows = coded.collect()
+    assert sorted(bytes(r["ids"]) for r in rows) == sorted(x.astype(np.uint16).tobytes() for x in ids)
+    assert all(r["n_tokens"] - r["n_known"] == len(r["others"]) and math.isclose(r["known_sum"], r["n_known"]) for r in rows)
+    assert any(r["n_known"] for r in rows) and any(r["others"] for r in rows) and {r["turn"] for r in rows} == {0, 1}
+    counts = np.bincount(np.concatenate(ids), minlength=lm_scoring.IDS)
+    vocabulary = attention.vocabulary(counts, opens)
+    plain, model = (lm_scoring.fitted(x, vocabulary, packing.RANKS, int(counts.sum())) for x in (docs, coded))
+    assert np.array_equal(attention.flat_of(plain), attention.flat_of(model))
+    found = lm_scoring.scored(coded.withColumn("_row", F.monotonically_increasing_id()), model, vocabulary).collect()
+    scores = attention.score(attention.Scorer(model), vocabulary, ids, lm_scoring.END_ID)
+    assert np.allclose(sorted(r["score"] for r in found), sorted(scores), rtol=1e-4)
